@@ -122,6 +122,17 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contracts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = contracts_base(spark, sf_dir)
+    return base.unionByName(contract_copies(base))
+
+
+def contract_copies(base: DataFrame) -> DataFrame:
+    """The second delivery of some contracts, updated one day earlier."""
+    return (base.where(F.pmod(F.col("contract_id"), F.lit(DUPLICATE_EVERY)) == DUPLICATE_REMAINDER)
+                .withColumn("source_updated_at", F.col("source_updated_at") - F.expr("INTERVAL 1 DAY")))
+
+
+def contracts_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     pid = product_id_of(F.col("o_orderpriority"))
     base_rate = F.lit(Decimal("0.32")) - F.lit(Decimal("0.04")) * pid
@@ -144,10 +155,7 @@ def contracts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(BATCH_ID).alias("source_batch_id"),
         *_meta("orders.parquet"),
     )
-    copies = (base.where(F.pmod(F.col("contract_id"), F.lit(DUPLICATE_EVERY)) == DUPLICATE_REMAINDER)
-                  .withColumn("source_updated_at",
-                              F.col("source_updated_at") - F.expr("INTERVAL 1 DAY")))
-    return base.unionByName(copies)
+    return base
 
 
 def installments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,3 +215,15 @@ def payments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_installments(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerloom.operators.reconcile import latest_installments as _latest
     return _latest(installments_raw(spark, sf_dir), INSTALLMENT_ORDER)
+
+
+PREVIOUS_SNAPSHOT = _dt.date(1999, 12, 1)
+
+
+def installment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots: the installments due before 1999-12-01 as known on that
+    date, and the full current snapshot."""
+    cur = installments_raw(spark, sf_dir)
+    prev = (cur.where(F.col("due_date") < F.lit(PREVIOUS_SNAPSHOT))
+               .withColumn("snapshot_date", F.lit(PREVIOUS_SNAPSHOT)))
+    return prev.unionByName(cur)
