@@ -29,6 +29,7 @@ def get_spark(master: str | None = None, app: str = "ledgerloom",
                .master(master or f"local[{cpus}]")
                .appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus) * 2)))
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)

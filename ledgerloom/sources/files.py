@@ -104,6 +104,15 @@ def with_source_metadata(df: DataFrame, size: bool = False, ingested_at: bool =
     return df.select("*", *_meta_cols(size=size, ingested_at=ingested_at))
 
 
+def _from_text(raw: Column, dt: T.DataType) -> Column:
+    """Typed value of one JSON field given its text (string map value)."""
+    if isinstance(dt, T.StringType):
+        return raw
+    if isinstance(dt, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(raw, dt)
+    return raw.try_cast(dt)
+
+
 def parse_with_rescue(text_df: DataFrame, schema: T.StructType, rescued: str = "_rescued_data",
                       value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Parse JSON lines against ``schema`` without ever failing on the data.
@@ -111,20 +120,27 @@ def parse_with_rescue(text_df: DataFrame, schema: T.StructType, rescued: str = "
     ``rescued`` holds, as a JSON object, every field that is not declared or
     whose value does not fit its declared type; a line that is not a JSON
     object at all is rescued whole. Works in batch and in streams (stateless).
+
+    Each line is parsed once, into a string map; declared fields are cast from
+    their text (a quoted number that fits is accepted). The lambdas only touch
+    their own arguments, so nothing is re-evaluated per map entry.
     """
-    v = F.col(value)
-    typed = F.from_json(v, schema)
-    raw = F.from_json(v, "map<string,string>")
-    # Fields that parsed to a non-NULL typed value (to_json leaves out NULLs).
-    ok = F.from_json(F.to_json(typed), "map<string,string>")
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    leftover = F.map_filter(raw, lambda k, x: ~F.array_contains(known, k)
-                            | (x.isNotNull() & ~F.map_contains_key(ok, k)))
-    rescue = (F.when(raw.isNull() & v.isNotNull(), v)
-               .when(F.size(F.map_keys(leftover)) > 0, F.to_json(leftover)))
-    parsed = text_df.select(typed.alias("_typed"), rescue.alias(rescued), *[F.col(c) for c in keep])
-    return parsed.select(*[F.col(f"_typed.{f.name}").alias(f.name) for f in schema.fields],
-                         rescued, *keep)
+    parsed = text_df.select(F.col(value).alias("_v"),
+                            F.from_json(F.col(value), "map<string,string>").alias("_raw"), *keep)
+    typed = parsed.select("_v", "_raw", *keep, *[
+        _from_text(F.col("_raw")[f.name], f.dataType).alias(f.name) for f in schema.fields])
+    # declared field -> "its typed value is NULL"; undeclared keys are absent
+    typed_null = F.create_map(*[x for f in schema.fields
+                                for x in (F.lit(f.name), F.col(f.name).isNull())])
+    flagged = F.map_zip_with(
+        F.col("_raw"), typed_null,
+        lambda k, raw_v, is_null: F.struct(
+            (is_null.isNull() | (raw_v.isNotNull() & is_null)).alias("keep"), raw_v.alias("v")))
+    leftover = F.transform_values(F.map_filter(flagged, lambda k, e: e["keep"]), lambda k, e: e["v"])
+    staged = typed.select("_v", "_raw", *keep, *schema.fieldNames(), leftover.alias("_left"))
+    rescue = (F.when(F.col("_raw").isNull() & F.col("_v").isNotNull(), F.col("_v"))
+               .when(F.size(F.map_keys(F.col("_left"))) > 0, F.to_json(F.col("_left"))))
+    return staged.select(*schema.fieldNames(), rescue.alias(rescued), *keep)
 
 
 def write_landing(df: DataFrame, path: str, fmt: str, files: int | None = None,
