@@ -69,7 +69,7 @@ def run_checks(spark: SparkSession, metrics: dict[str, DataFrame], checks: Seque
     """
     parts = []
     for dataset, m in metrics.items():
-        names = [c.metric for c in checks if c.dataset == dataset]
+        names = list(dict.fromkeys(c.metric for c in checks if c.dataset == dataset))
         if not names:
             continue
         stacked = m.select(F.explode(F.array(*[

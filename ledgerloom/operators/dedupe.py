@@ -9,12 +9,14 @@ Scale notes
   window: Spark pre-aggregates it map-side, so a key that holds a third of all
   rows is reduced to one row per map task before the shuffle.
 * ``rank_duplicates`` must keep *every* row with its rank. The default
-  ``strategy="sorted"`` ranks through a global range-partitioned sort: a hot
-  key is split over many tasks by the range partitioner, each task numbers its
-  own slice, and a small per-(key, slice) count table supplies the offset of
-  the slices before it. No task ever holds a whole group.
-  ``strategy="window"`` is the plain ``row_number()`` window (one task per
-  key group), kept for small inputs and as the cross-check in tests.
+  ``strategy="auto"`` first counts rows per key (a pre-aggregated, key-only
+  scan). Keys above ``hot_rows`` are ranked through a global range-partitioned
+  sort: the range partitioner splits a hot key over many tasks, each task
+  numbers its own slice, and a small per-(key, slice) count table supplies the
+  offset of the slices before it, so no task ever holds a whole hot group.
+  All other keys take the plain ``row_number()`` window (one shuffle). With no
+  hot key the plan is exactly the window. ``strategy="window"`` /
+  ``"sorted"`` force one path (tests cross-check them).
 """
 
 from __future__ import annotations
@@ -66,21 +68,43 @@ def _tie_column(tie_cols: Sequence[str] | None) -> list[Column]:
     return [record_hash(*tie_cols)]
 
 
+HOT_KEY_ROWS = 1_000_000      # a key with more rows than this is ranked by the sorted path
+HOT_KEY_BROADCAST = 100_000   # at most this many hot keys are broadcast for the split
+
+
 def rank_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                     tie_cols: Sequence[str] | None = None, out: str = "duplicate_rank",
-                    strategy: str = "sorted") -> DataFrame:
+                    strategy: str = "auto", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its key (rows are kept).
 
     Order: ``order`` descending NULLS LAST, then the SHA-256 of ``tie_cols``
     (descending) so that equal timestamps still rank deterministically.
     """
     order_cols = [as_col(c) for c in order] + _tie_column(tie_cols)
+    keys = list(keys)
     if strategy == "window":
-        w = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order_cols])
-        return df.withColumn(out, F.row_number().over(w).cast("int"))
-    if strategy != "sorted":
+        return _rank_by_window(df, keys, order_cols, out)
+    if strategy == "sorted":
+        return _rank_by_global_sort(df, keys, order_cols, out)
+    if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
-    return _rank_by_global_sort(df, list(keys), order_cols, out)
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > hot_rows).select(*[F.col(k).alias(f"_hk_{k}") for k in keys]))
+    n_hot = hot.limit(HOT_KEY_BROADCAST + 1).count()
+    if n_hot == 0:
+        return _rank_by_window(df, keys, order_cols, out)
+    if n_hot <= HOT_KEY_BROADCAST:
+        hot = F.broadcast(hot)
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hk_{k}")) for k in keys])
+    cold = df.join(hot, cond, "left_anti")
+    heavy = df.join(hot, cond, "left_semi")
+    return (_rank_by_window(cold, keys, order_cols, out)
+            .unionByName(_rank_by_global_sort(heavy, keys, order_cols, out)))
+
+
+def _rank_by_window(df: DataFrame, keys: list[str], order_cols: list[Column], out: str) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order_cols])
+    return df.withColumn(out, F.row_number().over(w).cast("int"))
 
 
 def _rank_by_global_sort(df: DataFrame, keys: list[str], order_cols: list[Column],

@@ -117,7 +117,7 @@ PAYMENT_RANK_ORDER = ["event_timestamp", "source_file_modification_time", "sourc
 
 
 def classify_contracts(contracts_raw: DataFrame, customers: DataFrame, products: DataFrame,
-                       today=None, rank_strategy: str = "sorted") -> DataFrame:
+                       today=None, rank_strategy: str = "auto") -> DataFrame:
     """Rank all raw rows, look up customer and product, apply the contract rules.
 
     ``customers`` / ``products`` are the trusted (silver) dimensions.
@@ -165,7 +165,7 @@ def latest_snapshot_slice(df: DataFrame, column: str = "snapshot_date") -> DataF
 
 
 def classify_payments(payments_raw: DataFrame, installments_raw: DataFrame,
-                      rank_strategy: str = "sorted") -> DataFrame:
+                      rank_strategy: str = "auto") -> DataFrame:
     """Rank payment events, look them up in the latest installment snapshot, apply rules.
 
     The lookup side holds one current row per installment of the latest

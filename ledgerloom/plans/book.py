@@ -19,7 +19,7 @@ from ledgerloom.sources import testdata as TD
 
 class CreditBook:
     def __init__(self, spark: SparkSession, sf_dir: str, today=TD.TODAY, as_of=None,
-                 rank_strategy: str = "sorted"):
+                 rank_strategy: str = "auto"):
         self.spark = spark
         self.sf_dir = sf_dir
         self.today = today

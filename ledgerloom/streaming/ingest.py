@@ -19,9 +19,12 @@ from pyspark.sql import types as T
 
 from ledgerloom.sources.files import _meta_cols, cast_declared, parse_with_rescue, string_schema
 
-# Default maxFileAge (7 days) silently skips older new files; a landing zone
-# keeps files for years, so the age filter is effectively turned off.
-DEFAULT_OPTIONS = {"maxFileAge": "3650d"}
+# The file source skips a *new* file whose modification time is older than
+# maxFileAge (default 7 days) relative to the newest file it has seen. Back-
+# filled deliveries can carry old timestamps, so the filter is set to a
+# century: every new file is loaded exactly once. (The seen-files log then
+# remembers every file; archive loaded files with ``cleanSource`` to bound it.)
+DEFAULT_OPTIONS = {"maxFileAge": "36500d"}
 
 
 def file_stream(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
