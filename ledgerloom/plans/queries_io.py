@@ -458,7 +458,7 @@ def q_scalar_math(spark, sf):
         F.col("l_orderkey").cast("long").alias("l_orderkey"),
         F.col("l_linenumber").cast("int").alias("l_linenumber"),
         F.pmod(F.col("l_partkey"), F.lit(7)).alias("part_mod_7"),
-        F.round(price * F.lit(0.6).cast("decimal(2,1)"), 2).alias("sixty_pct"),
+        F.round(price * F.lit(0.6).cast("decimal(2,1)"), 2).cast(S.MONEY).alias("sixty_pct"),
         F.greatest(F.col("l_quantity"), F.lit(25.0)).alias("qty_floor_25"),
         F.least(F.col("l_quantity"), F.lit(25.0)).alias("qty_cap_25"),
         F.coalesce(F.nullif(F.col("l_linenumber"), F.lit(1)), F.lit(0)).alias("line_or_zero"),
