@@ -9,14 +9,16 @@ Scale notes
   window: Spark pre-aggregates it map-side, so a key that holds a third of all
   rows is reduced to one row per map task before the shuffle.
 * ``rank_duplicates`` must keep *every* row with its rank. The default
-  ``strategy="auto"`` first counts rows per key (a pre-aggregated, key-only
-  scan). Keys above ``hot_rows`` are ranked through a global range-partitioned
+  ``strategy="auto"`` finds hot keys from a seeded sample of the key columns
+  (about 1,000 sampled rows per ``hot_rows`` rows; no full count, no extra
+  shuffle of the data). Hot keys are ranked through a global range-partitioned
   sort: the range partitioner splits a hot key over many tasks, each task
   numbers its own slice, and a small per-(key, slice) count table supplies the
   offset of the slices before it, so no task ever holds a whole hot group.
-  All other keys take the plain ``row_number()`` window (one shuffle). With no
-  hot key the plan is exactly the window. ``strategy="window"`` /
-  ``"sorted"`` force one path (tests cross-check them).
+  All other keys take the plain ``row_number()`` window (one shuffle). Both
+  paths give identical ranks, so the sample only decides speed, never the
+  result; with no hot key the plan is exactly the window.
+  ``strategy="window"`` / ``"sorted"`` force one path (tests cross-check them).
 """
 
 from __future__ import annotations
@@ -88,13 +90,10 @@ def rank_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
         return _rank_by_global_sort(df, keys, order_cols, out)
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > hot_rows).select(*[F.col(k).alias(f"_hk_{k}") for k in keys]))
-    n_hot = hot.limit(HOT_KEY_BROADCAST + 1).count()
-    if n_hot == 0:
+    hot = _hot_keys(df, keys, hot_rows)
+    if hot is None:
         return _rank_by_window(df, keys, order_cols, out)
-    if n_hot <= HOT_KEY_BROADCAST:
-        hot = F.broadcast(hot)
+    hot = F.broadcast(hot)   # at most HOT_KEY_BROADCAST rows, built on the driver from the sample
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hk_{k}")) for k in keys])
     cold = df.join(hot, cond, "left_anti")
     heavy = df.join(hot, cond, "left_semi")
@@ -102,6 +101,26 @@ def rank_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
             .unionByName(_rank_by_global_sort(heavy, keys, order_cols, out)))
 
 
+def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int, seed: int = 17) -> DataFrame | None:
+    """Keys estimated to hold more than ``hot_rows`` rows, from a seeded sample.
+
+    The fraction keeps ~1,000 sampled rows per ``hot_rows`` rows, and a key is
+    taken when its sample count reaches half of that. At most HOT_KEY_BROADCAST
+    keys (the largest) are returned; any other key is still ranked exactly,
+    by the window path.
+    """
+    frac = min(1.0, 1000.0 / max(hot_rows, 1))
+    cutoff = max(1, int(hot_rows * frac / 2))
+    sampled = df.select(*keys) if frac >= 1.0 else df.select(*keys).sample(fraction=frac, seed=seed)
+    cand = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= cutoff).orderBy(F.col("_n").desc())
+            .limit(HOT_KEY_BROADCAST).collect())
+    if not cand:
+        return None
+    schema = T.StructType([T.StructField(f"_hk_{k}", df.schema[k].dataType) for k in keys])
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in cand], schema)
+
+
 def _rank_by_window(df: DataFrame, keys: list[str], order_cols: list[Column], out: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order_cols])
     return df.withColumn(out, F.row_number().over(w).cast("int"))

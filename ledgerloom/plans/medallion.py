@@ -48,6 +48,7 @@ class Lake:
     prefix: str = "ll"
     today: _dt.date | None = None       # contract-date rule; None = current_date()
     expectations: dict = field(default_factory=dict)
+    merge_buckets: int = 64             # silver tables are partitioned by a key bucket
 
     def t(self, layer: str, name: str) -> str:
         return f"{self.prefix}_{layer}.{name}"
@@ -190,11 +191,18 @@ def build_silver_dimensions(spark: SparkSession, lake: Lake) -> None:
                      .withColumn("silver_processed_at", F.current_timestamp()), lake.t("silver", "products"))
 
 
+MERGE_BUCKET = "_merge_bucket"
+
+
 def _sync(spark: SparkSession, lake: Lake, name: str, source: DataFrame, key: str) -> dict:
+    """Hash-gated merge into a silver table partitioned by key bucket: a run
+    rewrites only the buckets where something changed."""
     table = lake.t("silver", name)
-    TB.ensure_table(spark, table, source.schema, f"silver {name}", {"data_layer": "silver"},
-                    location=lake.path("tables", "silver", name))
-    return TB.apply_sync_merge(spark, table, source, key)
+    schema = T.StructType(source.schema.fields + [T.StructField(MERGE_BUCKET, T.IntegerType())])
+    TB.ensure_table(spark, table, schema, f"silver {name}", {"data_layer": "silver"},
+                    partition_by=[MERGE_BUCKET], location=lake.path("tables", "silver", name))
+    return TB.apply_sync_merge(spark, table, source, key, bucket_col=MERGE_BUCKET,
+                               buckets=lake.merge_buckets)
 
 
 def _stage(spark: SparkSession, lake: Lake, df: DataFrame, label: str) -> DataFrame:

@@ -123,10 +123,25 @@ def append_table(df: DataFrame, table: str) -> None:
     df.select(*df.sparkSession.table(table).columns).write.insertInto(table, overwrite=False)
 
 
+def merge_bucket(key: str, buckets: int):
+    """Bucket of a key for bucket-partitioned merge targets."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
 def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: str,
-                     hash_col: str = "record_hash") -> dict[str, int]:
-    """Synchronise ``table`` with ``source``; returns rows per action."""
+                     hash_col: str = "record_hash", bucket_col: str | None = None,
+                     buckets: int | None = None) -> dict[str, int]:
+    """Synchronise ``table`` with ``source``; returns rows per action.
+
+    The plan is staged once (it is read for the checks, the counts and the
+    write). Without buckets the whole target is overwritten from the stage.
+    With ``bucket_col`` (a partition column = ``merge_bucket(key, buckets)``)
+    only the buckets that hold an INSERT, UPDATE or DELETE are overwritten, by
+    dynamic partition overwrite; unchanged buckets are not rewritten.
+    """
     stage = f"{table}__stg"
+    if bucket_col is not None:
+        source = source.withColumn(bucket_col, merge_bucket(key, buckets))
     plan = M.sync_merge_plan(spark.table(table), source, key, hash_col)
     spark.sql(f"DROP TABLE IF EXISTS {stage}")
     plan.write.mode("overwrite").format("parquet").saveAsTable(stage)
@@ -134,8 +149,22 @@ def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: st
     M.check_cardinality(staged)
     counts = {r["action"]: int(r["rows"]) for r in M.action_counts(staged).collect()}
     cols = spark.table(table).columns
-    with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-        M.merged_state(staged).select(*cols).write.insertInto(table, overwrite=True)
+    if bucket_col is None:
+        with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+            M.merged_state(staged).select(*cols).write.insertInto(table, overwrite=True)
+    else:
+        # at most ``buckets`` values reach the driver
+        changed = [r[0] for r in staged.where(F.col("_action") != M.KEEP)
+                   .select(bucket_col).distinct().collect()]
+        if changed:
+            state = M.merged_state(staged).where(F.col(bucket_col).isin(changed)).select(*cols)
+            # rebalance: rows of a bucket go to few tasks (few files); AQE still
+            # splits a large bucket over several tasks
+            with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+                state.hint("rebalance", bucket_col).write.insertInto(table, overwrite=True)
+            kept = {r[0] for r in state.select(bucket_col).distinct().collect()}
+            for b in set(changed) - kept:   # every row of the bucket was deleted
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({bucket_col} = {int(b)})")
     return {a: counts.get(a, 0) for a in (M.INSERT, M.UPDATE, M.DELETE, M.KEEP)}
 
 
