@@ -122,8 +122,16 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contracts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base contracts plus the second delivery, in one pass over ``orders``:
+    each order yields one row, or two when it is re-delivered."""
     base = contracts_base(spark, sf_dir)
-    return base.unionByName(contract_copies(base))
+    again = F.pmod(F.col("contract_id"), F.lit(DUPLICATE_EVERY)) == DUPLICATE_REMAINDER
+    copy_no = F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    out = base.select("*", copy_no.alias("_copy"))
+    out = out.withColumn("source_updated_at",
+                         F.when(F.col("_copy") == 1, F.col("source_updated_at") - F.expr("INTERVAL 1 DAY"))
+                          .otherwise(F.col("source_updated_at")))
+    return out.drop("_copy")
 
 
 def contract_copies(base: DataFrame) -> DataFrame:
@@ -224,6 +232,7 @@ def installment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots: the installments due before 1999-12-01 as known on that
     date, and the full current snapshot."""
     cur = installments_raw(spark, sf_dir)
-    prev = (cur.where(F.col("due_date") < F.lit(PREVIOUS_SNAPSHOT))
-               .withColumn("snapshot_date", F.lit(PREVIOUS_SNAPSHOT)))
-    return prev.unionByName(cur)
+    known_then = F.col("due_date") < F.lit(PREVIOUS_SNAPSHOT)
+    snaps = F.explode(F.when(known_then, F.array(F.lit(AS_OF), F.lit(PREVIOUS_SNAPSHOT)))
+                       .otherwise(F.array(F.lit(AS_OF))))
+    return cur.drop("snapshot_date").select("*", snaps.alias("snapshot_date")).select(*cur.columns)
