@@ -187,6 +187,26 @@ def q_stream_payments(spark, sf):
     return out.select(*[f.name for f in PAYMENT_DECLARED.fields], "_rescued_data", "event_date")
 
 
+@query("inferred_stream_scan")
+def q_inferred_stream(spark, sf):
+    """``events`` delivered as JSON per day; the stream's schema is inferred once
+    from a batch read of the landing folder."""
+    root = scratch_dir(spark, "inferred-stream")
+    landing, sink, ckpt = (posixpath.join(root, x) for x in ("landing", "bronze", "checkpoint"))
+    ev = TD.table(spark, sf, "events")
+    lines = ev.select(F.to_json(F.struct(
+        "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "user_id",
+        "event_type", "value", "props")).alias("value"), F.to_date("ts").alias("event_day"))
+    lines.write.mode("append").partitionBy("event_day").text(landing)
+    stream = ST.inferred_file_stream(spark, landing, "json")
+    ST.drain(stream, sink, ckpt)
+    again = ST.drain(ST.inferred_file_stream(spark, landing, "json"), sink, ckpt)
+    if again:
+        raise AssertionError(f"re-run loaded {again} rows")
+    return spark.read.parquet(sink).select("event_id", "ts", "user_id", "event_type", "value", "props",
+                                           "event_day")
+
+
 CONTRACT_CSV_COLS = [f.name for f in S.CONTRACT_SOURCE.fields]
 
 

@@ -71,6 +71,15 @@ def set_table_properties(spark: SparkSession, name: str, comment: str | None = N
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({kv})")
 
 
+def describe_table(spark: SparkSession, name: str) -> DataFrame:
+    """``DESCRIBE TABLE EXTENDED``: columns, then comment, location, properties."""
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+
+
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
 @contextlib.contextmanager
 def _conf(spark: SparkSession, key: str, value: str):
     old = spark.conf.get(key, None)

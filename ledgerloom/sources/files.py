@@ -156,3 +156,8 @@ def write_landing(df: DataFrame, path: str, fmt: str, files: int | None = None,
     if fmt == "csv":
         options.setdefault("header", True)
     w.options(**options).save(path)
+
+
+def preview(spark: SparkSession, path: str, fmt: str, n: int = 10, **options) -> DataFrame:
+    """First ``n`` rows of a file set (ad-hoc look at a landing folder; the limit is the point)."""
+    return spark.read.format(fmt).options(**options).load(path).limit(n)

@@ -59,6 +59,22 @@ def file_stream(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
     return raw.select("*", *_meta_cols(size=True))
 
 
+def infer_schema(spark: SparkSession, path: str, fmt: str = "json", sampling_ratio: float = 1.0,
+                 **options) -> T.StructType:
+    """Infer a landing folder's schema once, with a batch read (``samplingRatio``
+    bounds the rows looked at), to hand to a stream, which cannot infer."""
+    return (spark.read.format(fmt).option("samplingRatio", str(sampling_ratio)).options(**options)
+            .load(path).schema)
+
+
+def inferred_file_stream(spark: SparkSession, path: str, fmt: str = "json", sampling_ratio: float = 1.0,
+                         **options) -> DataFrame:
+    """A file stream whose schema (partition columns included) is inferred once from a batch sample."""
+    schema = infer_schema(spark, path, fmt, sampling_ratio, **options)
+    return (spark.readStream.options(**{**DEFAULT_OPTIONS, **options}).schema(schema).format(fmt).load(path)
+            .select("*", *_meta_cols(size=True)))
+
+
 def drain(df: DataFrame, target: str, checkpoint: str, query_name: str | None = None,
           fmt: str = "parquet", timeout: float | None = None) -> int:
     """Run the stream to completion (availableNow) into ``target``; return rows added.

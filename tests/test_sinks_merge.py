@@ -100,3 +100,18 @@ def test_bucketed_merge_rewrites_only_changed_buckets(spark, tmp_root):
     third = second.where(TB.merge_bucket("k", 8) != bucket)
     c3 = TB.apply_sync_merge(spark, name, third, "k", "h", "_bucket", 8)
     assert c3["DELETE"] > 0 and spark.table(name).where(F.col("_bucket") == bucket).count() == 0
+
+
+def test_namespaces_comments_properties_and_describe(spark, tmp_root):
+    ns = "lln_" + posixpath.basename(tmp_root).replace("-", "_")
+    TB.ensure_namespaces(spark, {ns: "bronze layer"}, location=tmp_root)
+    assert spark.catalog.databaseExists(ns)
+    name = f"{ns}.payments_raw"
+    TB.ensure_table(spark, name, SNAP, "payments", {"data_layer": "bronze"}, location=posixpath.join(tmp_root, "pr"))
+    TB.set_table_properties(spark, name, comment="payment events",
+                            props={"ingestion_pattern": "stream_available_now"})
+    props = TB.table_properties(spark, name)
+    assert props["data_layer"] == "bronze" and props["ingestion_pattern"] == "stream_available_now"
+    d = {r["col_name"]: r["data_type"] for r in TB.describe_table(spark, name).collect()}
+    assert d["Comment"] == "payment events" and d["id"] == "string"
+    assert spark.sql("SELECT current_schema()").first()[0]

@@ -88,3 +88,16 @@ def test_batch_and_stream_parse_agree(spark, tmp_root):
     cols = [f.name for f in SCHEMA.fields] + ["_rescued_data"]
     assert sorted(map(tuple, batch.select(*cols).collect()), key=str) == \
         sorted(map(tuple, spark.read.parquet(sink).select(*cols).collect()), key=str)
+
+
+def test_preview_and_inferred_stream(spark, tmp_root):
+    landing = posixpath.join(tmp_root, "inf", "day=2000-01-01")
+    write(landing, "a.json", '{"id": 1, "x": 1.5}\n{"id": 2, "x": 2.5}\n{"id": 3, "x": null}\n')
+    root = posixpath.dirname(landing)
+    assert FS.preview(spark, root, "json", n=2).count() == 2
+    schema = ST.infer_schema(spark, root)
+    assert dict((f.name, f.dataType.simpleString()) for f in schema.fields) == \
+        {"id": "bigint", "x": "double", "day": "date"}
+    sink, ck = posixpath.join(tmp_root, "inf_sink"), posixpath.join(tmp_root, "inf_ck")
+    assert ST.drain(ST.inferred_file_stream(spark, root), sink, ck) == 3
+    assert spark.read.parquet(sink).where(F.col("day") == dt.date(2000, 1, 1)).count() == 3
