@@ -5,9 +5,10 @@ product uses): the newest snapshot / update / file wins.
 
 Scale notes
 -----------
-* ``latest_per_key`` is an aggregate (``max_by`` over an ordering struct), not a
-  window: Spark pre-aggregates it map-side, so a key that holds a third of all
-  rows is reduced to one row per map task before the shuffle.
+* ``latest_per_key`` is ``row_number() = 1`` over a total order. Spark plans it
+  with a *partial* ``WindowGroupLimit`` before the exchange, so a key that holds
+  a third of all rows is cut to one row per map task before the shuffle
+  (measured faster than a ``max_by`` struct aggregate, which runs sort-based).
 * ``rank_duplicates`` must keep *every* row with its rank. The default
   ``strategy="auto"`` finds hot keys from a seeded sample of the key columns
   (about 1,000 sampled rows per ``hot_rows`` rows; no full count, no extra
@@ -54,14 +55,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     if where is not None:
         df = df.where(where)
     keys = list(keys)
-    payload = [f for f in df.schema.fields if f.name not in keys]
-    order_struct = F.struct(
-        *[as_col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        *[F.col(f.name).alias(f"_t{i}") for i, f in enumerate(payload) if _orderable(f.dataType)],
-    )
-    best = (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*[F.col(f.name) for f in payload]), order_struct).alias("_best")))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
+    ties = [f.name for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]
+    w = Window.partitionBy(*keys).orderBy(*[as_col(c).desc_nulls_last() for c in order],
+                                          *[F.col(c).desc_nulls_last() for c in ties])
+    return df.withColumn("_latest", F.row_number().over(w)).where(F.col("_latest") == 1).drop("_latest")
 
 
 def _tie_column(tie_cols: Sequence[str] | None) -> list[Column]:
