@@ -76,6 +76,11 @@ def describe_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = describe_table(spark, name).where(F.col("col_name") == "Location").collect()
+    return rows[0]["data_type"]
+
+
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
@@ -148,13 +153,13 @@ def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: st
     only the buckets that hold an INSERT, UPDATE or DELETE are overwritten, by
     dynamic partition overwrite; unchanged buckets are not rewritten.
     """
-    stage = f"{table}__stg"
     if bucket_col is not None:
         source = source.withColumn(bucket_col, merge_bucket(key, buckets))
     plan = M.sync_merge_plan(spark.table(table), source, key, hash_col)
-    spark.sql(f"DROP TABLE IF EXISTS {stage}")
-    plan.write.mode("overwrite").format("parquet").saveAsTable(stage)
-    staged = spark.table(stage)
+    # the stage lives next to the target (same shared storage), never in a local folder
+    stage = table_location(spark, table).rstrip("/") + "__merge_stage"
+    plan.write.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage)
     M.check_cardinality(staged)
     counts = {r["action"]: int(r["rows"]) for r in M.action_counts(staged).collect()}
     cols = spark.table(table).columns
