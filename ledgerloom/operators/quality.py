@@ -135,19 +135,31 @@ def classify_contracts(contracts_raw: DataFrame, customers: DataFrame, products:
     return classify(enriched, contract_rules(today))
 
 
+def split_valid(classified: DataFrame, cols, hash_cols, processed_col: str | None = None,
+                codes: str = "error_codes") -> DataFrame:
+    """Rows without errors, projected to ``cols`` + ``record_hash`` over ``hash_cols``."""
+    out = classified.where(F.size(codes) == 0).select(*cols, record_hash(*hash_cols).alias("record_hash"))
+    return out.withColumn(processed_col, F.current_timestamp()) if processed_col else out
+
+
+def split_quarantine(classified: DataFrame, key: str, cols, hash_cols, processed_col: str | None = None,
+                     codes: str = "error_codes") -> DataFrame:
+    """Rows with at least one error, with a surrogate ``quarantine_id`` of
+    (key, source path, duplicate rank) and a ``record_hash`` over ``hash_cols``."""
+    out = (classified.where(F.size(codes) > 0)
+           .select(quarantine_key(key, "source_file_path", "duplicate_rank").alias("quarantine_id"),
+                   *cols, record_hash(*hash_cols).alias("record_hash")))
+    return out.withColumn(processed_col, F.current_timestamp()) if processed_col else out
+
+
 def contracts_valid(classified: DataFrame, processed_at: bool = False) -> DataFrame:
-    out = (classified.where(F.size("error_codes") == 0)
-           .select(*S.CONTRACT_VALID_COLUMNS,
-                   record_hash(*S.CONTRACT_VALID_HASH).alias("record_hash")))
-    return out.withColumn("silver_processed_at", F.current_timestamp()) if processed_at else out
+    return split_valid(classified, S.CONTRACT_VALID_COLUMNS, S.CONTRACT_VALID_HASH,
+                       "silver_processed_at" if processed_at else None)
 
 
 def contracts_quarantine(classified: DataFrame, processed_at: bool = False) -> DataFrame:
-    out = (classified.where(F.size("error_codes") > 0)
-           .select(quarantine_key("contract_id", "source_file_path", "duplicate_rank").alias("quarantine_id"),
-                   *S.CONTRACT_QUARANTINE_COLUMNS,
-                   record_hash(*S.CONTRACT_QUARANTINE_HASH).alias("record_hash")))
-    return out.withColumn("quarantined_at", F.current_timestamp()) if processed_at else out
+    return split_quarantine(classified, "contract_id", S.CONTRACT_QUARANTINE_COLUMNS,
+                            S.CONTRACT_QUARANTINE_HASH, "quarantined_at" if processed_at else None)
 
 
 # ---------------------------------------------------------------------------
@@ -188,18 +200,13 @@ def classify_payments(payments_raw: DataFrame, installments_raw: DataFrame,
 
 
 def payments_valid(classified: DataFrame, processed_at: bool = False) -> DataFrame:
-    out = (classified.where(F.size("error_codes") == 0)
-           .select(*S.PAYMENT_VALID_COLUMNS,
-                   record_hash(*S.PAYMENT_VALID_HASH).alias("record_hash")))
-    return out.withColumn("silver_processed_at", F.current_timestamp()) if processed_at else out
+    return split_valid(classified, S.PAYMENT_VALID_COLUMNS, S.PAYMENT_VALID_HASH,
+                       "silver_processed_at" if processed_at else None)
 
 
 def payments_quarantine(classified: DataFrame, processed_at: bool = False) -> DataFrame:
-    out = (classified.where(F.size("error_codes") > 0)
-           .select(quarantine_key("payment_id", "source_file_path", "duplicate_rank").alias("quarantine_id"),
-                   *S.PAYMENT_QUARANTINE_COLUMNS,
-                   record_hash(*S.PAYMENT_QUARANTINE_HASH).alias("record_hash")))
-    return out.withColumn("quarantined_at", F.current_timestamp()) if processed_at else out
+    return split_quarantine(classified, "payment_id", S.PAYMENT_QUARANTINE_COLUMNS,
+                            S.PAYMENT_QUARANTINE_HASH, "quarantined_at" if processed_at else None)
 
 
 def error_frequencies(classified: DataFrame, codes: str = "error_codes") -> DataFrame:
