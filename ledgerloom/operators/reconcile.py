@@ -2,8 +2,10 @@
 
 Plan shape: payments are pre-aggregated per installment (partial + final hash
 aggregate, so a hot installment never reaches one task as raw rows), then
-joined once to the current installments. The trusted-contract restriction is a
-left-semi join: only existence matters and it cannot multiply rows.
+joined to the current installments on the partitioning both already have. The
+trusted-contract restriction comes last (an inner join with the unique trusted
+contracts), so its contract_id partitioning carries on into the contract
+position and the fact.
 """
 
 from __future__ import annotations
@@ -53,16 +55,22 @@ def reconcile_installments(installments: DataFrame, contracts: DataFrame, paymen
     """Per installment: paid, outstanding, overpaid, days past due and status.
 
     ``installments``: current installment rows (one per id); ``contracts``:
-    trusted contracts; ``payments``: trusted payments. Every output row is
+    trusted contracts (one row per contract_id); ``payments``: trusted payments. Every output row is
     stamped with ``as_of`` as its ``snapshot_date``.
     """
     as_of_c = _date(as_of)
     totals = payment_totals(payments, as_of_c)
     trusted = contracts.select("contract_id")
+    # Totals first: both sides are already hash-partitioned by installment_id
+    # (latest-row selection, payment aggregate), so this join adds no shuffle.
+    # The trusted contracts (unique per contract_id: only rank-1 rows are
+    # valid) come last as an inner join -- a semi-join would be pushed back
+    # below the outer join by the optimizer -- and leave the rows partitioned
+    # by contract_id for the contract position and the fact join.
     base = (installments
             .where((F.col("scheduled_amount") > 0) & F.col("due_date").isNotNull())
-            .join(trusted, "contract_id", "left_semi")
-            .join(totals, "installment_id", "left"))
+            .join(totals, "installment_id", "left")
+            .join(trusted, "contract_id", "inner"))
     paid = F.coalesce(F.col("total_paid"), F.lit(0))
     balance = F.col("scheduled_amount") - paid
     past_due = F.col("due_date") < as_of_c

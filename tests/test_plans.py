@@ -45,3 +45,22 @@ def test_products_broadcast_customers_not_forced(spark):
     # products and nations carry the hint (each proven under its bound); the
     # customer dimension, which grows with the data, is left to AQE
     assert p.count("strategy=broadcast") == 2
+
+
+def test_reconcile_and_position_shuffle_installments_once_by_contract(spark):
+    """Large-data plan (no broadcasts): the payment-totals join reuses the
+    installment_id partitioning; one contract_id exchange feeds both the position
+    aggregate and the fact join."""
+    b = CreditBook(spark, SF)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(b.fact)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [ln.strip().lstrip("+-: ").strip() for ln in p.splitlines()]
+    assert not any(ln.startswith("Exchange hashpartitioning(contract_id") and ln.count("#") > 1 for ln in lines)
+    final_agg = next(i for i, ln in enumerate(lines)
+                     if "HashAggregate(keys=[contract_id" in ln and "partial_" not in ln)
+    assert "partial_" in lines[final_agg + 1]
