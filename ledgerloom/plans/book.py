@@ -3,6 +3,12 @@
 ``CreditBook`` wires the operators in dependency order (bronze -> silver ->
 gold) without writing tables; each registered query takes the layer it
 needs. Layers are built on first use, so a query only plans what it reads.
+
+With ``stage=True`` the layers that several consumers read (classified
+contracts and payments, reconciled installments) are materialised once with a
+reliable ``checkpoint()`` into the session's shared ``spark.checkpoint.dir``:
+later consumers read the written data instead of re-deriving it, and the
+lineage is cut, so a lost executor does not recompute from the sources.
 """
 
 from __future__ import annotations
@@ -14,17 +20,25 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.operators import portfolio as P
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import reconcile as R
+from ledgerloom.session import shared_dir
 from ledgerloom.sources import testdata as TD
 
 
 class CreditBook:
     def __init__(self, spark: SparkSession, sf_dir: str, today=TD.TODAY, as_of=None,
-                 rank_strategy: str = "auto"):
+                 rank_strategy: str = "auto", stage: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.today = today
         self._as_of = as_of
         self.rank_strategy = rank_strategy
+        self.stage = stage
+
+    def _staged(self, df: DataFrame) -> DataFrame:
+        if not self.stage:
+            return df
+        shared_dir(self.spark)   # makes sure spark.checkpoint.dir is set (tests only set it here)
+        return df.checkpoint(eager=True)
 
     # bronze -------------------------------------------------------------
     @cached_property
@@ -62,8 +76,8 @@ class CreditBook:
 
     @cached_property
     def contracts_classified(self) -> DataFrame:
-        return Q.classify_contracts(self.contracts_raw, self.customers, self.products,
-                                    today=self.today, rank_strategy=self.rank_strategy)
+        return self._staged(Q.classify_contracts(self.contracts_raw, self.customers, self.products,
+                                                 today=self.today, rank_strategy=self.rank_strategy))
 
     @cached_property
     def contracts(self) -> DataFrame:
@@ -75,8 +89,8 @@ class CreditBook:
 
     @cached_property
     def payments_classified(self) -> DataFrame:
-        return Q.classify_payments(self.payments_raw, self.installments_raw,
-                                   rank_strategy=self.rank_strategy)
+        return self._staged(Q.classify_payments(self.payments_raw, self.installments_raw,
+                                                rank_strategy=self.rank_strategy))
 
     @cached_property
     def payments(self) -> DataFrame:
@@ -92,8 +106,8 @@ class CreditBook:
 
     @cached_property
     def installments(self) -> DataFrame:
-        return R.reconcile_installments(self.installments_latest, self.contracts, self.payments,
-                                        self.as_of)
+        return self._staged(R.reconcile_installments(self.installments_latest, self.contracts,
+                                                     self.payments, self.as_of))
 
     # gold ---------------------------------------------------------------
     @cached_property

@@ -432,7 +432,7 @@ def quality_metrics(spark, book: CreditBook) -> dict[str, DataFrame]:
 
 @query("quality_results")
 def q_quality_results(spark, sf):
-    book = CreditBook(spark, sf)
+    book = CreditBook(spark, sf, stage=True)   # nine metric branches read the same layers
     return C.run_checks(spark, quality_metrics(spark, book), quality_checks(EXPECTED_SF001), *RUN_2)
 
 
@@ -443,7 +443,7 @@ def q_latest_run(spark, sf):
     name = _table_name("data_quality_results", root)
     TB.ensure_table(spark, name, S.QUALITY_RESULTS, "quality history", {"data_domain": "operations"},
                     location=posixpath.join(root, "table"))
-    book = CreditBook(spark, sf)
+    book = CreditBook(spark, sf, stage=True)
     metrics = quality_metrics(spark, book)
     first = {**EXPECTED_SF001, "contracts_valid": 0}   # the earlier run expected no valid contracts
     r1 = C.run_checks(spark, metrics, quality_checks(first), *RUN_1)
