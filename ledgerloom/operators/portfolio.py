@@ -217,10 +217,11 @@ GROUP BY snapshot_date
 
 
 def bucket_distribution(fact: DataFrame) -> DataFrame:
+    """Contracts and balances per delinquency bucket (sums keep their natural type)."""
     return (fact.groupBy("snapshot_date", "delinquency_bucket")
             .agg(F.count(F.lit(1)).alias("contracts"),
-                 F.sum("outstanding_amount").cast(SUM22).alias("outstanding_amount"),
-                 F.sum("overdue_amount").cast(SUM22).alias("overdue_amount")))
+                 F.sum("outstanding_amount").alias("outstanding_amount"),
+                 F.sum("overdue_amount").alias("overdue_amount")))
 
 
 def top_overdue_products(kpis: DataFrame) -> DataFrame:
