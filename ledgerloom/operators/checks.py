@@ -92,6 +92,25 @@ def run_checks(spark: SparkSession, metrics: dict[str, DataFrame], checks: Seque
         "actual_value", "expected_value", "severity", "details")
 
 
+class SchemaContractError(AssertionError):
+    pass
+
+
+def require_columns(df: DataFrame, required: Sequence[str]) -> None:
+    """Schema contract: every required column is present (raise with the missing set)."""
+    missing = set(required) - set(df.columns)
+    if missing:
+        raise SchemaContractError(f"missing required columns: {sorted(missing)}")
+
+
+def snapshot_counts(df: DataFrame, column: str = "snapshot_date", key: str | None = None) -> DataFrame:
+    """Rows (and distinct keys) per snapshot."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if key:
+        aggs.append(F.count_distinct(key).alias("distinct_keys"))
+    return df.groupBy(column).agg(*aggs)
+
+
 def pii_exposure(df: DataFrame, pii: Sequence[str] = S.PII_COLUMNS) -> int:
     """How many PII columns a published table exposes (a schema check)."""
     return len(set(df.columns) & set(pii))

@@ -288,6 +288,13 @@ def q_latest_slice(spark, sf):
     return latest_snapshot_slice(hist).select(*INSTALLMENT_TABLE.fieldNames())
 
 
+@query("snapshot_row_counts")
+def q_snapshot_counts(spark, sf):
+    hist = TD.installment_history(spark, sf)
+    C.require_columns(hist, ["installment_id", "snapshot_date", "scheduled_amount"])
+    return C.snapshot_counts(hist, key="installment_id")
+
+
 MERGE_OLD_TS = _dt.datetime(1999, 12, 31, 0, 0, 0)
 
 

@@ -75,3 +75,10 @@ def test_checks_gate_and_latest_run(spark, tmp_root):
         C.publish_and_gate(r2, name)
     assert spark.table(name).count() == 4             # persisted before the gate fired
     assert [r["run_id"] for r in C.latest_run(spark.table(name)).collect()] == ["r2"]
+
+
+def test_schema_contract(spark):
+    df = spark.createDataFrame([(1, "a")], "payment_id int, amount_paid string")
+    C.require_columns(df, ["payment_id"])
+    with pytest.raises(C.SchemaContractError):
+        C.require_columns(df, ["payment_id", "_rescued_data", "ingested_at"])
