@@ -128,6 +128,21 @@ def q_duplicate_rank(spark, sf):
                          "duplicate_rank")
 
 
+@query("batch_event_rank")
+def q_batch_event_rank(spark, sf):
+    """Position of every payment event within its delivery batch, latest first.
+
+    All events share one batch id, so this key holds every row: the skew-safe
+    path ranks it through a range-partitioned sort instead of one task.
+    """
+    p = CreditBook(spark, sf).payments_raw
+    ties = ["payment_id", "installment_id", "contract_id", "installment_number", "payment_date",
+            "amount_paid", "event_type"]
+    ranked = rank_duplicates(p, ["source_batch_id"], ["event_timestamp"], tie_cols=ties,
+                             out="batch_rank", hot_rows=5_000)
+    return ranked.select("source_batch_id", *ties, "event_timestamp", "batch_rank")
+
+
 @query("duplicate_keys")
 def q_duplicate_keys(spark, sf):
     return duplicate_keys(CreditBook(spark, sf).contracts_raw, ["contract_id"])
