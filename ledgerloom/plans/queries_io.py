@@ -141,13 +141,11 @@ def _payment_lines(spark, sf) -> DataFrame:
     """Payment events as JSON lines: REFUNDs carry an undeclared ``channel``
     field and missing amounts arrive as the text ``unknown``."""
     p = TD.payments_raw(spark, sf)
-    fields = [F.col(f.name) for f in PAYMENT_DECLARED.fields if f.name != "amount_paid"]
     amount = F.coalesce(F.col("amount_paid").cast("string"), F.lit("unknown"))
     channel = F.when(F.col("event_type") == "REFUND", F.lit("refund-desk"))
-    ordered = []
-    for f in PAYMENT_DECLARED.fields:
-        ordered.append(amount.alias("amount_paid") if f.name == "amount_paid" else F.col(f.name))
-    line = F.to_json(F.struct(*ordered, channel.alias("channel")))
+    fields = [amount.alias("amount_paid") if f.name == "amount_paid" else F.col(f.name)
+              for f in PAYMENT_DECLARED.fields]
+    line = F.to_json(F.struct(*fields, channel.alias("channel")))
     return p.select(line.alias("value"), "event_date")
 
 
