@@ -64,3 +64,13 @@ def test_reconcile_and_position_shuffle_installments_once_by_contract(spark):
     final_agg = next(i for i, ln in enumerate(lines)
                      if "HashAggregate(keys=[contract_id" in ln and "partial_" not in ln)
     assert "partial_" in lines[final_agg + 1]
+
+
+def test_latest_snapshot_prunes_partitions_at_run_time(spark, tmp_root):
+    from ledgerloom.operators.quality import latest_snapshot_slice
+    path = os.path.join(tmp_root, "hist")
+    TD.installment_history(spark, SF).select("installment_id", "snapshot_date") \
+        .write.partitionBy("snapshot_date").parquet(path)
+    p = plan(latest_snapshot_slice(spark.read.parquet(path)))
+    scan = [ln for ln in p.splitlines() if "FileScan" in ln and "installment_id" in ln][0]
+    assert "PartitionFilters: [isnotnull(snapshot_date" in scan and "Subquery" in scan
