@@ -20,6 +20,12 @@ Scale notes
   paths give identical ranks, so the sample only decides speed, never the
   result; with no hot key the plan is exactly the window.
   ``strategy="window"`` / ``"sorted"`` force one path (tests cross-check them).
+
+  Why a range sort and not "window per (key, order bucket)": a key with a
+  third of 100 TB needs ~10^5 buckets, and assigning a row to a bucket needs
+  a binary search over the boundaries, which only the range partitioner does
+  natively; a per-row linear scan over boundary arrays would cost ~10^5
+  comparisons per row.
 """
 
 from __future__ import annotations
