@@ -393,7 +393,7 @@ def q_installment_metrics(spark, sf):
 
 # Expectations of the sf0.01 fixture (published with the mapping).
 EXPECTED_SF001 = {"products": 5, "customers": 1500, "contracts_raw": 15150, "contracts_valid": 4042,
-                  "contracts_quarantine": 11108}
+                  "contracts_quarantine": 11108, "payments_quarantine": 10006}
 RUN_1 = ("run-0001", _dt.datetime(2000, 1, 1, 9, 0, 0))
 RUN_2 = ("run-0002", _dt.datetime(2000, 1, 2, 9, 0, 0))
 
@@ -407,6 +407,8 @@ def quality_checks(expected: dict) -> list[C.Check]:
         C.Check("silver", "contracts", "expected_valid_contracts", "rows", expected["contracts_valid"]),
         C.Check("silver", "contracts_quarantine", "expected_known_rejections", "rows",
                 expected["contracts_quarantine"]),
+        C.Check("silver", "payments_quarantine", "expected_known_rejections", "rows",
+                expected["payments_quarantine"]),
         C.Check("silver", "payments", "no_duplicate_payment_ids", "duplicate_rows", 0),
         C.Check("silver", "installments", "no_negative_outstanding_balance", "negative_balances", 0),
         C.Check("gold", "fact_credit_portfolio", "one_row_per_contract", "duplicate_rows", 0),
@@ -428,6 +430,7 @@ def quality_metrics(spark, book: CreditBook) -> dict[str, DataFrame]:
         "contracts_raw": C.profile(book.contracts_raw),
         "contracts": C.profile(book.contracts),
         "contracts_quarantine": C.profile(book.contracts_quarantine),
+        "payments_quarantine": C.profile(book.payments_quarantine),
         "payments": C.profile(book.payments, key="payment_id"),
         "installments": R.installment_metrics(book.installments),
         "fact_credit_portfolio": fact_m,
