@@ -314,6 +314,43 @@ def run_quality(spark: SparkSession, lake: Lake, run_id: str | None = None,
     return results
 
 
+class StepGateError(AssertionError):
+    pass
+
+
+def _gate(step: str, row, checks: dict) -> None:
+    """Post-condition of a step: each metric must equal its expected value."""
+    bad = {k: (row[k], v) for k, v in checks.items() if v is not None and row[k] != v}
+    if bad:
+        raise StepGateError(f"{step}: {bad}")
+
+
+def gate_steps(spark: SparkSession, lake: Lake) -> None:
+    """The per-step post-publish gates: invariants always, counts when expected.
+
+    One aggregate per table (scalar subqueries for the cross-table values),
+    one row to the driver per gate.
+    """
+    e = lake.expectations
+    t = lambda layer, name: spark.table(lake.t(layer, name))
+    raw = t("bronze", "contracts_raw")
+    b = raw.agg(F.count(F.lit(1)).alias("contracts"),
+                F.count(F.when(F.col("principal_amount") <= 0, 1)).alias("invalid_principal_rows"),
+                t("bronze", "products_raw").agg(F.count(F.lit(1))).scalar().alias("products")).first()
+    _gate("bronze", b, {"products": e.get("products"), "contracts": e.get("contracts_raw")})
+    c = t("silver", "contracts").agg(F.count(F.lit(1)).alias("rows"),
+                                     F.count_distinct("contract_id").alias("ids")).first()
+    _gate("silver contracts", c, {"ids": c["rows"], "rows": e.get("contracts_valid")})
+    p = t("silver", "payments").agg(F.count(F.lit(1)).alias("rows"),
+                                    F.count_distinct("payment_id").alias("ids")).first()
+    _gate("silver payments", p, {"ids": p["rows"]})
+    i = R.installment_metrics(t("silver", "installments")).first()
+    _gate("silver installments", i, {"distinct_ids": i["rows"], "negative_balances": 0})
+    f = t("gold", "fact_credit_portfolio").agg(F.count(F.lit(1)).alias("rows"),
+                                               F.count_distinct("contract_id").alias("contracts")).first()
+    _gate("gold", f, {"contracts": f["rows"]})
+
+
 def run_all(spark: SparkSession, lake: Lake, snapshot: _dt.date, gate: bool = True) -> dict:
     """Every step in dependency order; returns the per-step counts."""
     setup(spark, lake)
@@ -327,5 +364,7 @@ def run_all(spark: SparkSession, lake: Lake, snapshot: _dt.date, gate: bool = Tr
     out["silver_payments"] = build_silver_payments(spark, lake)
     out["silver_installments"] = build_silver_installments(spark, lake)
     build_gold(spark, lake)
+    if gate:
+        gate_steps(spark, lake)
     run_quality(spark, lake, gate=gate)
     return out

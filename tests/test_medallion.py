@@ -38,6 +38,10 @@ def test_run_all_and_rerun(spark, tmp_root):
     again = MD.build_silver_contracts(spark, lake)
     assert again["valid"]["INSERT"] == again["valid"]["UPDATE"] == again["valid"]["DELETE"] == 0
     assert again["quarantine"]["UPDATE"] == again["quarantine"]["DELETE"] == 0
+    # a wrong expectation stops the run at the step gate
+    wrong = MD.Lake(root=tmp_root, prefix="llt", today=TD.TODAY, expectations={"products": 6})
+    with pytest.raises(MD.StepGateError):
+        MD.gate_steps(spark, wrong)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="fixture tables not present")
