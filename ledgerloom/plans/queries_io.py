@@ -248,7 +248,7 @@ def q_load_ledger(spark, sf):
         b.select("source_file_path", "batch_date").distinct(), "source_file_path")
     return (per_file.groupBy("batch_date")
             .agg(F.sum("rows").alias("rows"),
-                 (F.count(F.lit(1)) > 0).alias("has_files"),
+                 F.count(F.lit(1)).alias("files"),   # each delivery was written as two files
                  (F.min("first_ingested_at") <= F.max("last_ingested_at")).alias("ingestion_ordered")))
 
 
