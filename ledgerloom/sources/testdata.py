@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
 from ledgerloom.functions.columns import risk_premium
-from ledgerloom.plans.joins import maybe_broadcast
 
 AS_OF = _dt.date(2000, 1, 1)
 TODAY = AS_OF
@@ -76,7 +75,8 @@ def _meta(path: str) -> list[Column]:
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                 "c_acctbal", "c_mktsegment")
-    n = maybe_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 1_000)
+    # a plain scan of the nation file: Spark's planner broadcasts it by its file-size statistics
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     key = F.col("c_custkey")
     return j.select(
