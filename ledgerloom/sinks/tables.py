@@ -147,14 +147,51 @@ def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: st
                      buckets: int | None = None) -> dict[str, int]:
     """Synchronise ``table`` with ``source``; returns rows per action.
 
-    The plan is staged once (it is read for the checks, the counts and the
-    write). Without buckets the whole target is overwritten from the stage.
-    With ``bucket_col`` (a partition column = ``merge_bucket(key, buckets)``)
-    only the buckets that hold an INSERT, UPDATE or DELETE are overwritten, by
-    dynamic partition overwrite; unchanged buckets are not rewritten.
+    Whole table (no ``bucket_col``): the plan is staged once next to the
+    target (it is read for the checks, the counts and the write) and the
+    target is overwritten from the stage.
+
+    Bucket-partitioned (``bucket_col`` = ``merge_bucket(key, buckets)``):
+      1. actions are decided on (key, hash, bucket) only -- a columnar read of
+         three columns of the target -- giving the counts and the changed
+         buckets (at most ``buckets`` values reach the driver); nothing is written;
+      2. only the changed buckets are merged: their target partitions are read
+         (partition pruning), merged with the matching source rows, staged, and
+         written back by dynamic partition overwrite. Unchanged buckets are
+         neither read in full nor rewritten.
     """
-    if bucket_col is not None:
-        source = source.withColumn(bucket_col, merge_bucket(key, buckets))
+    if bucket_col is None:
+        return _merge_whole(spark, table, source, key, hash_col)
+    source = source.withColumn(bucket_col, merge_bucket(key, buckets))
+    target = spark.table(table)
+    slim = M.sync_merge_plan(target.select(key, hash_col, bucket_col),
+                             source.select(key, hash_col, bucket_col), key, hash_col)
+    per_bucket = slim.groupBy(bucket_col, "_action").agg(F.count(F.lit(1)).alias("rows")).collect()
+    counts = {a: 0 for a in (M.INSERT, M.UPDATE, M.DELETE, M.KEEP)}
+    changed = set()
+    for r in per_bucket:
+        counts[r["_action"]] += int(r["rows"])
+        if r["_action"] != M.KEEP:
+            changed.add(r[bucket_col])
+    if not changed:
+        return counts
+    in_changed = F.col(bucket_col).isin(sorted(changed))
+    plan = M.sync_merge_plan(target.where(in_changed), source.where(in_changed), key, hash_col)
+    stage = table_location(spark, table).rstrip("/") + "__merge_stage"
+    plan.write.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage)
+    M.check_cardinality(staged)
+    state = M.merged_state(staged).select(*target.columns)
+    # rebalance: rows of a bucket go to few tasks (few files); AQE still splits a large bucket
+    with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        state.hint("rebalance", bucket_col).write.insertInto(table, overwrite=True)
+    kept = {r[0] for r in state.select(bucket_col).distinct().collect()}
+    for b in changed - kept:   # every row of the bucket was deleted
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({bucket_col} = {int(b)})")
+    return counts
+
+
+def _merge_whole(spark: SparkSession, table: str, source: DataFrame, key: str, hash_col: str) -> dict:
     plan = M.sync_merge_plan(spark.table(table), source, key, hash_col)
     # the stage lives next to the target (same shared storage), never in a local folder
     stage = table_location(spark, table).rstrip("/") + "__merge_stage"
@@ -163,22 +200,8 @@ def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: st
     M.check_cardinality(staged)
     counts = {r["action"]: int(r["rows"]) for r in M.action_counts(staged).collect()}
     cols = spark.table(table).columns
-    if bucket_col is None:
-        with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-            M.merged_state(staged).select(*cols).write.insertInto(table, overwrite=True)
-    else:
-        # at most ``buckets`` values reach the driver
-        changed = [r[0] for r in staged.where(F.col("_action") != M.KEEP)
-                   .select(bucket_col).distinct().collect()]
-        if changed:
-            state = M.merged_state(staged).where(F.col(bucket_col).isin(changed)).select(*cols)
-            # rebalance: rows of a bucket go to few tasks (few files); AQE still
-            # splits a large bucket over several tasks
-            with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-                state.hint("rebalance", bucket_col).write.insertInto(table, overwrite=True)
-            kept = {r[0] for r in state.select(bucket_col).distinct().collect()}
-            for b in set(changed) - kept:   # every row of the bucket was deleted
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({bucket_col} = {int(b)})")
+    with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+        M.merged_state(staged).select(*cols).write.insertInto(table, overwrite=True)
     return {a: counts.get(a, 0) for a in (M.INSERT, M.UPDATE, M.DELETE, M.KEEP)}
 
 
