@@ -147,9 +147,10 @@ def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: st
                      buckets: int | None = None) -> dict[str, int]:
     """Synchronise ``table`` with ``source``; returns rows per action.
 
-    Whole table (no ``bucket_col``): the plan is staged once next to the
-    target (it is read for the checks, the counts and the write) and the
-    target is overwritten from the stage.
+    Whole table (no ``bucket_col``): actions are first decided on (key, hash)
+    only; when nothing changed the table is left untouched. Otherwise the plan
+    is staged once next to the target (read for the checks, the counts and the
+    write) and the target is overwritten from the stage.
 
     Bucket-partitioned (``bucket_col`` = ``merge_bucket(key, buckets)``):
       1. actions are decided on (key, hash, bucket) only -- a columnar read of
@@ -192,7 +193,12 @@ def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: st
 
 
 def _merge_whole(spark: SparkSession, table: str, source: DataFrame, key: str, hash_col: str) -> dict:
-    plan = M.sync_merge_plan(spark.table(table), source, key, hash_col)
+    target = spark.table(table)
+    slim = M.sync_merge_plan(target.select(key, hash_col), source.select(key, hash_col), key, hash_col)
+    slim_counts = {r["action"]: int(r["rows"]) for r in M.action_counts(slim).collect()}
+    if not any(slim_counts.get(a) for a in (M.INSERT, M.UPDATE, M.DELETE)):
+        return {a: slim_counts.get(a, 0) for a in (M.INSERT, M.UPDATE, M.DELETE, M.KEEP)}   # nothing to write
+    plan = M.sync_merge_plan(target, source, key, hash_col)
     # the stage lives next to the target (same shared storage), never in a local folder
     stage = table_location(spark, table).rstrip("/") + "__merge_stage"
     plan.write.mode("overwrite").parquet(stage)
