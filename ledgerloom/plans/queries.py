@@ -200,3 +200,9 @@ def q_error_counts(spark, sf):
     c = Q.error_frequencies(b.contracts_classified).withColumn("dataset", F.lit("contracts"))
     p = Q.error_frequencies(b.payments_classified).withColumn("dataset", F.lit("payments"))
     return c.unionByName(p).select("dataset", "error_code", "occurrences")
+
+
+@query("error_code_combinations")
+def q_error_combinations(spark, sf):
+    """Quarantined contracts per distinct combination of codes (in rule order)."""
+    return Q.error_combinations(CreditBook(spark, sf).contracts_classified)
