@@ -575,17 +575,13 @@ def q_record_hash(spark, sf):
                     record_hash(*S.CONTRACT_VALID_HASH).alias("record_hash"))
 
 
-STATES = ["RO", "AC", "AM", "RR", "PA", "AP", "TO", "MT", "MS", "GO",
-          "DF", "SP", "RJ", "MG", "PR", "SC", "RS", "BA", "PE", "CE"]
-
-
 @query("hash_bucket_assign")
 def q_hash_bucket(spark, sf):
     c = TD.table(spark, sf, "customer")
     k = F.col("c_custkey")
     return c.select(k.cast("long").alias("customer_id"),
                     hash_bucket([k], "risk", 5).alias("risk_bucket"),
-                    pick_by_hash(STATES, [k], None).alias("state"),
+                    pick_by_hash(list(S.STATE_CODES), [k], None).alias("state"),
                     pick_by_hash(list(S.RISK_RATINGS), [k], "risk").alias("risk_rating"))
 
 

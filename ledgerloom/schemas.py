@@ -67,6 +67,10 @@ DELINQUENCY_BUCKETS = [(0, "CURRENT"), (30, "DPD_01_30"), (60, "DPD_31_60"), (90
 LAST_BUCKET = "DPD_90_PLUS"
 NPL_DAYS = 90
 
+# State codes that hash-bucket assignment draws from, in this order.
+STATE_CODES = ("RO", "AC", "AM", "RR", "PA", "AP", "TO", "MT", "MS", "GO",
+               "DF", "SP", "RJ", "MG", "PR", "SC", "RS", "BA", "PE", "CE")
+
 QUARANTINE_KEY_SEPARATOR = "||"
 NULL_KEY_TEXT = "NULL"
 
