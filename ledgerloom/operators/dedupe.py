@@ -73,17 +73,23 @@ def _tie_column(tie_cols: Sequence[str] | None) -> list[Column]:
     return [record_hash(*tie_cols)]
 
 
-HOT_KEY_ROWS = 1_000_000      # a key with more rows than this is ranked by the sorted path
+HOT_KEY_ROWS = 1_000_000      # floor: a key needs at least this many rows to be hot
+HOT_KEY_SHARE = 4.0           # ... and at least this many times the rows of an average shuffle partition
 HOT_KEY_BROADCAST = 100_000   # at most this many hot keys are broadcast for the split
 
 
 def rank_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                     tie_cols: Sequence[str] | None = None, out: str = "duplicate_rank",
-                    strategy: str = "auto", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                    strategy: str = "auto", hot_rows: int = HOT_KEY_ROWS,
+                    hot_share: float | None = HOT_KEY_SHARE) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its key (rows are kept).
 
     Order: ``order`` descending NULLS LAST, then the SHA-256 of ``tie_cols``
     (descending) so that equal timestamps still rank deterministically.
+
+    A key is hot when it holds more than ``hot_rows`` rows and more than
+    ``hot_share`` times the rows of an average shuffle partition (estimated
+    from the same sample); ``hot_share=None`` uses the absolute floor only.
     """
     order_cols = [as_col(c) for c in order] + _tie_column(tie_cols)
     keys = list(keys)
@@ -93,7 +99,7 @@ def rank_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
         return _rank_by_global_sort(df, keys, order_cols, out)
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
-    hot = _hot_keys(df, keys, hot_rows)
+    hot = _hot_keys(df, keys, hot_rows, hot_share)
     if hot is None:
         return _rank_by_window(df, keys, order_cols, out)
     hot = F.broadcast(hot)   # at most HOT_KEY_BROADCAST rows, built on the driver from the sample
@@ -104,24 +110,35 @@ def rank_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
             .unionByName(_rank_by_global_sort(heavy, keys, order_cols, out)))
 
 
-def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int, seed: int = 17) -> DataFrame | None:
-    """Keys estimated to hold more than ``hot_rows`` rows, from a seeded sample.
+def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int, hot_share: float | None = None,
+              seed: int = 17) -> DataFrame | None:
+    """Keys estimated to be hot, from one seeded sample of the key columns.
 
-    The fraction keeps ~1,000 sampled rows per ``hot_rows`` rows, and a key is
-    taken when its sample count reaches half of that. At most HOT_KEY_BROADCAST
-    keys (the largest) are returned; any other key is still ranked exactly,
-    by the window path.
+    The fraction keeps ~1,000 sampled rows per ``hot_rows`` rows. The same pass
+    returns the sample's total, which estimates the row count N; with
+    ``hot_share`` a key must also exceed ``hot_share * N / shuffle partitions``
+    rows. At most HOT_KEY_BROADCAST keys (the largest) are returned; any other
+    key is still ranked exactly, by the window path.
     """
     frac = min(1.0, 1000.0 / max(hot_rows, 1))
     cutoff = max(1, int(hot_rows * frac / 2))
     sampled = df.select(*keys) if frac >= 1.0 else df.select(*keys).sample(fraction=frac, seed=seed)
-    cand = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= cutoff).orderBy(F.col("_n").desc())
-            .limit(HOT_KEY_BROADCAST).collect())
-    if not cand:
+    grouped = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    cand = (grouped.where(F.col("_n") >= cutoff).orderBy(F.col("_n").desc())
+            .limit(HOT_KEY_BROADCAST).withColumn("_total", F.lit(False)))
+    total = grouped.agg(F.sum("_n").alias("_n")).select(
+        *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys], "_n", F.lit(True).alias("_total"))
+    rows = cand.unionByName(total).collect()
+    n_est = sum(int(r["_n"] or 0) for r in rows if r["_total"]) / frac
+    threshold = float(hot_rows)
+    if hot_share is not None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        threshold = max(threshold, hot_share * n_est / max(partitions, 1))
+    hot = [r for r in rows if not r["_total"] and r["_n"] / frac > threshold / 2]
+    if not hot:
         return None
     schema = T.StructType([T.StructField(f"_hk_{k}", df.schema[k].dataType) for k in keys])
-    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in cand], schema)
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
 
 
 def _rank_by_window(df: DataFrame, keys: list[str], order_cols: list[Column], out: str) -> DataFrame:

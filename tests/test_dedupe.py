@@ -40,7 +40,7 @@ def test_rank_strategies_agree_on_skewed_keys(spark):
     kw = dict(keys=["k"], order=["ts"], tie_cols=["amt", "payload"])
     w = rows(rank_duplicates(df, strategy="window", **kw), "payload", "duplicate_rank")
     s = rows(rank_duplicates(df, strategy="sorted", **kw), "payload", "duplicate_rank")
-    a = rows(rank_duplicates(df, strategy="auto", hot_rows=100, **kw), "payload", "duplicate_rank")
+    a = rows(rank_duplicates(df, strategy="auto", hot_rows=100, hot_share=None, **kw), "payload", "duplicate_rank")
     assert w == s == a
     ranked = rank_duplicates(df, strategy="sorted", **kw)
     per_key = ranked.groupBy("k").agg(F.count("*").alias("n"), F.max("duplicate_rank").alias("mx"),
@@ -50,10 +50,18 @@ def test_rank_strategies_agree_on_skewed_keys(spark):
 
 def test_null_keys_rank_together(spark):
     df = _skewed(spark)
-    r = rank_duplicates(df, ["k"], ["ts"], strategy="auto", hot_rows=100).where(F.col("k").isNull())
+    r = rank_duplicates(df, ["k"], ["ts"], strategy="auto", hot_rows=100, hot_share=None).where(F.col("k").isNull())
     assert rows(r, "payload", "duplicate_rank") == [("n1", 1), ("n2", 2)]
 
 
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "k int")
     assert rows(duplicate_keys(df, ["k"]), "k", "row_count") == sorted([(1, 2), (None, 2)], key=repr)
+
+
+def test_hot_key_threshold_is_relative_to_partition_size(spark):
+    from ledgerloom.operators.dedupe import _hot_keys
+    df = _skewed(spark)          # key 0 holds 300 of 902 rows
+    assert _hot_keys(df, ["k"], 100, None) is not None
+    # 300 rows is not hot when an average partition already holds ~900/4 * 4 rows
+    assert _hot_keys(df, ["k"], 100, 8.0) is None
