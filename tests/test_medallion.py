@@ -32,6 +32,18 @@ def test_run_all_and_rerun(spark, tmp_root):
     assert results.count() == 5 + len(expected)   # fixed checks + one per expectation
     ex = t("gold.vw_executive_portfolio").first()
     assert ex["contract_count"] == book.fact.count()
+    # the analyst SQL agrees with the DataFrame operators on the same tables
+    from ledgerloom.operators import portfolio as P
+    from ledgerloom.plans.dashboard import DASHBOARD_SQL, dashboard
+    fact, kpis = t("gold.fact_credit_portfolio"), t("gold.portfolio_kpis")
+    same = {"bucket_distribution": P.bucket_distribution(fact), "top_overdue_products": P.top_overdue_products(kpis),
+            "risk_by_state": P.risk_by_state(kpis)}
+    for name, df in same.items():
+        sql = dashboard(spark, "llt", name)
+        assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, df.select(*sql.columns).collect())), name
+    assert dashboard(spark, "llt", "latest_quality").count() == results.count()
+    assert set(DASHBOARD_SQL) == {"executive", "bucket_distribution", "top_overdue_products", "risk_by_state",
+                                  "latest_quality"}
     # re-running is safe: nothing new is loaded and every silver row is kept
     assert MD.load_bronze_batch(spark, lake) == {"products_raw": 0, "contracts_raw": 0}
     assert MD.load_bronze_payments(spark, lake) == 0
