@@ -169,12 +169,13 @@ def q_stream_payments(spark, sf):
     landing, sink, ckpt = (posixpath.join(root, x) for x in ("landing", "bronze", "checkpoint"))
     lines = _payment_lines(spark, sf)
     cut = F.col("event_date") < F.lit(_dt.date(1998, 1, 1))
-    lines.where(cut).write.mode("append").partitionBy("event_date").text(landing)
+    # few files per event_date folder (rebalance: AQE still splits a large date over several tasks)
+    lines.where(cut).hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").text(landing)
     n1 = ST.load_new_files(spark, landing, "json", PAYMENT_DECLARED, sink, ckpt,
                            partition_cols=PAYMENT_PARTITION, rescue=True, query_name=None)
     n2 = ST.load_new_files(spark, landing, "json", PAYMENT_DECLARED, sink, ckpt,
                            partition_cols=PAYMENT_PARTITION, rescue=True)
-    lines.where(~cut).write.mode("append").partitionBy("event_date").text(landing)
+    lines.where(~cut).hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").text(landing)
     n3 = ST.load_new_files(spark, landing, "json", PAYMENT_DECLARED, sink, ckpt,
                            partition_cols=PAYMENT_PARTITION, rescue=True)
     if n2 != 0:
@@ -195,7 +196,7 @@ def q_inferred_stream(spark, sf):
     lines = ev.select(F.to_json(F.struct(
         "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "user_id",
         "event_type", "value", "props")).alias("value"), F.to_date("ts").alias("event_day"))
-    lines.write.mode("append").partitionBy("event_day").text(landing)
+    lines.hint("rebalance", "event_day").write.mode("append").partitionBy("event_day").text(landing)
     stream = ST.inferred_file_stream(spark, landing, "json")
     ST.drain(stream, sink, ckpt)
     again = ST.drain(ST.inferred_file_stream(spark, landing, "json"), sink, ckpt)

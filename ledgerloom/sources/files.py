@@ -145,9 +145,13 @@ def parse_with_rescue(text_df: DataFrame, schema: T.StructType, rescued: str = "
 
 def write_landing(df: DataFrame, path: str, fmt: str, files: int | None = None,
                   partition_by: Sequence[str] = (), mode: str = "overwrite", **options) -> None:
-    """Write a landing file set with file-count control (``repartition``)."""
+    """Write a landing file set with file-count control.
+
+    Partitioned writes use the ``rebalance`` hint (few files per folder, while
+    AQE splits a large folder over several tasks); ``files`` fixes the count.
+    """
     if partition_by:
-        df = df.repartition(*partition_by) if files is None else df.repartition(files, *partition_by)
+        df = df.hint("rebalance", *partition_by) if files is None else df.repartition(files, *partition_by)
     elif files is not None:
         df = df.repartition(files)
     w = df.write.mode(mode).format(fmt)
