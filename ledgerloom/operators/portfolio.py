@@ -139,7 +139,7 @@ def _npl_amount(outstanding="outstanding_amount"):
 
 
 def portfolio_kpis(fact: DataFrame, customers: DataFrame, products: DataFrame,
-                   processed_at: bool = False, product_broadcast_rows: int = 10_000) -> DataFrame:
+                   processed_at: bool = False, product_broadcast_rows: int | None = 10_000) -> DataFrame:
     """KPIs by snapshot x product x state x risk rating."""
     # 1) pre-aggregate to (snapshot, product, customer): decomposable partial measures
     pre = fact.groupBy("snapshot_date", "product_id", "customer_id").agg(

@@ -117,10 +117,13 @@ PAYMENT_RANK_ORDER = ["event_timestamp", "source_file_modification_time", "sourc
 
 
 def classify_contracts(contracts_raw: DataFrame, customers: DataFrame, products: DataFrame,
-                       today=None, rank_strategy: str = "auto") -> DataFrame:
+                       today=None, rank_strategy: str = "auto",
+                       product_broadcast_rows: int | None = 10_000) -> DataFrame:
     """Rank all raw rows, look up customer and product, apply the contract rules.
 
-    ``customers`` / ``products`` are the trusted (silver) dimensions.
+    ``customers`` / ``products`` are the trusted (silver) dimensions. Products
+    are broadcast after a bounded size check (``product_broadcast_rows``; pass
+    None when the frame already carries a proven broadcast hint).
     """
     ranked = rank_duplicates(contracts_raw, ["contract_id"], CONTRACT_RANK_ORDER,
                              tie_cols=S.CONTRACT_TIE_HASH, strategy=rank_strategy)
@@ -131,7 +134,7 @@ def classify_contracts(contracts_raw: DataFrame, customers: DataFrame, products:
     enriched = lookup_join(ranked, cust, F.col("customer_id") == F.col("matched_customer_id"),
                            max_broadcast_rows=None)
     enriched = lookup_join(enriched, prod, F.col("product_id") == F.col("matched_product_id"),
-                           max_broadcast_rows=10_000)
+                           max_broadcast_rows=product_broadcast_rows)
     return classify(enriched, contract_rules(today))
 
 

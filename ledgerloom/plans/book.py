@@ -20,7 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.operators import portfolio as P
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import reconcile as R
+from ledgerloom.plans.joins import maybe_broadcast
 from ledgerloom.session import shared_dir
+
+PRODUCT_BROADCAST_ROWS = 10_000
 from ledgerloom.sources import testdata as TD
 
 
@@ -74,10 +77,16 @@ class CreditBook:
     def products(self) -> DataFrame:
         return P.silver_products(self.products_raw)
 
+    @cached_property
+    def products_broadcast(self) -> DataFrame:
+        """The product dimension with a broadcast hint, its size proven once per book."""
+        return maybe_broadcast(self.products, PRODUCT_BROADCAST_ROWS)
+
     @cached_property
     def contracts_classified(self) -> DataFrame:
-        return self._staged(Q.classify_contracts(self.contracts_raw, self.customers, self.products,
-                                                 today=self.today, rank_strategy=self.rank_strategy))
+        return self._staged(Q.classify_contracts(self.contracts_raw, self.customers, self.products_broadcast,
+                                                 today=self.today, rank_strategy=self.rank_strategy,
+                                                 product_broadcast_rows=None))
 
     @cached_property
     def contracts(self) -> DataFrame:
@@ -116,7 +125,7 @@ class CreditBook:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return P.dim_product(self.products)
+        return P.dim_product(self.products_broadcast)
 
     @cached_property
     def position(self) -> DataFrame:
@@ -128,4 +137,4 @@ class CreditBook:
 
     @cached_property
     def kpis(self) -> DataFrame:
-        return P.portfolio_kpis(self.fact, self.dim_customer, self.dim_product)
+        return P.portfolio_kpis(self.fact, self.dim_customer, self.dim_product, product_broadcast_rows=None)
