@@ -125,8 +125,9 @@ def parse_with_rescue(text_df: DataFrame, schema: T.StructType, rescued: str = "
     their text (a quoted number that fits is accepted). The lambdas only touch
     their own arguments, so nothing is re-evaluated per map entry.
     """
-    parsed = text_df.select(F.col(value).alias("_v"),
-                            F.from_json(F.col(value), "map<string,string>").alias("_raw"), *keep)
+    lines = text_df.where(F.trim(F.col(value)) != "")   # blank lines are not records (as in the JSON reader)
+    parsed = lines.select(F.col(value).alias("_v"),
+                          F.from_json(F.col(value), "map<string,string>").alias("_raw"), *keep)
     typed = parsed.select("_v", "_raw", *keep, *[
         _from_text(F.col("_raw")[f.name], f.dataType).alias(f.name) for f in schema.fields])
     # declared field -> "its typed value is NULL"; undeclared keys are absent

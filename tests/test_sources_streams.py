@@ -53,12 +53,14 @@ def test_parse_with_rescue_cases(spark):
         ('{"id":2,"amt":"unknown","extra":"x"}',),
         ('{"id":3,"amt":null,"nested":{"k":1}}',),
         ('broken',),
+        ('',), ('   ',),
     ], "value string")
     out = {r["id"]: r for r in FS.parse_with_rescue(lines, SCHEMA).collect()}
     assert out[1]["_rescued_data"] is None and out[1]["amt"] == Decimal("12.30")
     assert out[2]["_rescued_data"] == '{"amt":"unknown","extra":"x"}'
     assert out[3]["_rescued_data"] == '{"nested":"{\\"k\\":1}"}'
     assert out[None]["_rescued_data"] == "broken"
+    assert FS.parse_with_rescue(lines, SCHEMA).count() == 4   # blank lines are skipped
 
 
 def test_incremental_load_exactly_once_and_old_files(spark, tmp_root):
