@@ -72,6 +72,10 @@ INSTALLMENTS_RAW = T.StructType(S.INSTALLMENT_SOURCE.fields + [
     T.StructField("source_file_size", T.LongType()),
     T.StructField("source_file_modification_time", T.TimestampType()),
     T.StructField("ingested_at", T.TimestampType()), T.StructField("snapshot_date", T.DateType())])
+LOAD_LOG = T.StructType([
+    T.StructField("dataset", T.StringType()), T.StructField("label", T.StringType()),
+    T.StructField("rows_added", T.LongType()), T.StructField("loaded_at", T.TimestampType())])
+
 PAYMENTS_RAW = T.StructType(S.PAYMENT_SOURCE.fields + [
     T.StructField("_rescued_data", T.StringType()),
     T.StructField("source_file_path", T.StringType()), T.StructField("source_file_name", T.StringType()),
@@ -90,6 +94,9 @@ def setup(spark: SparkSession, lake: Lake) -> None:
     TB.ensure_table(spark, lake.t("bronze", "installments_raw"), INSTALLMENTS_RAW,
                     "Installment snapshots (Parquet).", {**props, "ingestion_pattern": "snapshot_replace"},
                     partition_by=["snapshot_date"], location=lake.path("tables", "bronze", "installments_raw"))
+    TB.ensure_table(spark, lake.t("ops", "load_log"), LOAD_LOG,
+                    "One labelled row per bronze load (stands in for commit annotations).",
+                    {"data_domain": "operations"}, location=lake.path("tables", "ops", "load_log"))
     TB.ensure_table(spark, lake.t("ops", "data_quality_results"), S.QUALITY_RESULTS,
                     "Append-only history of quality checks.", {"data_domain": "operations"},
                     location=lake.path("tables", "ops", "data_quality_results"))
@@ -125,6 +132,13 @@ def write_landing_from_testdata(spark: SparkSession, sf_dir: str, lake: Lake,
 # bronze
 # ---------------------------------------------------------------------------
 
+def _log_load(spark: SparkSession, lake: Lake, entries: list[tuple[str, str, int]]) -> None:
+    """Append the labelled load records (a handful of rows per run)."""
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    rows = [(d, label, int(n), now) for d, label, n in entries]
+    TB.append_table(spark.createDataFrame(rows, LOAD_LOG), lake.t("ops", "load_log"))
+
+
 def load_bronze_batch(spark: SparkSession, lake: Lake) -> dict:
     """Products and contracts CSV: every file loaded exactly once."""
     out = {}
@@ -136,6 +150,7 @@ def load_bronze_batch(spark: SparkSession, lake: Lake) -> dict:
             spark, lake.path("landing", sub), "csv", schema, lake.path("tables", "bronze", name),
             lake.path("checkpoints", "bronze", name), transform=lambda df, c=cols: df.select(*c))
         _register(spark, lake.t("bronze", name), table_schema, lake.path("tables", "bronze", name))
+    _log_load(spark, lake, [(n, f"{n} new files", rows) for n, rows in out.items()])
     return out
 
 
@@ -163,6 +178,8 @@ def load_bronze_snapshots(spark: SparkSession, lake: Lake, snapshot: _dt.date) -
     if m2["rows"] == 0 or m2["rows"] != m2["ids"] or m2["invalid"]:
         raise AssertionError(f"installment snapshot gate: {m2.asDict()}")
     TB.replace_snapshot(inst, lake.t("bronze", "installments_raw"), "snapshot_date", snapshot)
+    _log_load(spark, lake, [("customers_raw", f"customers snapshot_date={snapshot}", m["rows"]),
+                            ("installments_raw", f"installments snapshot_date={snapshot}", m2["rows"])])
     return {"customers": m["rows"], "installments": m2["rows"]}
 
 
@@ -177,6 +194,7 @@ def load_bronze_payments(spark: SparkSession, lake: Lake) -> int:
                           query_name=f"{lake.prefix}_payments_bronze")
     _register(spark, lake.t("bronze", "payments_raw"), PAYMENTS_RAW,
               lake.path("tables", "bronze", "payments_raw"))
+    _log_load(spark, lake, [("payments_raw", "payments stream", n)])
     return n
 
 

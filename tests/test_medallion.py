@@ -32,6 +32,9 @@ def test_run_all_and_rerun(spark, tmp_root):
     assert results.count() == 5 + len(expected)   # fixed checks + one per expectation
     ex = t("gold.vw_executive_portfolio").first()
     assert ex["contract_count"] == book.fact.count()
+    log = {r["label"]: r["rows_added"] for r in t("ops.load_log").collect()}
+    assert log[f"customers snapshot_date={TD.AS_OF}"] == book.customers_raw.count()
+    assert log["contracts_raw new files"] == expected["contracts_raw"]
     # the analyst SQL agrees with the DataFrame operators on the same tables
     from ledgerloom.operators import portfolio as P
     from ledgerloom.plans.dashboard import DASHBOARD_SQL, dashboard
