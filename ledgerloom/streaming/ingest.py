@@ -76,23 +76,32 @@ def inferred_file_stream(spark: SparkSession, path: str, fmt: str = "json", samp
 
 
 def drain(df: DataFrame, target: str, checkpoint: str, query_name: str | None = None,
-          fmt: str = "parquet", timeout: float | None = None) -> int:
+          fmt: str = "parquet") -> int:
     """Run the stream to completion (availableNow) into ``target``; return rows added.
 
     ``target`` is a table name, or a path when it contains a slash.
     """
+    return drain_with_progress(df, target, checkpoint, query_name, fmt)["rows"]
+
+
+def active_streams(spark: SparkSession) -> list[dict]:
+    """Name, id and status of the streams running in this session."""
+    return [{"name": q.name, "id": q.id, "status": q.status} for q in spark.streams.active]
+
+
+def drain_with_progress(df: DataFrame, target: str, checkpoint: str, query_name: str | None = None,
+                        fmt: str = "parquet") -> dict:
+    """Like :func:`drain`, returning the rows added and the last progress report."""
     w = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))
     if query_name:
         w = w.queryName(query_name)
-    if "/" in target:
-        q = w.format(fmt).start(target)
-    else:
-        q = w.toTable(target)
-    q.awaitTermination(timeout)
+    q = w.format(fmt).start(target) if "/" in target else w.toTable(target)
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return {"rows": sum(int(p.get("numInputRows", 0)) for p in q.recentProgress),
+            "last_progress": q.lastProgress}
 
 
 def load_new_files(spark: SparkSession, path: str, fmt: str, schema: T.StructType, target: str,

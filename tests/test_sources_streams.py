@@ -103,3 +103,16 @@ def test_preview_and_inferred_stream(spark, tmp_root):
     sink, ck = posixpath.join(tmp_root, "inf_sink"), posixpath.join(tmp_root, "inf_ck")
     assert ST.drain(ST.inferred_file_stream(spark, root), sink, ck) == 3
     assert spark.read.parquet(sink).where(F.col("day") == dt.date(2000, 1, 1)).count() == 3
+
+
+def test_progress_report(spark, tmp_root):
+    landing = posixpath.join(tmp_root, "pr")
+    write(landing, "a.json", '{"id":1}\n{"id":2}\n')
+    df = ST.file_stream(spark, landing, "json", SCHEMA, rescue=True)
+    out = ST.drain_with_progress(df, posixpath.join(tmp_root, "pr_sink"), posixpath.join(tmp_root, "pr_ck"),
+                                 query_name="progress_probe")
+    assert out["rows"] == 2 and out["last_progress"]["name"] == "progress_probe"
+    again = ST.drain_with_progress(ST.file_stream(spark, landing, "json", SCHEMA, rescue=True),
+                                   posixpath.join(tmp_root, "pr_sink"), posixpath.join(tmp_root, "pr_ck"))
+    assert again["rows"] == 0 and again["last_progress"]["numInputRows"] == 0
+    assert ST.active_streams(spark) == []
