@@ -74,3 +74,13 @@ def test_latest_snapshot_prunes_partitions_at_run_time(spark, tmp_root):
     p = plan(latest_snapshot_slice(spark.read.parquet(path)))
     scan = [ln for ln in p.splitlines() if "FileScan" in ln and "installment_id" in ln][0]
     assert "PartitionFilters: [isnotnull(snapshot_date" in scan and "Subquery" in scan
+
+
+def test_broadcast_only_under_the_proven_bound(spark):
+    from ledgerloom.plans.joins import has_at_most, maybe_broadcast
+    small, big = spark.range(10), spark.range(1000)
+    assert has_at_most(small, 10) and not has_at_most(big, 999)
+    hinted = maybe_broadcast(small, 10)._jdf.queryExecution().analyzed().toString()
+    unhinted = maybe_broadcast(big, 999)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in hinted.lower() and "broadcast" not in unhinted.lower()
+    assert "broadcast" not in maybe_broadcast(small, None)._jdf.queryExecution().analyzed().toString().lower()
