@@ -352,10 +352,24 @@ def gate_steps(spark: SparkSession, lake: Lake) -> None:
     e = lake.expectations
     t = lambda layer, name: spark.table(lake.t(layer, name))
     raw = t("bronze", "contracts_raw")
+    dup_ids = (raw.groupBy("contract_id").count().where(F.col("count") > 1)
+               .agg(F.count(F.lit(1))).scalar())
     b = raw.agg(F.count(F.lit(1)).alias("contracts"),
                 F.count(F.when(F.col("principal_amount") <= 0, 1)).alias("invalid_principal_rows"),
+                dup_ids.alias("duplicated_contract_ids"),
                 t("bronze", "products_raw").agg(F.count(F.lit(1))).scalar().alias("products")).first()
-    _gate("bronze", b, {"products": e.get("products"), "contracts": e.get("contracts_raw")})
+    _gate("bronze", b, {"products": e.get("products"), "contracts": e.get("contracts_raw"),
+                        "duplicated_contract_ids": e.get("contracts_duplicated_ids"),
+                        "invalid_principal_rows": e.get("contracts_invalid_principal")})
+    pay = t("bronze", "payments_raw").agg(
+        (F.count(F.lit(1)) - F.count_distinct("payment_id")).alias("duplicate_rows"),
+        F.count(F.when(F.col("payment_id").isNull(), 1)).alias("null_ids"),
+        F.count(F.when(F.col("amount_paid").isNull(), 1)).alias("null_amounts"),
+        F.count("_rescued_data").alias("rescued")).first()
+    _gate("bronze payments", pay, {"duplicate_rows": e.get("payments_duplicate_rows"),
+                                   "null_ids": e.get("payments_null_ids"),
+                                   "null_amounts": e.get("payments_null_amounts"),
+                                   "rescued": e.get("payments_rescued")})
     c = t("silver", "contracts").agg(F.count(F.lit(1)).alias("rows"),
                                      F.count_distinct("contract_id").alias("ids")).first()
     _gate("silver contracts", c, {"ids": c["rows"], "rows": e.get("contracts_valid")})

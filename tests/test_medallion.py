@@ -14,9 +14,16 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.skipif(not os.path.isdir(SF), reason="fixture tables not present")
 def test_run_all_and_rerun(spark, tmp_root):
     book = CreditBook(spark, SF)
+    pr = book.payments_raw
     expected = {"products": 5, "contracts_raw": book.contracts_raw.count(),
                 "contracts_valid": book.contracts.count(),
-                "contracts_quarantine": book.contracts_quarantine.count()}
+                "contracts_quarantine": book.contracts_quarantine.count(),
+                "contracts_duplicated_ids": book.contracts_raw.groupBy("contract_id").count()
+                .where("count > 1").count(),
+                "contracts_invalid_principal": 0,
+                "payments_null_ids": 0, "payments_rescued": 0,
+                "payments_null_amounts": pr.where(F.col("amount_paid").isNull()).count(),
+                "payments_duplicate_rows": pr.count() - pr.select("payment_id").distinct().count()}
     lake = MD.Lake(root=tmp_root, prefix="llt", today=TD.TODAY, expectations=expected)
     MD.setup(spark, lake)
     MD.write_landing_from_testdata(spark, SF, lake)
@@ -29,7 +36,7 @@ def test_run_all_and_rerun(spark, tmp_root):
     assert t("silver.installments").count() == book.installments.count()
     results = t("ops.data_quality_results")
     assert results.where(~F.col("passed")).count() == 0
-    assert results.count() == 5 + len(expected)   # fixed checks + one per expectation
+    assert results.count() == 5 + 4   # fixed checks + the four count expectations the checks use
     ex = t("gold.vw_executive_portfolio").first()
     assert ex["contract_count"] == book.fact.count()
     log = {r["label"]: r["rows_added"] for r in t("ops.load_log").collect()}
