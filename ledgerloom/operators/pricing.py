@@ -96,3 +96,11 @@ def standard_defects(key: str = "contract_id") -> list[Defect]:
 
 def with_source_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[as_col(c) for c in cols])
+
+
+def payment_defects(first_payment_id: str, key: str = "payment_id") -> list[Defect]:
+    """The payment side of the known-defect scenario: the first event delivered
+    twice, and a copy of it under a new id with no amount."""
+    first = F.col(key) == F.lit(first_payment_id)
+    return [Defect("duplicate_event", first),
+            Defect("null_amount", first, {key: "INVALID_NULL_AMOUNT", "amount_paid": None})]

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from ledgerloom import schemas as S
 from ledgerloom.operators import checks as C
 from ledgerloom.operators import portfolio as P
+from ledgerloom.operators import pricing as PR
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import reconcile as R
 from ledgerloom.operators.dedupe import duplicate_keys
@@ -107,7 +108,9 @@ def setup(spark: SparkSession, lake: Lake) -> None:
 # ---------------------------------------------------------------------------
 
 def write_landing_from_testdata(spark: SparkSession, sf_dir: str, lake: Lake,
-                                snapshot: _dt.date = TD.AS_OF) -> None:
+                                snapshot: _dt.date = TD.AS_OF, defects: bool = False) -> None:
+    """The source deliveries derived from the fixture tables; ``defects`` adds the
+    known-defect scenario (3 bad contracts, 2 bad payment events)."""
     land = lake.path("landing")
     prod_cols = [f.name for f in S.PRODUCT_SOURCE.fields]
     FS.write_landing(TD.products_raw(spark, sf_dir).select(*prod_cols),
@@ -116,16 +119,21 @@ def write_landing_from_testdata(spark: SparkSession, sf_dir: str, lake: Lake,
     FS.write_landing(TD.customers_raw(spark, sf_dir).select(*cust_cols),
                      posixpath.join(land, "customers", f"snapshot_date={snapshot}"), "json", files=2)
     con_cols = [f.name for f in S.CONTRACT_SOURCE.fields]
-    FS.write_landing(TD.contracts_raw(spark, sf_dir).select(*con_cols),
-                     posixpath.join(land, "contracts", f"batch_date={snapshot}"), "csv", files=2)
+    contracts = TD.contracts_raw(spark, sf_dir).select(*con_cols)
+    if defects:
+        contracts = PR.inject_defects(contracts, PR.standard_defects())
+    FS.write_landing(contracts, posixpath.join(land, "contracts", f"batch_date={snapshot}"), "csv", files=2)
     inst = TD.latest_installments(spark, sf_dir).select(
         *[F.col(f.name) for f in S.INSTALLMENT_SOURCE.fields if f.name != "scheduled_amount"],
         F.col("scheduled_amount").cast("double").alias("scheduled_amount"))
     FS.write_landing(inst, posixpath.join(land, "installments", f"snapshot_date={snapshot}"), "parquet",
                      files=4)
     pay_cols = [f.name for f in S.PAYMENT_SOURCE.fields]
-    FS.write_landing(TD.payments_raw(spark, sf_dir).select(*pay_cols, "event_date"),
-                     posixpath.join(land, "payments"), "json", partition_by=["event_date"])
+    payments = TD.payments_raw(spark, sf_dir).select(*pay_cols, "event_date")
+    if defects:
+        first = payments.agg(F.min("payment_id")).first()[0]   # one scalar
+        payments = PR.inject_defects(payments, PR.payment_defects(first))
+    FS.write_landing(payments, posixpath.join(land, "payments"), "json", partition_by=["event_date"])
 
 
 # ---------------------------------------------------------------------------

@@ -94,3 +94,32 @@ def test_second_snapshot_cycle(spark, tmp_root):
     MD.run_quality(spark, lake)
     latest = spark.table(lake.t("ops", "data_quality_results"))
     assert latest.where(~F.col("passed")).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="fixture tables not present")
+def test_known_defect_scenario(spark, tmp_root):
+    """Three bad contracts and two bad payment events land in quarantine, nothing else moves."""
+    import posixpath
+    counts = {}
+    for label, defects in (("clean", False), ("defects", True)):
+        lake = MD.Lake(root=posixpath.join(tmp_root, label), prefix=f"lld{label}", today=TD.TODAY)
+        MD.setup(spark, lake)
+        MD.write_landing_from_testdata(spark, SF, lake, defects=defects)
+        MD.run_all(spark, lake, TD.AS_OF, gate=False)
+        t = lambda n: spark.table(lake.t(*n.split(".")))
+        counts[label] = {n: t(n).count() for n in ("silver.contracts", "silver.contracts_quarantine",
+                                                    "silver.payments", "silver.payments_quarantine",
+                                                    "bronze.contracts_raw", "bronze.payments_raw")}
+        if defects:
+            q = {r["contract_id"]: list(r["error_codes"]) for r in t("silver.contracts_quarantine").collect()}
+            assert "INVALID_PRINCIPAL_AMOUNT" in q[9_000_001] and "CUSTOMER_NOT_FOUND" in q[9_000_002]
+            pq = [list(r["error_codes"]) for r in t("silver.payments_quarantine").collect()
+                  if r["payment_id"] == "INVALID_NULL_AMOUNT"]
+            assert pq and "INVALID_PAYMENT_AMOUNT" in pq[0]
+    c, d = counts["clean"], counts["defects"]
+    assert d["bronze.contracts_raw"] == c["bronze.contracts_raw"] + 3
+    assert d["bronze.payments_raw"] == c["bronze.payments_raw"] + 2
+    assert d["silver.contracts"] == c["silver.contracts"]
+    assert d["silver.contracts_quarantine"] == c["silver.contracts_quarantine"] + 3
+    assert d["silver.payments"] == c["silver.payments"]
+    assert d["silver.payments_quarantine"] == c["silver.payments_quarantine"] + 2
