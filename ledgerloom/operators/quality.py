@@ -3,9 +3,9 @@
 ``classify`` evaluates an ordered list of rules on every row and attaches *all*
 failing codes and reasons. Each predicate is evaluated once: the rules build an
 array of ``struct(code, reason)`` (NULL when the rule passes), NULLs are
-filtered out, and the two arrays are projected from it. Everything is a
-narrow projection inside whole-stage codegen, so classification adds no
-shuffle of its own.
+filtered out, and the two arrays are projected from it. It is one narrow
+projection, so classification adds no shuffle of its own (the array filter
+and transforms are evaluated per row outside codegen, once each).
 """
 
 from __future__ import annotations
