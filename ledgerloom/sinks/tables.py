@@ -5,10 +5,11 @@ product relies on are re-expressed with open-source Spark:
 
 * snapshot replacement (``replaceWhere``) -> table partitioned by the snapshot
   column + dynamic partition overwrite of exactly that partition;
-* ``MERGE`` -> :func:`ledgerloom.operators.merge.sync_merge_plan` written to a
-  staging table, then the target is overwritten from the stage (a table cannot
-  be overwritten while it is read). A crash between the two steps is safe to
-  re-run: the stage is rebuilt from the source.
+* ``MERGE`` -> :func:`ledgerloom.operators.merge.sync_merge_plan`, decided
+  first on (key, hash) only; changed rows are staged next to the target (a
+  table cannot be overwritten while it is read) and written back -- the whole
+  table, or, for a key-bucket partitioned table, only the changed buckets. A
+  failed run is safe to re-run: the plan is rebuilt from the source.
 """
 
 from __future__ import annotations
