@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import as_col, record_hash
+from ledgerloom.session import shared_dir
 
 
 def _orderable(dt: T.DataType) -> bool:
@@ -158,7 +159,9 @@ def _rank_by_global_sort(df: DataFrame, keys: list[str], order_cols: list[Column
                   *[F.col(k).desc_nulls_last() for k in okeys],
                   *[F.col(c).desc_nulls_last() for c in extra])
     s = s.withColumn("_gid", F.monotonically_increasing_id())
-    # Fix the ids (and cut the lineage) before they are read twice.
+    # Fix the ids (and cut the lineage) before they are read twice. The
+    # checkpoint goes to the session's spark.checkpoint.dir (set only if unset).
+    shared_dir(df.sparkSession)
     s = s.checkpoint(eager=True)
     s = s.withColumn("_slice", F.shiftright("_gid", 33))
     seg = (s.groupBy(*keys, "_slice")
