@@ -14,3 +14,21 @@ def test_every_query_has_an_oracle_except_rows_only():
 def test_oracle_sql_is_plain_text():
     for name, sql in E.oracle_sql().items():
         assert isinstance(sql, str) and "SELECT" in sql.upper(), name
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        return
+    env = {**os.environ, "BENCH_SF_DIR": "/root/testdata/sf0.001", "BENCH_CPUS": "2"}
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py"), "dim_product", "scalar_dates"],
+                         capture_output=True, text=True, env=env, timeout=600)
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert out.returncode == 0 and len(lines) == 1
+    rec = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(rec) and rec["unit"] == "sec"
+    assert set(rec["queries"]) == {"dim_product", "scalar_dates"} and rec["sf"] == 0.001
