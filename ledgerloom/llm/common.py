@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
+import re
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +25,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def file_system(folder: str):
+    """The file system of a folder's URI and the folder's path on it; the same on every machine."""
+    from pyarrow import fs
+
+    folder = re.sub(r"^file:/+", "file:///", folder)
+    return fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (fs.LocalFileSystem(), folder)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application.
+
+    A job that was submitted with the package in ``--py-files`` runs from an
+    archive already, and nothing is sent.
+    """
+    app = spark.sparkContext.applicationId
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if app in _SHIPPED or not os.path.isdir(root):
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(x for x in names if x.endswith(".py")):
+                z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(root)))
+    folder = scratch_dir(spark, "code")
+    fs, path = file_system(folder)
+    fs.create_dir(path, recursive=True)
+    with fs.open_output_stream(f"{path}/ledgerloom.zip", compression=None) as f:
+        f.write(data.getvalue())
+    spark.sparkContext.addPyFile(f"{folder}/ledgerloom.zip")
+    _SHIPPED.add(app)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back.
 

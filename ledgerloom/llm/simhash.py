@@ -21,7 +21,7 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import components, discard, materialize
+from ledgerloom.llm.common import components, discard, materialize, ship
 
 SEED = 42                 # of XXH64
 SLICE_BYTES = 1 << 20     # a long text is hashed in slices of about this size
@@ -66,6 +66,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """``docs`` with ``text`` replaced by ``fp``, the fingerprint of every row as a signed 64-bit number."""
+    ship(docs.sparkSession)
     rest = [c for c in docs.columns if c != "text"]
 
     def run(batches):
