@@ -35,23 +35,29 @@ def words(col="text"):
     return F.array_remove(F.split(ascii_lower(F.coalesce(F.col(col), F.lit(""))), GAP), "")
 
 
-def _pairwise(values, step: int, combine):
-    """``combine(v[i], v[i + step])`` for each i; past the end only ``v[i]`` counts."""
-    return F.zip_with(values, F.slice(values, step + 1, F.size(values)), combine)
+def _pairwise(df: DataFrame, out: str, col: str, step: int, combine) -> DataFrame:
+    """Column ``out``: ``combine(col[i], col[i + step])`` for each i; past the end only ``col[i]`` counts.
+
+    Each step is a column of its own, so that it is computed once.
+    """
+    return df.withColumn(out, F.zip_with(col, F.slice(F.col(col), step + 1, (1 << 31) - 1 - step), combine))
 
 
-def _grams(w):
-    """A hash of every four consecutive words; the last three entries cover fewer words and are harmless extras."""
-    one = F.transform(w, lambda x: F.xxhash64(x))
-    two = _pairwise(one, 1, lambda a, b: F.xxhash64(a, b))
-    return _pairwise(two, 2, lambda a, b: F.xxhash64(a, b))
+def _grams(df: DataFrame) -> DataFrame:
+    """Column ``grams`` of column ``w``: a hash of every four consecutive words."""
+    one = df.withColumn("g1", F.transform("w", lambda x: F.xxhash64(x)))
+    two = _pairwise(one, "g2", "g1", 1, lambda a, b: F.xxhash64(a, b))
+    four = _pairwise(two, "g4", "g2", 2, lambda a, b: F.xxhash64(a, b))
+    whole = F.slice(F.col("g4"), 1, F.greatest(F.size("w") - (GRAM - 1), F.lit(0)))      # the last three cover fewer words
+    return four.withColumn("grams", whole).drop("g1", "g2", "g4")
 
 
-def _kept(grams):
-    """The smallest of every seven consecutive entries, without repeats."""
-    two = _pairwise(grams, 1, lambda a, b: F.least(a, b))
-    four = _pairwise(two, 2, lambda a, b: F.least(a, b))
-    return F.array_distinct(_pairwise(four, 3, lambda a, b: F.least(a, b)))
+def _kept(df: DataFrame) -> DataFrame:
+    """Column ``kept``: the smallest of every seven consecutive grams, without repeats."""
+    two = _pairwise(_grams(df), "m2", "grams", 1, lambda a, b: F.least(a, b))
+    four = _pairwise(two, "m4", "m2", 2, lambda a, b: F.least(a, b))
+    return _pairwise(four, "m7", "m4", 3, lambda a, b: F.least(a, b)).withColumn(
+        "kept", F.array_distinct("m7")).drop("grams", "m2", "m4", "m7")
 
 
 def _runs(w, n):
@@ -61,6 +67,12 @@ def _runs(w, n):
                   ).otherwise(F.array().cast("array<string>"))
 
 
+def _named_runs(n: int):
+    """The hash of every run of ``n`` words, with ``n``."""
+    return F.transform(F.array_distinct(_runs(F.col("w"), F.lit(n))),
+                       lambda g: F.struct(F.lit(n).alias("n"), F.xxhash64(g).alias("h")))
+
+
 def _small(df: DataFrame) -> DataFrame:
     """Broadcast a written table of few rows; a larger one is left to a shuffle."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -69,9 +81,9 @@ def _small(df: DataFrame) -> DataFrame:
 def _items(benchmark: DataFrame) -> DataFrame:
     """``(item, n, windows, prints)``: one row for each item text with words."""
     w = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words().alias("w"))
-    w = w.where(F.size("w") > 0).distinct().withColumn("n", F.least(F.size("w"), F.lit(SPAN)))
+    w = _kept(w.where(F.size("w") > 0).distinct().withColumn("n", F.least(F.size("w"), F.lit(SPAN))))
     w = w.withColumn("windows", F.array_distinct(_runs(F.col("w"), F.col("n"))))
-    prints = F.when(F.col("n") == SPAN, _kept(_grams(F.col("w")))).otherwise(
+    prints = F.when(F.col("n") == SPAN, F.col("kept")).otherwise(
         F.transform("windows", lambda g: F.xxhash64(g)))
     return materialize(w.select("item", "n", "windows", prints.alias("prints")), "decontam-items")
 
@@ -83,11 +95,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = _items(benchmark)
     short = sorted(r.n for r in items.where(F.col("n") < SPAN).select("n").distinct().collect())   # nine at most
-    split = docs.select("doc_id", F.xxhash64("text").alias("th"), words().alias("w"))
-    keep = [F.transform(F.when(F.size("w") >= SPAN, _kept(_grams(F.col("w")))).otherwise(F.array().cast("array<bigint>")),
+    split = _kept(docs.select("doc_id", F.xxhash64("text").alias("th"), words().alias("w")))
+    keep = [F.transform(F.when(F.size("w") >= SPAN, F.col("kept")).otherwise(F.array().cast("array<bigint>")),
                         lambda h: F.struct(F.lit(SPAN).alias("n"), h.alias("h")))]
-    keep += [F.transform(F.array_distinct(_runs(F.col("w"), F.lit(n))),
-                         lambda g, n=n: F.struct(F.lit(n).alias("n"), F.xxhash64(g).alias("h"))) for n in short]
+    keep += [_named_runs(n) for n in short]
     prints = materialize(split.select("doc_id", "th", F.size("w").cast("long").alias("n_words"),
                                       F.concat(*keep).alias("prints")), "decontam-prints")
 
@@ -98,20 +109,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # extend: the windows around every kept hash, compared as words
     texts = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), "text")
     near = texts.join(_small(met), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("th")))
-    near = near.select("doc_id", "th", "item", words().alias("w")).join(_small(items), "item")
-    grams = F.transform(_grams(F.col("w")), lambda g, i: F.when(F.array_contains("prints", g), i))
-    around = F.array_distinct(F.flatten(F.transform(F.filter(grams, lambda i: i.isNotNull()), lambda i: F.sequence(
+    near = _grams(near.select("doc_id", "th", "item", words().alias("w"))).join(_small(items), "item")
+    near = near.withColumn("hit", F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains("prints", g), i)),
+                                           lambda i: i.isNotNull()))
+    around = F.array_distinct(F.flatten(F.transform("hit", lambda i: F.sequence(
         F.greatest(i - (SPAN - GRAM), F.lit(0)), i))))
     starts = F.when(F.col("n") == SPAN, around).otherwise(F.sequence(F.lit(0), F.size("w") - 1))
     near = near.withColumn("starts", starts)
     true = F.filter("starts", lambda i: F.array_contains("windows", F.array_join(F.slice("w", i + 1, F.col("n")), " ")))
-    hits = near.select("doc_id", "th", "item", "n", true.alias("starts")).where(F.size("starts") > 0)
+    hits = near.select("doc_id", "th", "item", "n", true.alias("starts"))
     hits = hits.select("doc_id", "th", "item", F.array_distinct(F.flatten(F.transform(
         "starts", lambda i: F.sequence(i, i + F.col("n") - 1)))).alias("at"))
     found = hits.groupBy("doc_id", "th").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_hit"),
-        F.array_sort(F.collect_set("item")).alias("items"))
-    found = found.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "n_hit", "items")
+        F.array_sort(F.collect_set(F.when(F.size("at") > 0, F.col("item")))).alias("items"))
+    found = found.where("n_hit > 0").select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "n_hit", "items")
     out = prints.select("doc_id", "th", "n_words").join(
         found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
     names = F.coalesce("items", F.array().cast("array<string>"))

@@ -156,9 +156,12 @@ def personal_data(docs: DataFrame) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
+    def count(spans, kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
     base = F.filter("s", lambda s: s["base"])
     each = each.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), said(base).alias("base"), said(F.col("s")).alias("spans"),
-                       *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS])
+                       *[count(base, k).alias(f"n_{k}") for k in KINDS])
     each = materialize(each, "pii-spans")
     out = docs.select("doc_id", F.xxhash64("text").alias("th")).join(
         each, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
