@@ -23,22 +23,29 @@ def _columns(docs: DataFrame):
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """Columns other than the operators' own under names that cannot clash."""
+    return docs.toDF(*[c if c in ("doc_id", "text", "lang") else f"_ll_{i}" for i, c in enumerate(docs.columns)])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter and texts of no clear language."""
     model = language.fit(docs)
     if not model[0]:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    scored = language.identify(docs, model)
+    plain = _apart(docs)
     ok = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)
-    return scored.where(ok).select(*_columns(docs))
+    return language.identify(plain, model).where(ok).select(*plain.columns).toDF(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every line of a group of similar lines but one; documents left without text go."""
-    out = line_dedup.dedup_lines(docs).where((F.col("n_dropped") == 0) | (F.trim("text") != ""))
+    plain = _apart(docs)
+    out = line_dedup.dedup_lines(plain).where((F.col("n_dropped") == 0) | (F.trim("text") != ""))
+    out = out.select(*plain.columns).toDF(*docs.columns)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*_columns(docs))
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

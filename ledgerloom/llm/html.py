@@ -107,8 +107,8 @@ def blocks(html: str):
 
     while at < len(html):
         m = OPEN.search(html, at) if at <= last else None
-        if not m or m.start() > last:
-            said(html[at:])
+        if not m:
+            said(html[at:].split("<!--")[0])
             break
         if m.start() > at:
             said(html[at:m.start()])
@@ -121,7 +121,7 @@ def blocks(html: str):
             end = html.find(">", at)
             at = len(html) if end < 0 else end + 1
             continue
-        m = TAG.match(html, at)
+        m = TAG.match(html, at) if at <= last else None
         if not m:
             said(html[at])
             at += 1

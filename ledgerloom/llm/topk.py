@@ -180,7 +180,7 @@ def _resolve(dims: int, slices: int, k: int):
                 ok = (total >= least[r]) | ~known[r]
                 r, c, total = r[ok], c[ok], total[ok]
                 score = np.array([max(-(1 << 63), min(int(x), (1 << 63) - 1)) for x in total], np.int64)
-                order = np.lexsort((vec_ids[c], -score if total.dtype != object else [-int(x) for x in total], r))
+                order = np.lexsort((vec_ids[c], ~score, r))
                 r, c, score = r[order], c[order], score[order]
                 first = np.searchsorted(r, r)
                 few = np.arange(len(r)) - first < k
