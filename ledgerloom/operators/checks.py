@@ -65,7 +65,8 @@ def run_checks(spark: SparkSession, metrics: dict[str, DataFrame], checks: Seque
     """Quality results rows (the 10-column results schema).
 
     ``metrics``: dataset -> one-row DataFrame of metric columns.
-    ``passed`` is the equality of the actual and expected values as text.
+    ``passed`` is the equality of the actual and expected values: as numbers
+    where both are (0 equals 0.00), else as text.
     """
     parts = []
     for dataset, m in metrics.items():
@@ -84,11 +85,13 @@ def run_checks(spark: SparkSession, metrics: dict[str, DataFrame], checks: Seque
          for c in checks],
         "layer string, dataset string, check_name string, metric string, expected_value string, "
         "severity string, details string")
-    j = F.broadcast(spec).join(actual, ["dataset", "metric"], "left")  # spec: one row per declared check
+    j = spec.join(actual, ["dataset", "metric"], "left")
+    numbers = [F.col(c).try_cast("decimal(38,10)") for c in ("actual_value", "expected_value")]
     return j.select(
         F.lit(run_id).alias("run_id"), F.lit(run_ts).cast("timestamp").alias("run_timestamp"),
         "layer", "dataset", "check_name",
-        F.coalesce(F.col("actual_value") == F.col("expected_value"), F.lit(False)).alias("passed"),
+        F.coalesce(numbers[0] == numbers[1], F.col("actual_value") == F.col("expected_value"),
+                   F.lit(False)).alias("passed"),
         "actual_value", "expected_value", "severity", "details")
 
 

@@ -17,8 +17,8 @@ Scale notes
   numbers its own slice, and a small per-(key, slice) count table supplies the
   offset of the slices before it, so no task ever holds a whole hot group.
   All other keys take the plain ``row_number()`` window (one shuffle). Both
-  paths give identical ranks, so the sample only decides speed, never the
-  result; with no hot key the plan is exactly the window.
+  paths sort by one shared list of columns, the order columns, the tie hash and
+  then every other orderable column, so the sample decides speed alone.
   ``strategy="window"`` / ``"sorted"`` force one path (tests cross-check them).
 
   Why a range sort and not "window per (key, order bucket)": a key with a
@@ -33,7 +33,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,24 +76,25 @@ def _tie_column(tie_cols: Sequence[str] | None) -> list[Column]:
 
 HOT_KEY_ROWS = 1_000_000      # floor: a key needs at least this many rows to be hot
 HOT_KEY_SHARE = 4.0           # ... and at least this many times the rows of an average shuffle partition
-HOT_KEY_BROADCAST = 100_000   # at most this many hot keys are broadcast for the split
 
 
 def rank_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                     tie_cols: Sequence[str] | None = None, out: str = "duplicate_rank",
                     strategy: str = "auto", hot_rows: int = HOT_KEY_ROWS,
-                    hot_share: float | None = HOT_KEY_SHARE) -> DataFrame:
-    """Add ``out`` = 1-based position of each row within its key (rows are kept).
+                    hot_share: float = HOT_KEY_SHARE) -> DataFrame:
+    """Add ``out`` = 1-based position (BIGINT) of each row within its key (rows are kept).
 
     Order: ``order`` descending NULLS LAST, then the SHA-256 of ``tie_cols``
-    (descending) so that equal timestamps still rank deterministically.
+    (descending), then every other orderable column (descending), so that only
+    rows equal in all of them are interchangeable.
 
     A key is hot when it holds more than ``hot_rows`` rows and more than
     ``hot_share`` times the rows of an average shuffle partition (estimated
-    from the same sample); ``hot_share=None`` uses the absolute floor only.
+    from the same sample).
     """
-    order_cols = [as_col(c) for c in order] + _tie_column(tie_cols)
     keys = list(keys)
+    order_cols = [as_col(c) for c in order] + _tie_column(tie_cols)
+    order_cols += [F.col(f.name) for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]
     if strategy == "window":
         return _rank_by_window(df, keys, order_cols, out)
     if strategy == "sorted":
@@ -103,7 +104,7 @@ def rank_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     hot = _hot_keys(df, keys, hot_rows, hot_share)
     if hot is None:
         return _rank_by_window(df, keys, order_cols, out)
-    hot = F.broadcast(hot)   # at most HOT_KEY_BROADCAST rows, built on the driver from the sample
+    hot = F.broadcast(hot)   # fewer keys than shuffle partitions: each holds several partitions' worth of rows
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hk_{k}")) for k in keys])
     cold = df.join(hot, cond, "left_anti")
     heavy = df.join(hot, cond, "left_semi")
@@ -111,31 +112,26 @@ def rank_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
             .unionByName(_rank_by_global_sort(heavy, keys, order_cols, out)))
 
 
-def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int, hot_share: float | None = None,
+def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int, hot_share: float = HOT_KEY_SHARE,
               seed: int = 17) -> DataFrame | None:
-    """Keys estimated to be hot, from one seeded sample of the key columns.
+    """Keys estimated to be hot, from one aggregate over a seeded sample of the key columns.
 
-    The fraction keeps ~1,000 sampled rows per ``hot_rows`` rows. The same pass
-    returns the sample's total, which estimates the row count N; with
-    ``hot_share`` a key must also exceed ``hot_share * N / shuffle partitions``
-    rows. At most HOT_KEY_BROADCAST keys (the largest) are returned; any other
-    key is still ranked exactly, by the window path.
+    The fraction keeps ~1,000 sampled rows per ``hot_rows`` rows. The sample's
+    total, which estimates the row count N, is observed in the same pass. A
+    returned key holds over half of ``hot_share * N / shuffle partitions`` rows,
+    so there are at most ``2 / hot_share`` times as many as shuffle partitions.
     """
     frac = min(1.0, 1000.0 / max(hot_rows, 1))
     cutoff = max(1, int(hot_rows * frac / 2))
     sampled = df.select(*keys) if frac >= 1.0 else df.select(*keys).sample(fraction=frac, seed=seed)
-    grouped = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    cand = (grouped.where(F.col("_n") >= cutoff).orderBy(F.col("_n").desc())
-            .limit(HOT_KEY_BROADCAST).withColumn("_total", F.lit(False)))
-    total = grouped.agg(F.sum("_n").alias("_n")).select(
-        *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys], "_n", F.lit(True).alias("_total"))
-    rows = cand.unionByName(total).collect()
-    n_est = sum(int(r["_n"] or 0) for r in rows if r["_total"]) / frac
-    threshold = float(hot_rows)
-    if hot_share is not None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        threshold = max(threshold, hot_share * n_est / max(partitions, 1))
-    hot = [r for r in rows if not r["_total"] and r["_n"] / frac > threshold / 2]
+    seen = Observation()
+    counted = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("total"))
+    partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    # of the sample's keys only those above the floor reach the driver: 500 sampled rows each at least
+    rows = counted.where(F.col("_n") >= cutoff).collect()
+    n_est = (seen.get.get("total") or 0) / frac
+    threshold = max(float(hot_rows), hot_share * n_est / partitions)
+    hot = [r for r in rows if r["_n"] / frac > threshold / 2]
     if not hot:
         return None
     schema = T.StructType([T.StructField(f"_hk_{k}", df.schema[k].dataType) for k in keys])
@@ -144,7 +140,7 @@ def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int, hot_share: float |
 
 def _rank_by_window(df: DataFrame, keys: list[str], order_cols: list[Column], out: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order_cols])
-    return df.withColumn(out, F.row_number().over(w).cast("int"))
+    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
 
 
 def _rank_by_global_sort(df: DataFrame, keys: list[str], order_cols: list[Column],
@@ -152,12 +148,8 @@ def _rank_by_global_sort(df: DataFrame, keys: list[str], order_cols: list[Column
     base_cols = df.columns
     okeys = [f"_rk{i}" for i in range(len(order_cols))]
     s = df.withColumns(dict(zip(okeys, order_cols)))
-    # Total order inside a key: the order columns, then every orderable column,
-    # so that the ids below are reproducible when a task is re-run.
-    extra = [f.name for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]
     s = s.orderBy(*[F.col(k).asc_nulls_first() for k in keys],
-                  *[F.col(k).desc_nulls_last() for k in okeys],
-                  *[F.col(c).desc_nulls_last() for c in extra])
+                  *[F.col(k).desc_nulls_last() for k in okeys])
     s = s.withColumn("_gid", F.monotonically_increasing_id())
     # Fix the ids (and cut the lineage) before they are read twice. The
     # checkpoint goes to the session's spark.checkpoint.dir (set only if unset).
@@ -174,7 +166,7 @@ def _rank_by_global_sort(df: DataFrame, keys: list[str], order_cols: list[Column
                   [F.col(k).eqNullSafe(F.col(f"_sk_{k}")) for k in keys]
                   + [F.col("_slice") == F.col("_sk_slice")])
     ranked = s.join(seg, cond, "inner")
-    rank = (F.col("_before") + (F.col("_gid") - F.col("_first")) + F.lit(1)).cast("int")
+    rank = (F.col("_before") + (F.col("_gid") - F.col("_first")) + F.lit(1)).cast("bigint")
     return ranked.select(*[F.col(c) for c in base_cols], rank.alias(out))
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
 from ledgerloom.functions.columns import as_col, risk_premium
-from ledgerloom.plans.joins import maybe_broadcast
 
 
 def expand_schedule(contracts: DataFrame) -> DataFrame:
@@ -49,11 +48,10 @@ def expand_schedule(contracts: DataFrame) -> DataFrame:
 
 
 def price_contracts(contracts: DataFrame, customers: DataFrame, products: DataFrame,
-                    premiums: dict | None = None, product_broadcast_rows: int = 10_000) -> DataFrame:
+                    premiums: dict | None = None) -> DataFrame:
     """Risk-priced rate (base + premium by rating, 4 decimals) and term capped by the product."""
     cust = customers.select("customer_id", "risk_rating")
-    prod = maybe_broadcast(products.select("product_id", "base_annual_interest_rate", "max_term_months"),
-                           product_broadcast_rows)
+    prod = products.select("product_id", "base_annual_interest_rate", "max_term_months")
     j = contracts.join(cust, "customer_id", "inner").join(prod, "product_id", "inner")
     prem = risk_premium(F.col("risk_rating"), premiums)
     return j.select("contract_id", "customer_id", "product_id", "risk_rating", "base_annual_interest_rate",
@@ -94,9 +92,6 @@ def standard_defects(key: str = "contract_id") -> list[Defect]:
     ]
 
 
-def with_source_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[as_col(c) for c in cols])
-
 
 def payment_defects(first_payment_id: str, key: str = "payment_id") -> list[Defect]:
     """The payment side of the known-defect scenario: the first event delivered

@@ -117,13 +117,10 @@ PAYMENT_RANK_ORDER = ["event_timestamp", "source_file_modification_time", "sourc
 
 
 def classify_contracts(contracts_raw: DataFrame, customers: DataFrame, products: DataFrame,
-                       today=None, rank_strategy: str = "auto",
-                       product_broadcast_rows: int | None = 10_000) -> DataFrame:
+                       today=None, rank_strategy: str = "auto") -> DataFrame:
     """Rank all raw rows, look up customer and product, apply the contract rules.
 
-    ``customers`` / ``products`` are the trusted (silver) dimensions. Products
-    are broadcast after a bounded size check (``product_broadcast_rows``; pass
-    None when the frame already carries a proven broadcast hint).
+    ``customers`` / ``products`` are the trusted (silver) dimensions.
     """
     ranked = rank_duplicates(contracts_raw, ["contract_id"], CONTRACT_RANK_ORDER,
                              tie_cols=S.CONTRACT_TIE_HASH, strategy=rank_strategy)
@@ -131,10 +128,8 @@ def classify_contracts(contracts_raw: DataFrame, customers: DataFrame, products:
                             F.col("snapshot_date").alias("customer_snapshot_date"))
     prod = products.select(F.col("product_id").alias("matched_product_id"),
                            "allowed_customer_type", "max_term_months")
-    enriched = lookup_join(ranked, cust, F.col("customer_id") == F.col("matched_customer_id"),
-                           max_broadcast_rows=None)
-    enriched = lookup_join(enriched, prod, F.col("product_id") == F.col("matched_product_id"),
-                           max_broadcast_rows=product_broadcast_rows)
+    enriched = lookup_join(ranked, cust, F.col("customer_id") == F.col("matched_customer_id"))
+    enriched = lookup_join(enriched, prod, F.col("product_id") == F.col("matched_product_id"))
     return classify(enriched, contract_rules(today))
 
 
@@ -197,8 +192,7 @@ def classify_payments(payments_raw: DataFrame, installments_raw: DataFrame,
     lookup = current.select(F.col("installment_id").alias("matched_installment_id"),
                             F.col("contract_id").alias("expected_contract_id"),
                             F.col("installment_number").alias("expected_installment_number"))
-    enriched = lookup_join(ranked, lookup, F.col("installment_id") == F.col("matched_installment_id"),
-                           max_broadcast_rows=None)
+    enriched = lookup_join(ranked, lookup, F.col("installment_id") == F.col("matched_installment_id"))
     return classify(enriched, payment_rules())
 
 

@@ -1,29 +1,15 @@
-"""Join helpers: broadcast only behind a size check.
+"""Lookup joins.
 
-A side is broadcast only after a bounded count proves it has at most
-``max_broadcast_rows`` rows (``limit(n + 1).count()`` stops reading early).
-Beyond the bound, or with no bound given, the join is left to Catalyst and
-AQE: a shuffle join that AQE may still turn into a broadcast join once the
-real shuffle sizes are known, and whose skewed partitions AQE splits.
+No side is broadcast by hint: the planner broadcasts a scan whose files are
+small, and AQE turns a shuffle join into a broadcast join when the measured
+side is small, and splits skewed partitions when it is not.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    return df.limit(n + 1).count() <= n
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    if max_rows is not None and has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
-def lookup_join(left: DataFrame, right: DataFrame, cond: Column | str | list, how: str = "left",
-                max_broadcast_rows: int | None = None) -> DataFrame:
-    """``left`` joined to a lookup relation; the lookup is broadcast only if proven small."""
-    return left.join(maybe_broadcast(right, max_broadcast_rows), cond, how)
+def lookup_join(left: DataFrame, right: DataFrame, cond: Column | str | list, how: str = "left") -> DataFrame:
+    """``left`` joined to a lookup relation."""
+    return left.join(right, cond, how)

@@ -114,20 +114,19 @@ def write_landing_from_testdata(spark: SparkSession, sf_dir: str, lake: Lake,
     land = lake.path("landing")
     prod_cols = [f.name for f in S.PRODUCT_SOURCE.fields]
     FS.write_landing(TD.products_raw(spark, sf_dir).select(*prod_cols),
-                     posixpath.join(land, "products", "full"), "csv", files=1)
+                     posixpath.join(land, "products", "full"), "csv")
     cust_cols = [f.name for f in S.CUSTOMER_SOURCE.fields]
     FS.write_landing(TD.customers_raw(spark, sf_dir).select(*cust_cols),
-                     posixpath.join(land, "customers", f"snapshot_date={snapshot}"), "json", files=2)
+                     posixpath.join(land, "customers", f"snapshot_date={snapshot}"), "json")
     con_cols = [f.name for f in S.CONTRACT_SOURCE.fields]
     contracts = TD.contracts_raw(spark, sf_dir).select(*con_cols)
     if defects:
         contracts = PR.inject_defects(contracts, PR.standard_defects())
-    FS.write_landing(contracts, posixpath.join(land, "contracts", f"batch_date={snapshot}"), "csv", files=2)
+    FS.write_landing(contracts, posixpath.join(land, "contracts", f"batch_date={snapshot}"), "csv")
     inst = TD.latest_installments(spark, sf_dir).select(
         *[F.col(f.name) for f in S.INSTALLMENT_SOURCE.fields if f.name != "scheduled_amount"],
         F.col("scheduled_amount").cast("double").alias("scheduled_amount"))
-    FS.write_landing(inst, posixpath.join(land, "installments", f"snapshot_date={snapshot}"), "parquet",
-                     files=4)
+    FS.write_landing(inst, posixpath.join(land, "installments", f"snapshot_date={snapshot}"), "parquet")
     pay_cols = [f.name for f in S.PAYMENT_SOURCE.fields]
     payments = TD.payments_raw(spark, sf_dir).select(*pay_cols, "event_date")
     if defects:
@@ -285,8 +284,7 @@ def build_gold(spark: SparkSession, lake: Lake) -> None:
                             spark.table(lake.t("gold", "dim_customer")),
                             spark.table(lake.t("gold", "dim_product")), processed_at=True)
     TB.replace_table(kpis, lake.t("gold", "portfolio_kpis"))
-    spark.sql(f"CREATE OR REPLACE VIEW {lake.t('gold', 'vw_executive_portfolio')} AS "
-              + P.EXECUTIVE_VIEW_SQL.format(fact=lake.t("gold", "fact_credit_portfolio")))
+    P.create_executive_view(spark, lake.t("gold", "vw_executive_portfolio"), lake.t("gold", "fact_credit_portfolio"))
 
 
 # ---------------------------------------------------------------------------
@@ -351,25 +349,21 @@ def _gate(step: str, row, checks: dict) -> None:
         raise StepGateError(f"{step}: {bad}")
 
 
-def gate_steps(spark: SparkSession, lake: Lake) -> None:
-    """The per-step post-publish gates: invariants always, counts when expected.
-
-    One aggregate per table (scalar subqueries for the cross-table values),
-    one row to the driver per gate.
-    """
-    e = lake.expectations
-    t = lambda layer, name: spark.table(lake.t(layer, name))
-    raw = t("bronze", "contracts_raw")
-    dup_ids = (raw.groupBy("contract_id").count().where(F.col("count") > 1)
-               .agg(F.count(F.lit(1))).scalar())
+def _gate_bronze(spark: SparkSession, lake: Lake) -> None:
+    e, raw = lake.expectations, spark.table(lake.t("bronze", "contracts_raw"))
+    dup_ids = duplicate_keys(raw, ["contract_id"]).agg(F.count(F.lit(1))).scalar()
     b = raw.agg(F.count(F.lit(1)).alias("contracts"),
                 F.count(F.when(F.col("principal_amount") <= 0, 1)).alias("invalid_principal_rows"),
                 dup_ids.alias("duplicated_contract_ids"),
-                t("bronze", "products_raw").agg(F.count(F.lit(1))).scalar().alias("products")).first()
+                spark.table(lake.t("bronze", "products_raw")).agg(F.count(F.lit(1))).scalar().alias("products")).first()
     _gate("bronze", b, {"products": e.get("products"), "contracts": e.get("contracts_raw"),
                         "duplicated_contract_ids": e.get("contracts_duplicated_ids"),
                         "invalid_principal_rows": e.get("contracts_invalid_principal")})
-    pay = t("bronze", "payments_raw").agg(
+
+
+def _gate_bronze_payments(spark: SparkSession, lake: Lake) -> None:
+    e = lake.expectations
+    pay = spark.table(lake.t("bronze", "payments_raw")).agg(
         (F.count(F.lit(1)) - F.count_distinct("payment_id")).alias("duplicate_rows"),
         F.count(F.when(F.col("payment_id").isNull(), 1)).alias("null_ids"),
         F.count(F.when(F.col("amount_paid").isNull(), 1)).alias("null_amounts"),
@@ -378,33 +372,56 @@ def gate_steps(spark: SparkSession, lake: Lake) -> None:
                                    "null_ids": e.get("payments_null_ids"),
                                    "null_amounts": e.get("payments_null_amounts"),
                                    "rescued": e.get("payments_rescued")})
-    c = t("silver", "contracts").agg(F.count(F.lit(1)).alias("rows"),
-                                     F.count_distinct("contract_id").alias("ids")).first()
-    _gate("silver contracts", c, {"ids": c["rows"], "rows": e.get("contracts_valid")})
-    p = t("silver", "payments").agg(F.count(F.lit(1)).alias("rows"),
-                                    F.count_distinct("payment_id").alias("ids")).first()
-    _gate("silver payments", p, {"ids": p["rows"]})
-    i = R.installment_metrics(t("silver", "installments")).first()
+
+
+def _gate_unique(spark: SparkSession, lake: Lake, step: str, layer: str, table: str, key: str, rows=None) -> None:
+    r = spark.table(lake.t(layer, table)).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("ids")).first()
+    _gate(step, r, {"ids": r["rows"], "rows": rows})
+
+
+def _gate_contracts(spark: SparkSession, lake: Lake) -> None:
+    _gate_unique(spark, lake, "silver contracts", "silver", "contracts", "contract_id", lake.expectations.get("contracts_valid"))
+
+
+def _gate_payments(spark: SparkSession, lake: Lake) -> None:
+    _gate_unique(spark, lake, "silver payments", "silver", "payments", "payment_id")
+
+
+def _gate_installments(spark: SparkSession, lake: Lake) -> None:
+    i = R.installment_metrics(spark.table(lake.t("silver", "installments"))).first()
     _gate("silver installments", i, {"distinct_ids": i["rows"], "negative_balances": 0})
-    f = t("gold", "fact_credit_portfolio").agg(F.count(F.lit(1)).alias("rows"),
-                                               F.count_distinct("contract_id").alias("contracts")).first()
-    _gate("gold", f, {"contracts": f["rows"]})
+
+
+def _gate_gold(spark: SparkSession, lake: Lake) -> None:
+    _gate_unique(spark, lake, "gold", "gold", "fact_credit_portfolio", "contract_id")
+
+
+GATES = [_gate_bronze, _gate_bronze_payments, _gate_contracts, _gate_payments, _gate_installments, _gate_gold]
+
+
+def gate_steps(spark: SparkSession, lake: Lake) -> None:
+    """All post-publish gates: invariants always, counts when expected; one aggregate each."""
+    for gate in GATES:
+        gate(spark, lake)
 
 
 def run_all(spark: SparkSession, lake: Lake, snapshot: _dt.date, gate: bool = True) -> dict:
-    """Every step in dependency order; returns the per-step counts."""
+    """Every step in dependency order, each stopped by its gate before the next; returns the per-step counts."""
+    def gated(check, result=None):
+        if gate:
+            check(spark, lake)
+        return result
+
     setup(spark, lake)
-    out = {"bronze_batch": load_bronze_batch(spark, lake),
+    out = {"bronze_batch": gated(_gate_bronze, load_bronze_batch(spark, lake)),
            "bronze_snapshots": load_bronze_snapshots(spark, lake, snapshot),
-           "bronze_payments": load_bronze_payments(spark, lake)}
+           "bronze_payments": gated(_gate_bronze_payments, load_bronze_payments(spark, lake))}
     dups = duplicate_keys(spark.table(lake.t("bronze", "contracts_raw")), ["contract_id"]).count()
     out["bronze_duplicated_contract_ids"] = dups
     build_silver_dimensions(spark, lake)
-    out["silver_contracts"] = build_silver_contracts(spark, lake)
-    out["silver_payments"] = build_silver_payments(spark, lake)
-    out["silver_installments"] = build_silver_installments(spark, lake)
-    build_gold(spark, lake)
-    if gate:
-        gate_steps(spark, lake)
+    out["silver_contracts"] = gated(_gate_contracts, build_silver_contracts(spark, lake))
+    out["silver_payments"] = gated(_gate_payments, build_silver_payments(spark, lake))
+    out["silver_installments"] = gated(_gate_installments, build_silver_installments(spark, lake))
+    gated(_gate_gold, build_gold(spark, lake))
     run_quality(spark, lake, gate=gate)
     return out

@@ -139,7 +139,7 @@ def q_batch_event_rank(spark, sf):
     ties = ["payment_id", "installment_id", "contract_id", "installment_number", "payment_date",
             "amount_paid", "event_type"]
     ranked = rank_duplicates(p, ["source_batch_id"], ["event_timestamp"], tie_cols=ties,
-                             out="batch_rank", hot_rows=5_000)
+                             out="batch_rank", strategy="sorted")
     return ranked.select("source_batch_id", *ties, "event_timestamp", "batch_rank")
 
 

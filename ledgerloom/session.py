@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import posixpath
+import re
 import tempfile
 import uuid
 
@@ -49,13 +50,16 @@ def apply_session_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only when it is unset (unit tests,
-    ad-hoc local runs) is a local folder created and registered.
+    The setting is read from the session. Where it is unset, a session in one
+    process (unit tests, ad-hoc local runs) gets a folder of its own; on a
+    cluster that is an error, since no local folder is seen by all machines.
     """
     base = spark.sparkContext.getCheckpointDir()
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         if not base:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
             base = tempfile.mkdtemp(prefix="ledgerloom-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base

@@ -7,22 +7,26 @@ product relies on are re-expressed with open-source Spark:
   column + dynamic partition overwrite of exactly that partition;
 * ``MERGE`` -> :func:`ledgerloom.operators.merge.sync_merge_plan`, decided
   first on (key, hash) only; changed rows are staged next to the target (a
-  table cannot be overwritten while it is read) and written back -- the whole
-  table, or, for a key-bucket partitioned table, only the changed buckets. A
-  failed run is safe to re-run: the plan is rebuilt from the source.
+  table cannot be overwritten while it is read) and put in place -- the whole
+  table by pointing it at a finished new folder, a key-bucket partitioned table
+  by overwriting only the changed buckets. A failed run leaves the old rows and
+  is safe to re-run.
 """
 
 from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators import merge as M
+from ledgerloom.session import scratch_dir
+from ledgerloom.sources.files import delete_folder
 
 
 def _q(s: str) -> str:
@@ -42,10 +46,14 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, comment:
     """Declare a Parquet table once; afterwards enforce the schema policy.
 
     An existing table with other columns is an error unless
-    ``allow_new_columns`` (then missing columns are added).
+    ``allow_new_columns`` (then missing columns are added). A column of another
+    type is always an error.
     """
     if spark.catalog.tableExists(name):
-        have = {f.name for f in spark.table(name).schema.fields}
+        have = {f.name: f.dataType for f in spark.table(name).schema.fields}
+        changed = [f.name for f in schema.fields if f.name in have and have[f.name].simpleString() != f.dataType.simpleString()]
+        if changed:
+            raise ValueError(f"{name}: other types in columns {changed}")
         new = [f for f in schema.fields if f.name not in have]
         if new and not allow_new_columns:
             raise ValueError(f"{name}: unexpected new columns {[f.name for f in new]}")
@@ -99,11 +107,22 @@ def _conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Full rebuild (CTAS replace) of a table, whole-table overwrite."""
+def replace_table(df: DataFrame, name: str, comment: str | None = None, props: dict | None = None,
+                  schema: T.StructType | None = None) -> None:
+    """Full rebuild of a table: declared types, comment and properties included.
+
+    Columns are cast to ``schema`` if given. A comment or properties not given
+    are those the table had.
+    """
     spark = df.sparkSession
+    if schema is not None:
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    if spark.catalog.tableExists(name):
+        comment = spark.catalog.getTable(name).description if comment is None else comment
+        props = {**table_properties(spark, name), **(props or {})}
     with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
         df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    set_table_properties(spark, name, comment, props)
 
 
 def _literal(value) -> str:
@@ -114,24 +133,41 @@ def _literal(value) -> str:
     return str(value)
 
 
+def drop_partition(spark: SparkSession, table: str, column: str, value) -> None:
+    """Remove a partition and its files (tables with a LOCATION keep files otherwise)."""
+    spec = f"PARTITION ({column} = {_literal(value)})"
+    if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
+        return
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").where("col_name = 'Location'").collect()
+    for r in rows[:1]:       # the partition's own location comes first
+        delete_folder(spark, r["data_type"])
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+
+
 def replace_snapshot(df: DataFrame, table: str, column: str, value) -> None:
     """Atomically per partition replace the ``column = value`` slice; other slices stay.
 
-    Pre-publish gate: every row must carry ``value``. The insert uses dynamic
-    partition overwrite (set on the session around the write: the per-write
-    option is ignored by ``insertInto``). An empty input drops the partition
-    instead, since a dynamic overwrite with no rows would keep the old slice.
+    The input is evaluated once, into a stage; the same write counts its rows
+    and those that do not carry ``value`` (pre-publish gate). The insert uses
+    dynamic partition overwrite (set on the session around the write: the
+    per-write option is ignored by ``insertInto``). An empty input drops the
+    partition and its files instead, since a dynamic overwrite with no rows
+    would keep the old slice.
     """
     spark = df.sparkSession
-    wrong = df.where(~F.col(column).eqNullSafe(F.lit(value))).limit(1).count()
-    if wrong:
-        raise ValueError(f"rows outside {column} = {value!r}")
-    if df.limit(1).count() == 0:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = {_literal(value)})")
-        return
-    cols = spark.table(table).columns
-    with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        df.select(*cols).write.insertInto(table, overwrite=True)
+    wrong = F.count(F.when(~F.col(column).eqNullSafe(F.lit(value)), 1))
+    seen, stage = Observation(), scratch_dir(spark, "snapshot-stage")
+    df.select(*spark.table(table).columns).observe(seen, F.count(F.lit(1)).alias("rows"), wrong.alias("wrong")).write.parquet(stage)
+    try:
+        if seen.get["wrong"]:
+            raise ValueError(f"rows outside {column} = {value!r}")
+        if not seen.get["rows"]:
+            drop_partition(spark, table, column, value)
+            return
+        with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            spark.read.parquet(stage).write.insertInto(table, overwrite=True)
+    finally:
+        delete_folder(spark, stage)
 
 
 def append_table(df: DataFrame, table: str) -> None:
@@ -148,10 +184,13 @@ def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: st
                      buckets: int | None = None) -> dict[str, int]:
     """Synchronise ``table`` with ``source``; returns rows per action.
 
-    Whole table (no ``bucket_col``): actions are first decided on (key, hash)
-    only; when nothing changed the table is left untouched. Otherwise the plan
-    is staged once next to the target (read for the checks, the counts and the
-    write) and the target is overwritten from the stage.
+    The source is evaluated once, into a stage; several source rows for one
+    target row are an error before anything is counted or written.
+
+    Whole table (no ``bucket_col``): actions are decided on (key, hash) only;
+    when nothing changed the table is left untouched. Otherwise the new state is
+    written to a new folder, the table is pointed at it once it is complete, and
+    the old folder is removed.
 
     Bucket-partitioned (``bucket_col`` = ``merge_bucket(key, buckets)``):
       1. actions are decided on (key, hash, bucket) only -- a columnar read of
@@ -162,9 +201,22 @@ def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: st
          written back by dynamic partition overwrite. Unchanged buckets are
          neither read in full nor rewritten.
     """
-    if bucket_col is None:
-        return _merge_whole(spark, table, source, key, hash_col)
-    source = source.withColumn(bucket_col, merge_bucket(key, buckets))
+    stage = scratch_dir(spark, "merge-source")
+    if bucket_col is not None:
+        source = source.withColumn(bucket_col, merge_bucket(key, buckets))
+    source.write.parquet(stage)
+    source = spark.read.schema(source.schema).parquet(stage)
+    try:
+        again = source.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if not again.join(spark.table(table).select(key), key, "left_semi").isEmpty():
+            raise M.MergeCardinalityError("several source rows match one target row")
+        return (_merge_whole(spark, table, source, key, hash_col) if bucket_col is None
+                else _merge_buckets(spark, table, source, key, hash_col, bucket_col))
+    finally:
+        delete_folder(spark, stage)
+
+
+def _merge_buckets(spark: SparkSession, table: str, source: DataFrame, key: str, hash_col: str, bucket_col: str) -> dict:
     target = spark.table(table)
     slim = M.sync_merge_plan(target.select(key, hash_col, bucket_col),
                              source.select(key, hash_col, bucket_col), key, hash_col)
@@ -179,37 +231,35 @@ def apply_sync_merge(spark: SparkSession, table: str, source: DataFrame, key: st
         return counts
     in_changed = F.col(bucket_col).isin(sorted(changed))
     plan = M.sync_merge_plan(target.where(in_changed), source.where(in_changed), key, hash_col)
-    stage = table_location(spark, table).rstrip("/") + "__merge_stage"
-    plan.write.mode("overwrite").parquet(stage)
+    stage = scratch_dir(spark, "merge-stage")
+    plan.write.parquet(stage)
     staged = spark.read.parquet(stage)
-    M.check_cardinality(staged)
     state = M.merged_state(staged).select(*target.columns)
     # rebalance: rows of a bucket go to few tasks (few files); AQE still splits a large bucket
     with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         state.hint("rebalance", bucket_col).write.insertInto(table, overwrite=True)
     kept = {r[0] for r in state.select(bucket_col).distinct().collect()}
     for b in changed - kept:   # every row of the bucket was deleted
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({bucket_col} = {int(b)})")
+        drop_partition(spark, table, bucket_col, int(b))
+    delete_folder(spark, stage)
     return counts
 
 
 def _merge_whole(spark: SparkSession, table: str, source: DataFrame, key: str, hash_col: str) -> dict:
     target = spark.table(table)
     slim = M.sync_merge_plan(target.select(key, hash_col), source.select(key, hash_col), key, hash_col)
-    slim_counts = {r["action"]: int(r["rows"]) for r in M.action_counts(slim).collect()}
-    if not any(slim_counts.get(a) for a in (M.INSERT, M.UPDATE, M.DELETE)):
-        return {a: slim_counts.get(a, 0) for a in (M.INSERT, M.UPDATE, M.DELETE, M.KEEP)}   # nothing to write
-    plan = M.sync_merge_plan(target, source, key, hash_col)
-    # the stage lives next to the target (same shared storage), never in a local folder
-    stage = table_location(spark, table).rstrip("/") + "__merge_stage"
-    plan.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    M.check_cardinality(staged)
-    counts = {r["action"]: int(r["rows"]) for r in M.action_counts(staged).collect()}
-    cols = spark.table(table).columns
-    with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
-        M.merged_state(staged).select(*cols).write.insertInto(table, overwrite=True)
-    return {a: counts.get(a, 0) for a in (M.INSERT, M.UPDATE, M.DELETE, M.KEEP)}
+    rows = {r["action"]: int(r["rows"]) for r in M.action_counts(slim).collect()}
+    counts = {a: rows.get(a, 0) for a in (M.INSERT, M.UPDATE, M.DELETE, M.KEEP)}
+    if not any(counts[a] for a in (M.INSERT, M.UPDATE, M.DELETE)):
+        return counts   # nothing to write
+    # the new state lives beside the old one (same shared storage) until it is complete
+    old = table_location(spark, table).rstrip("/")
+    new = f"{old.split('__state-')[0]}__state-{uuid.uuid4().hex[:12]}"
+    M.merged_state(M.sync_merge_plan(target, source, key, hash_col)).select(*target.columns).write.parquet(new)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_q(new)}")
+    spark.catalog.refreshTable(table)
+    delete_folder(spark, old)
+    return counts
 
 
 def load_ledger(bronze: DataFrame, label: str | None = None) -> DataFrame:

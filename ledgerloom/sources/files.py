@@ -46,17 +46,42 @@ def cast_declared(df: DataFrame, schema: T.StructType, strict: bool = True,
     return df.select(*typed, rescue.alias(rescued), *extra)
 
 
+def csv_columns(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """The declared columns as text, in the order of the landing folder's header.
+
+    Only a header is read. A missing or an unknown column is an error. The
+    readers then check every file against this order (``enforceSchema=false``),
+    so files of one folder with different headers fail instead of mixing values.
+    """
+    found = spark.read.option("header", True).csv(path)
+    header = [c for c in found.columns if c not in _partition_names(path, found)]
+    missing, unknown = set(schema.fieldNames()) - set(header), set(header) - set(schema.fieldNames())
+    if missing or unknown or len(header) != len(schema):
+        raise ValueError(f"{path}: missing columns {sorted(missing)}, unknown columns {sorted(unknown)}")
+    return T.StructType([T.StructField(c, T.StringType()) for c in header])
+
+
+def _partition_names(path: str, found: DataFrame) -> set[str]:
+    """Partition columns that the reader found in the folders below ``path`` (from the first file's path)."""
+    first = found.select("_metadata.file_path").limit(1).collect()
+    below = first[0][0].split(path.rstrip("/").split("/")[-1], 1)[-1] if first else ""
+    return {x.split("=", 1)[0] for x in below.split("/")[:-1] if "=" in x}
+
+
+#: Header names are checked in every file, and ragged rows fail the load.
+CSV_STRICT = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
+#: The same header check; values that do not fit are rescued, not failed.
+CSV_LENIENT = {"header": "true", "enforceSchema": "false"}
+
+
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, strict: bool = True,
-                   header: bool = True, rescued: str | None = "_rescued_data",
-                   metadata: bool = True) -> DataFrame:
-    """CSV with header, read as text and cast to ``schema``.
+                   rescued: str | None = "_rescued_data", metadata: bool = True) -> DataFrame:
+    """CSV with header, read as text by column name and cast to ``schema``.
 
-    ``enforceSchema=false`` makes Spark check the header against the declared
-    column names, so an unexpected column is an error (no silent schema merge).
     Partition directories below ``path`` (``batch_date=...``) are discovered.
     """
-    raw = (spark.read.schema(string_schema(schema)).option("header", header)
-           .option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
+    columns = csv_columns(spark, path, schema)
+    raw = spark.read.schema(columns).options(**(CSV_STRICT if strict else CSV_LENIENT)).csv(path)
     parts = [c for c in raw.columns if c not in schema.fieldNames()]
     if metadata:
         raw = with_source_metadata(raw)
@@ -110,7 +135,10 @@ def _from_text(raw: Column, dt: T.DataType) -> Column:
         return raw
     if isinstance(dt, (T.StructType, T.ArrayType, T.MapType)):
         return F.from_json(raw, dt)
-    return raw.try_cast(dt)
+    value = raw.try_cast(dt)
+    if isinstance(dt, T.DecimalType):     # digits that the scale would round away do not fit
+        return F.when(raw.try_cast("decimal(38,18)") == value, value)
+    return value
 
 
 def parse_with_rescue(text_df: DataFrame, schema: T.StructType, rescued: str = "_rescued_data",
@@ -118,8 +146,9 @@ def parse_with_rescue(text_df: DataFrame, schema: T.StructType, rescued: str = "
     """Parse JSON lines against ``schema`` without ever failing on the data.
 
     ``rescued`` holds, as a JSON object, every field that is not declared or
-    whose value does not fit its declared type; a line that is not a JSON
-    object at all is rescued whole. Works in batch and in streams (stateless).
+    whose value does not fit its declared type (a decimal with too many digits
+    after the point included); a line that is not a JSON object at all, or
+    repeats a key, is rescued whole. Works in batch and in streams (stateless).
 
     Each line is parsed once, into a string map; declared fields are cast from
     their text (a quoted number that fits is accepted). The lambdas only touch
@@ -139,28 +168,49 @@ def parse_with_rescue(text_df: DataFrame, schema: T.StructType, rescued: str = "
             (is_null.isNull() | (raw_v.isNotNull() & is_null)).alias("keep"), raw_v.alias("v")))
     leftover = F.transform_values(F.map_filter(flagged, lambda k, e: e["keep"]), lambda k, e: e["v"])
     staged = typed.select("_v", "_raw", *keep, *schema.fieldNames(), leftover.alias("_left"))
-    rescue = (F.when(F.col("_raw").isNull() & F.col("_v").isNotNull(), F.col("_v"))
+    keys = F.map_keys("_raw")            # as they stand in the line, repeats included
+    repeated = F.size(keys) > F.size(F.array_distinct(keys))
+    rescue = (F.when((F.col("_raw").isNull() & F.col("_v").isNotNull()) | repeated, F.col("_v"))
                .when(F.size(F.map_keys(F.col("_left"))) > 0, F.to_json(F.col("_left"))))
     return staged.select(*schema.fieldNames(), rescue.alias(rescued), *keep)
 
 
-def write_landing(df: DataFrame, path: str, fmt: str, files: int | None = None,
-                  partition_by: Sequence[str] = (), mode: str = "overwrite", **options) -> None:
-    """Write a landing file set with file-count control.
+def write_landing(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
+                  max_records_per_file: int | None = None, if_present: str = "write", **options) -> bool:
+    """Write a landing file set; returns whether anything was written.
 
-    Partitioned writes use the ``rebalance`` hint (few files per folder, while
-    AQE splits a large folder over several tasks); ``files`` fixes the count.
+    The frame's own partitioning decides the number of tasks. Partitioned
+    writes use the ``rebalance`` hint (few files per folder, while AQE splits a
+    large folder over several tasks); ``max_records_per_file`` bounds a file.
+    ``if_present="skip"`` leaves a finished delivery as it is (``_SUCCESS`` is
+    there); ``"write"`` regenerates it.
     """
+    if if_present not in ("write", "skip"):
+        raise ValueError(f"if_present={if_present!r}")
+    if if_present == "skip" and _exists(df.sparkSession, path.rstrip("/") + "/_SUCCESS"):
+        return False
     if partition_by:
-        df = df.hint("rebalance", *partition_by) if files is None else df.repartition(files, *partition_by)
-    elif files is not None:
-        df = df.repartition(files)
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
         options.setdefault("header", True)
+    if max_records_per_file:
+        options["maxRecordsPerFile"] = max_records_per_file
     w.options(**options).save(path)
+    return True
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the cluster's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def preview(spark: SparkSession, path: str, fmt: str, n: int = 10, **options) -> DataFrame:

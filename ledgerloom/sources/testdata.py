@@ -18,10 +18,11 @@ FIXED VALUES of the mapping (shared with the SQL oracle):
   O -> ACTIVE, F -> CLOSED, P -> PENDING; updated 2000-01-01 07:00; rows with
   ``o_orderkey % 100 = 7`` are delivered twice, the copy updated one day earlier
 * installment id = order key, dash, line number padded to 3 digits
-* payments: lineitems with ``l_returnflag <> 'R'``; payment id = order key,
+* payments: every lineitem; payment id = order key,
   dash, line number; installment id prefixed X when ``l_partkey % 50 = 0``;
   date = ship date + quantity days; amount NULL when quantity = 50, 60 % of the
-  price when quantity >= 40, else the price; type REFUND when tax >= 0.08;
+  price when quantity >= 40, else the price; type REFUND when tax >= 0.08 or the line
+  was returned (``l_returnflag = 'R'``);
   event time 10:00 on the payment date; event date = first day of its month
 """
 
@@ -193,7 +194,7 @@ INSTALLMENT_ORDER = ["snapshot_date", "ingested_at", "due_date", "src_partkey",
 
 
 def payments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") != "R")
+    li = table(spark, sf_dir, "lineitem")
     qty = F.col("l_quantity")
     price = F.col("l_extendedprice").cast(S.MONEY)
     pay_date = F.date_add(F.col("l_shipdate").cast("date"), qty.cast("int"))
@@ -209,7 +210,7 @@ def payments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(qty == NULL_AMOUNT_QTY, F.lit(None).cast(S.MONEY))
          .when(qty >= PARTIAL_QTY, (price * F.lit(PARTIAL_SHARE)).cast(S.MONEY))
          .otherwise(price).alias("amount_paid"),
-        F.when(F.col("l_tax") >= REFUND_TAX, F.lit("REFUND")).otherwise(F.lit("PAYMENT"))
+        F.when((F.col("l_tax") >= REFUND_TAX) | (F.col("l_returnflag") == "R"), F.lit("REFUND")).otherwise(F.lit("PAYMENT"))
          .alias("event_type"),
         (pay_date.cast("timestamp") + F.expr("INTERVAL 10 HOURS")).alias("event_timestamp"),
         F.lit("TPCH_LINEITEM").alias("source_system"),

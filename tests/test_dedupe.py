@@ -40,7 +40,7 @@ def test_rank_strategies_agree_on_skewed_keys(spark):
     kw = dict(keys=["k"], order=["ts"], tie_cols=["amt", "payload"])
     w = rows(rank_duplicates(df, strategy="window", **kw), "payload", "duplicate_rank")
     s = rows(rank_duplicates(df, strategy="sorted", **kw), "payload", "duplicate_rank")
-    a = rows(rank_duplicates(df, strategy="auto", hot_rows=100, hot_share=None, **kw), "payload", "duplicate_rank")
+    a = rows(rank_duplicates(df, strategy="auto", hot_rows=100, hot_share=0.5, **kw), "payload", "duplicate_rank")
     assert w == s == a
     ranked = rank_duplicates(df, strategy="sorted", **kw)
     per_key = ranked.groupBy("k").agg(F.count("*").alias("n"), F.max("duplicate_rank").alias("mx"),
@@ -50,7 +50,7 @@ def test_rank_strategies_agree_on_skewed_keys(spark):
 
 def test_null_keys_rank_together(spark):
     df = _skewed(spark)
-    r = rank_duplicates(df, ["k"], ["ts"], strategy="auto", hot_rows=100, hot_share=None).where(F.col("k").isNull())
+    r = rank_duplicates(df, ["k"], ["ts"], strategy="auto", hot_rows=100, hot_share=0.5).where(F.col("k").isNull())
     assert rows(r, "payload", "duplicate_rank") == [("n1", 1), ("n2", 2)]
 
 
@@ -62,6 +62,24 @@ def test_duplicate_keys(spark):
 def test_hot_key_threshold_is_relative_to_partition_size(spark):
     from ledgerloom.operators.dedupe import _hot_keys
     df = _skewed(spark)          # key 0 holds 300 of 902 rows
-    assert _hot_keys(df, ["k"], 100, None) is not None
+    assert _hot_keys(df, ["k"], 100, 0.5) is not None
     # 300 rows is not hot when an average partition already holds ~900/4 * 4 rows
     assert _hot_keys(df, ["k"], 100, 8.0) is None
+
+
+def test_paths_agree_beyond_the_tie_hash(spark):
+    """Rows equal in key, order and tie columns are ranked by their other columns, on both paths."""
+    df = spark.createDataFrame([(1, 5, "t", x) for x in (10, 30, 20)] + [(2, 1, "t", 7)], "k int, o int, t string, other int")
+    want = [(30, 1), (20, 2), (10, 3), (7, 1)]
+    for strategy in ("window", "sorted", "auto"):
+        out = rank_duplicates(df.repartition(3), ["k"], ["o"], ["t"], strategy=strategy)
+        assert rows(out, "other", "duplicate_rank") == sorted(want, key=repr)
+        assert dict(out.dtypes)["duplicate_rank"] == "bigint"
+
+
+def test_hot_keys_have_no_limit_and_come_from_one_aggregate(spark):
+    from ledgerloom.operators.dedupe import _hot_keys
+    df = spark.range(3000).selectExpr("id % 5 AS k")
+    assert {r[0] for r in _hot_keys(df, ["k"], hot_rows=100, hot_share=0.1).collect()} == set(range(5))
+    assert _hot_keys(df, ["k"], hot_rows=10_000) is None
+    assert _hot_keys(df.limit(0), ["k"], hot_rows=100) is None

@@ -100,6 +100,7 @@ def test_bucketed_merge_rewrites_only_changed_buckets(spark, tmp_root):
     third = second.where(TB.merge_bucket("k", 8) != bucket)
     c3 = TB.apply_sync_merge(spark, name, third, "k", "h", "_bucket", 8)
     assert c3["DELETE"] > 0 and spark.table(name).where(F.col("_bucket") == bucket).count() == 0
+    assert not glob.glob(f"{loc}/_bucket={bucket}/*.parquet")      # a reader of the folder sees no deleted rows
 
 
 def test_namespaces_comments_properties_and_describe(spark, tmp_root):
@@ -115,3 +116,45 @@ def test_namespaces_comments_properties_and_describe(spark, tmp_root):
     d = {r["col_name"]: r["data_type"] for r in TB.describe_table(spark, name).collect()}
     assert d["Comment"] == "payment events" and d["id"] == "string"
     assert spark.sql("SELECT current_schema()").first()[0]
+
+
+def test_a_merge_that_breaks_off_leaves_the_old_rows(spark, tmp_root, monkeypatch):
+    name = "broken_" + posixpath.basename(tmp_root).replace("-", "_")
+    first = spark.createDataFrame([(1, "a", "h1"), (2, "b", "h2")], SCHEMA)
+    TB.ensure_table(spark, name, first.schema, "t", location=posixpath.join(tmp_root, "broken"))
+    TB.apply_sync_merge(spark, name, first, "k", "h")
+    second = spark.createDataFrame([(1, "new", "hx"), (3, "c", "h3")], SCHEMA)
+    with monkeypatch.context() as m:
+        m.setattr(TB.M, "merged_state", lambda plan: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            TB.apply_sync_merge(spark, name, second, "k", "h")
+    assert sorted(r["k"] for r in spark.table(name).collect()) == [1, 2]
+    assert TB.apply_sync_merge(spark, name, second, "k", "h") == {"INSERT": 1, "UPDATE": 1, "DELETE": 1, "KEEP": 0}
+    assert sorted((r["k"], r["v"]) for r in spark.table(name).collect()) == [(1, "new"), (3, "c")]
+
+
+def test_replace_table_keeps_comment_properties_and_types(spark, tmp_root):
+    name = "rebuilt_" + posixpath.basename(tmp_root).replace("-", "_")
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    TB.replace_table(spark.createDataFrame([(1,)], "k int"), name, "ids", {"pii": "false"}, schema)
+    assert dict(spark.table(name).dtypes) == {"k": "bigint"}
+    TB.replace_table(spark.createDataFrame([(2,)], "k int"), name, schema=schema)
+    assert TB.table_properties(spark, name)["pii"] == "false" and spark.catalog.getTable(name).description == "ids"
+    assert [r["k"] for r in spark.table(name).collect()] == [2]
+    with pytest.raises(ValueError):
+        TB.ensure_table(spark, name, T.StructType([T.StructField("k", T.StringType())]))
+
+
+def test_an_emptied_snapshot_leaves_no_files(spark, tmp_root):
+    import datetime as dt
+    import glob
+    name, loc = "emptied_" + posixpath.basename(tmp_root).replace("-", "_"), posixpath.join(tmp_root, "emptied")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("d", T.DateType())])
+    TB.ensure_table(spark, name, schema, partition_by=["d"], location=loc)
+    day = dt.date(2000, 1, 1)
+    rows = spark.createDataFrame([(1, day)], schema)
+    TB.replace_snapshot(rows, name, "d", day)
+    TB.replace_snapshot(rows.limit(0), name, "d", day)
+    assert spark.table(name).count() == 0 and not glob.glob(loc + "/d=*/*.parquet")
+    with pytest.raises(ValueError):
+        TB.replace_snapshot(rows, name, "d", dt.date(2000, 1, 2))

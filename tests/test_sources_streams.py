@@ -116,3 +116,58 @@ def test_progress_report(spark, tmp_root):
                                    posixpath.join(tmp_root, "pr_sink"), posixpath.join(tmp_root, "pr_ck"))
     assert again["rows"] == 0 and again["last_progress"]["numInputRows"] == 0
     assert ST.active_streams(spark) == []
+
+
+CSV = T.StructType([T.StructField("id", T.LongType()), T.StructField("customer", T.LongType()),
+                    T.StructField("amt", T.DecimalType(18, 2))])
+
+
+def test_streamed_csv_loads_by_name(spark, tmp_root):
+    landing, sink, ck = (posixpath.join(tmp_root, x) for x in ("csv", "csv_sink", "csv_ck"))
+    write(landing, "a.csv", "customer,id,amt\n77,1,5.00\n78,2,6.50\n")
+    assert ST.load_new_files(spark, landing, "csv", CSV, sink, ck) == 2
+    assert sorted((r["id"], r["customer"]) for r in spark.read.parquet(sink).collect()) == [(1, 77), (2, 78)]
+
+
+@pytest.mark.parametrize("text", ["id,amt\n1,5\n", "id,customer,amt,extra\n1,2,3,4\n", "id,customer,amt\n1,2\n",
+                                  "id,customer,amt\n1,2,3,4\n", "id,customer,amt\n1,x,3\n"])
+def test_streamed_csv_fails_on_bad_files_with_nothing_written(spark, tmp_root, text):
+    landing, sink, ck = (posixpath.join(tmp_root, x) for x in ("bad", "bad_sink", "bad_ck"))
+    write(landing, "a.csv", text)
+    with pytest.raises(Exception):
+        ST.load_new_files(spark, landing, "csv", CSV, sink, ck)
+    assert ST._rows(spark, sink, CSV) == 0
+
+
+def test_streamed_csv_rejects_mixed_headers(spark, tmp_root):
+    landing, sink, ck = (posixpath.join(tmp_root, x) for x in ("mix", "mix_sink", "mix_ck"))
+    write(landing, "a.csv", "id,customer,amt\n1,2,3\n")
+    write(landing, "b.csv", "customer,id,amt\n7,8,9\n")
+    with pytest.raises(Exception):
+        ST.load_new_files(spark, landing, "csv", CSV, sink, ck)
+
+
+def test_row_counts_are_exact_over_many_batches(spark, tmp_root):
+    landing, sink, ck = (posixpath.join(tmp_root, x) for x in ("many", "many_sink", "many_ck"))
+    for i in range(110):
+        write(landing, f"{i}.json", f'{{"id":{i}}}\n\n')      # a blank line is no row
+    assert ST.load_new_files(spark, landing, "json", SCHEMA, sink, ck, rescue=True, max_files_per_trigger=1) == 110
+    assert ST.load_new_files(spark, landing, "json", SCHEMA, sink, ck, rescue=True) == 0
+    ST.reset_stream(spark, sink, ck)
+    assert ST.load_new_files(spark, landing, "json", SCHEMA, sink, ck, rescue=True) == 110
+
+
+def test_rescue_keeps_digits_and_repeated_keys(spark):
+    lines = spark.createDataFrame([('{"id":1,"amt":"12.345"}',), ('{"id":2,"amt":1,"amt":2}',), ('{"id":3,"amt":"12.340"}',)], "value string")
+    out = {r["id"]: r for r in FS.parse_with_rescue(lines, SCHEMA).collect()}
+    assert out[1]["amt"] is None and out[1]["_rescued_data"] == '{"amt":"12.345"}'
+    assert out[2]["_rescued_data"] == '{"id":2,"amt":1,"amt":2}'
+    assert out[3]["_rescued_data"] is None
+
+
+def test_landing_is_written_once_unless_forced(spark, tmp_root):
+    path = posixpath.join(tmp_root, "once")
+    assert FS.write_landing(spark.range(3), path, "parquet", if_present="skip")
+    assert not FS.write_landing(spark.range(5), path, "parquet", if_present="skip")
+    assert spark.read.parquet(path).count() == 3
+    assert FS.write_landing(spark.range(5), path, "parquet") and spark.read.parquet(path).count() == 5
