@@ -49,18 +49,18 @@ def payment_totals(payments: DataFrame, as_of) -> DataFrame:
                  F.max("payment_date").alias("last_payment_date")))
 
 
-def reconcile_installments(installments: DataFrame, contracts: DataFrame, payments: DataFrame,
+def reconcile_installments(installments: DataFrame, contracts: DataFrame | None, payments: DataFrame,
                            as_of, paid_tolerance=S.PAID_TOLERANCE,
                            processed_at: bool = False) -> DataFrame:
     """Per installment: paid, outstanding, overpaid, days past due and status.
 
     ``installments``: current installment rows (one per id); ``contracts``:
     trusted contracts (one row per contract_id); ``payments``: trusted payments. Every output row is
-    stamped with ``as_of`` as its ``snapshot_date``.
+    stamped with ``as_of`` as its ``snapshot_date``. With ``contracts=None`` installments of any
+    contract are kept, for a caller that joins the contracts itself.
     """
     as_of_c = _date(as_of)
     totals = payment_totals(payments, as_of_c)
-    trusted = contracts.select("contract_id")
     # Totals first: both sides are already hash-partitioned by installment_id
     # (latest-row selection, payment aggregate), so this join adds no shuffle.
     # The trusted contracts (unique per contract_id: only rank-1 rows are
@@ -69,8 +69,9 @@ def reconcile_installments(installments: DataFrame, contracts: DataFrame, paymen
     # by contract_id for the contract position and the fact join.
     base = (installments
             .where((F.col("scheduled_amount") > 0) & F.col("due_date").isNotNull())
-            .join(totals, "installment_id", "left")
-            .join(trusted, "contract_id", "inner"))
+            .join(totals, "installment_id", "left"))
+    if contracts is not None:
+        base = base.join(contracts.select("contract_id"), "contract_id", "inner")
     paid = F.coalesce(F.col("total_paid"), F.lit(0))
     balance = F.col("scheduled_amount") - paid
     past_due = F.col("due_date") < as_of_c

@@ -124,7 +124,12 @@ class CreditBook:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return P.credit_portfolio_fact(self.contracts, self.position)
+        """The contracts are joined once, to the position of every contract: a
+        position without a trusted contract drops out there."""
+        if self.stage:
+            return P.credit_portfolio_fact(self.contracts, self.position)
+        every = R.reconcile_installments(self.installments_latest, None, self.payments, self.as_of)
+        return P.credit_portfolio_fact(self.contracts, P.contract_position(every))
 
     @cached_property
     def kpis(self) -> DataFrame:
