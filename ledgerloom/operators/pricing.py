@@ -82,17 +82,23 @@ def inject_defects(df: DataFrame, defects: Sequence[Defect]) -> DataFrame:
     return out
 
 
+# Fixed values of the known-defect scenario: the contracts copied, and the ids and amount the copies get.
+DEFECT_SOURCES = (10, 11, 12)
+DEFECT_IDS = (9_000_001, 9_000_002)
+DEFECT_CUSTOMER = 9_999_999
+DEFECT_PRINCIPAL = -500
+
+
 def standard_defects(key: str = "contract_id") -> list[Defect]:
     """The known-defect scenario: a duplicate, a negative principal, an orphan customer."""
-    c = F.col(key)
+    duplicate, negative, orphan = (F.col(key) == i for i in DEFECT_SOURCES)
     return [
-        Defect("duplicate", c == 10),
-        Defect("negative_principal", c == 11, {key: 9_000_001, "principal_amount": -500}),
-        Defect("orphan_customer", c == 12, {key: 9_000_002, "customer_id": 9_999_999}),
+        Defect("duplicate", duplicate),
+        Defect("negative_principal", negative, {key: DEFECT_IDS[0], "principal_amount": DEFECT_PRINCIPAL}),
+        Defect("orphan_customer", orphan, {key: DEFECT_IDS[1], "customer_id": DEFECT_CUSTOMER}),
     ]
 
 
-
 def payment_defects(first_payment_id: str, key: str = "payment_id") -> list[Defect]:
     """The payment side of the known-defect scenario: the first event delivered
     twice, and a copy of it under a new id with no amount."""
