@@ -14,6 +14,9 @@
    sidebars, notices, adverts, forms or comments, are not content. The main
    slots are those in the template's article or main elements; a host without
    them has as main slots the others that hold text and not mostly links.
+   Inside articles, a text that every page with an article holds in the same
+   place is the template's too, unless such texts are more than ``SAME_SHARE``
+   of all article text of the host: then its pages are equal, not templated.
 
 A page is then read again with its host's template, and the blocks of its main
 slots are its text. On a page outside the template (a host with few pages, say),
@@ -38,6 +41,7 @@ from ledgerloom.llm.common import materialize, ship
 
 MIN_PAGES = 3           # pages a class must occur on
 MIN_SHARE = 0.05        # and their least share of the host's pages
+SAME_SHARE = 0.5        # of a host's article text that may be template text
 LINK_SHARE = 0.5        # of a slot's text that may be links, where no element marks the article
 BROADCAST_ROWS = 50_000
 
@@ -181,28 +185,31 @@ def _text_token(path: int, text: str) -> int:
 
 
 def _tokens(batches):
-    """Pages to tokens: how often each occurs on a page, and the text directly in it."""
+    """Pages to tokens: how often each occurs on a page, and the text directly in it; the page itself holds its article text."""
     import pyarrow as pa
     import xxhash
 
-    names = ["host", "page", "token", "parent", "n", "kind", "main", "aside", "chars", "links"]
-    kinds = [pa.string(), *[pa.int64()] * 4, pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64()]
+    names = ["host", "page", "token", "parent", "n", "kind", "main", "aside", "chars", "links", "article"]
+    kinds = [pa.string(), *[pa.int64()] * 4, pa.int32(), pa.bool_(), pa.bool_(), *[pa.int64()] * 3]
     for b in batches:
         for k in range(0, b.num_rows, 256):
             part, rows = b.slice(k, 256), []
             for page_id, url, html in zip(*part.columns):
                 html, host = html.as_py() or "", host_of(url.as_py())
                 page = xxhash.xxh64_intdigest(f"{page_id.as_py()} {html}".encode("utf-8", "surrogatepass")) >> 1
-                found: dict = {0: [0, 1, 0, False, False, 0, 0]}     # the page itself
+                found: dict = {0: [0, 1, 0, False, False, 0, 0, 0]}     # the page itself
                 for kind, path, parent, main, aside, text, link in blocks(html):
                     if kind == 0:
-                        found.setdefault(path, [parent, 0, 0, main, aside, 0, 0])[1] += 1
+                        found.setdefault(path, [parent, 0, 0, main, aside, 0, 0, 0])[1] += 1
                     else:
-                        slot = found.setdefault(path, [parent, 0, 0, main, aside, 0, 0])
+                        slot = found.setdefault(path, [parent, 0, 0, main, aside, 0, 0, 0])
                         slot[5] += len(text)
                         slot[6] += link
-                        if not main and not aside:
-                            found.setdefault(_text_token(path, text), [path, 0, 1, main, aside, 0, 0])[1] += 1
+                        if not aside:
+                            said = found.setdefault(_text_token(path, text), [path, 0, 1, main, aside, 0, 0, 0])
+                            said[1] += 1
+                            said[7] += len(text) if main else 0
+                            found[0][7] += len(text) if main else 0
                 rows += [(host, page, t, *x) for t, x in found.items()]
             cols = list(zip(*rows)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
@@ -213,13 +220,15 @@ def templates(pages: DataFrame) -> DataFrame:
     ship(pages.sparkSession)
     tokens = pages.select("page_id", "url", "html").mapInArrow(
         _tokens, "host string, page long, token long, parent long, n long, kind int, main boolean, aside boolean, "
-        "chars long, links long")
+        "chars long, links long, article long")
     each = tokens.groupBy("host", "token").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count(F.lit(1)).alias("pages"), F.min("parent").alias("parent"),
         F.min("kind").alias("kind"), F.max("main").alias("main"), F.max("aside").alias("aside"),
-        F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+        F.sum("chars").alias("chars"), F.sum("links").alias("links"),
+        F.sum("article").alias("article"), F.count_if(F.col("article") > 0).alias("articles"))
     each = materialize(each.where(F.col("pages") >= MIN_PAGES), "html-tokens")
-    whole = each.where("token = 0").select("host", F.col("pages").alias("of"), F.col("vector").alias("every"))
+    whole = each.where("token = 0").select("host", F.col("pages").alias("of"), F.col("vector").alias("every"),
+                                          F.col("article").alias("all_article"), F.col("articles").alias("of_articles"))
     enough = each.join(whole, "host").where(F.col("pages") >= MIN_SHARE * F.col("of"))
     classes = enough.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     valid = materialize(enough.join(classes, ["host", "vector"]).drop("size"), "html-valid")
@@ -231,25 +240,32 @@ def templates(pages: DataFrame) -> DataFrame:
         F.collect_set(F.expr("CASE WHEN kind = 0 AND main AND NOT aside THEN token END")).alias("articles"),
         F.collect_set(F.expr(f"CASE WHEN kind = 0 AND NOT aside AND chars > 0 AND links <= {LINK_SHARE} * chars THEN token END"
                              )).alias("others"),
-        F.collect_set(F.expr("CASE WHEN kind = 1 AND vector = every THEN token END")).alias("repeated"))
-    return materialize(slots.select("host", "has_main", F.when(F.col("has_main"), F.col("articles")).otherwise(
-        F.col("others")).alias("main"), "repeated"), "html-templates")
+        F.collect_set(F.expr("CASE WHEN kind = 1 AND NOT main AND vector = every THEN token END")).alias("repeated"))
+    # inside articles: what all pages with an article hold, on a host whose articles differ otherwise
+    same = each.join(whole, "host").where("kind = 1 AND main AND articles = of_articles").groupBy("host").agg(
+        F.collect_set("token").alias("same"), F.sum("article").alias("article"), F.max("all_article").alias("all_article"))
+    same = same.where(F.col("article") <= SAME_SHARE * F.col("all_article")).select("host", "same")
+    none = F.array().cast("array<bigint>")
+    found = slots.join(same, "host", "full_outer")
+    return materialize(found.select("host", F.coalesce("has_main", F.lit(False)).alias("has_main"), F.coalesce(
+        F.when(F.col("has_main"), F.col("articles")).otherwise(F.col("others")), none).alias("main"), F.concat(
+        F.coalesce("repeated", none), F.coalesce("same", none)).alias("repeated")), "html-templates")
 
 
 def main_text(html: str | None, template=None) -> str:
     """The blocks of a page's main slots, joined by an empty line."""
     found = [b for b in blocks(html or "") if b[0] == 1 and not b[4]]
-    marked = [b for b in found if b[3]]
+    marked = any(b[3] for b in found)
     if template is not None:
         has_main, slots, repeated = template
-        kept = [b for b in found if b[1] in slots and (b[3] or _text_token(b[1], b[5]) not in repeated)]
-        if kept and (has_main or not marked):
-            known = {id(b) for b in kept}
-            # article blocks in containers that the template does not know still belong to the article
-            return "\n\n".join(b[5] for b in found if id(b) in known or (has_main and b[3]))
-        found = [b for b in found if b[3] or _text_token(b[1], b[5]) not in repeated]
+        if repeated:
+            found = [b for b in found if _text_token(b[1], b[5]) not in repeated]
+        kept = [b for b in found if b[1] in slots]
+        if kept and not has_main and not marked:
+            return "\n\n".join(b[5] for b in kept)
     if marked:
-        return "\n\n".join(b[5] for b in marked)
+        # article blocks in containers that the template does not know still belong to the article
+        return "\n\n".join(b[5] for b in found if b[3])
     return "\n\n".join(b[5] for b in found if b[6] <= LINK_SHARE * len(b[5]))
 
 

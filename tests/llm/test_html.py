@@ -58,6 +58,20 @@ def test_repeated_article_text_stays(spark):
     assert set(got(pages(spark, rows)).values()) == {"Licensed text.\n\nSame."}
 
 
+def test_template_text_inside_articles(spark):
+    """A notice without a telling class name, in every article of a host; another host's pages differ by a counter alone."""
+    r = random.Random(3)
+    rows, want = [], {}
+    for i in range(20):
+        body = [words(r, r.randint(8, 20)) for _ in range(2)]
+        rows.append((i, "http://noted.example.com/", f"<article><div class=q>Tell your friends</div><p>{body[0]}</p><p>Read on below.</p>"
+                     f"<p>{body[1]}</p></article>" if i else f"<p>{body[0]}</p>"))
+        want[i] = "\n\n".join(body) if i else body[0]
+        rows.append((100 + i, "http://equal.example.com/", f"<article><p>One text that all pages hold.</p><p>{i} views</p></article>"))
+        want[100 + i] = f"One text that all pages hold.\n\n{i} views"
+    assert got(pages(spark, rows)) == want
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None), (2, "", ""), (3, "http://a/", "   "), (4, "http://a/", "plain < text & more &lt;b&gt; &amp"),
             (5, "http://a/", "<article>a<p>b<div>c</article>"), (6, "http://a/", "<p>" + "long " * 50_000), (7, "x", "<" * 20_000),
