@@ -13,7 +13,10 @@
    on every page, and slots whose elements are menus, headers, footers,
    sidebars, notices, adverts, forms or comments, are not content. The main
    slots are those in the template's article or main elements; a host without
-   them has as main slots the others that hold text and not mostly links.
+   them has as main slots the others that hold text and not mostly links. A
+   container that the template does not know (an optional list, a rare layout)
+   belongs to the slot around it; outside all slots with text of their own it
+   is content unless it is mostly links on its page.
    Inside articles, a text that every page with an article holds in the same
    place is the template's too, unless such texts are more than ``SAME_SHARE``
    of all article text of the host: then its pages are equal, not templated.
@@ -216,7 +219,8 @@ def _tokens(batches):
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``(host, has_main, main, repeated)``: each host's main slots, and the texts its template repeats."""
+    """``(host, slots, linked, bare, repeated)``: each host's slots of text, its slots that are mostly links, its containers
+    without text of their own, and the texts its template repeats."""
     ship(pages.sparkSession)
     tokens = pages.select("page_id", "url", "html").mapInArrow(
         _tokens, "host string, page long, token long, parent long, n long, kind int, main boolean, aside boolean, "
@@ -236,10 +240,10 @@ def templates(pages: DataFrame) -> DataFrame:
     up = valid.where("kind = 0").select("host", F.col("token").alias("parent"))
     nested = valid.where("token <> 0").join(up, ["host", "parent"], "left_semi")
     slots = nested.groupBy("host").agg(
-        F.max(F.expr("kind = 0 AND main AND NOT aside")).alias("has_main"),
-        F.collect_set(F.expr("CASE WHEN kind = 0 AND main AND NOT aside THEN token END")).alias("articles"),
         F.collect_set(F.expr(f"CASE WHEN kind = 0 AND NOT aside AND chars > 0 AND links <= {LINK_SHARE} * chars THEN token END"
-                             )).alias("others"),
+                             )).alias("slots"),
+        F.collect_set(F.expr(f"CASE WHEN kind = 0 AND NOT aside AND links > {LINK_SHARE} * chars THEN token END")).alias("linked"),
+        F.collect_set(F.expr("CASE WHEN kind = 0 AND NOT aside AND chars = 0 THEN token END")).alias("bare"),
         F.collect_set(F.expr("CASE WHEN kind = 1 AND NOT main AND vector = every THEN token END")).alias("repeated"))
     # inside articles: what all pages with an article hold, on a host whose articles differ otherwise
     same = each.join(whole, "host").where("kind = 1 AND main AND articles = of_articles").groupBy("host").agg(
@@ -247,26 +251,41 @@ def templates(pages: DataFrame) -> DataFrame:
     same = same.where(F.col("article") <= SAME_SHARE * F.col("all_article")).select("host", "same")
     none = F.array().cast("array<bigint>")
     found = slots.join(same, "host", "full_outer")
-    return materialize(found.select("host", F.coalesce("has_main", F.lit(False)).alias("has_main"), F.coalesce(
-        F.when(F.col("has_main"), F.col("articles")).otherwise(F.col("others")), none).alias("main"), F.concat(
+    return materialize(found.select("host", *[F.coalesce(c, none).alias(c) for c in ("slots", "linked", "bare")], F.concat(
         F.coalesce("repeated", none), F.coalesce("same", none)).alias("repeated")), "html-templates")
 
 
 def main_text(html: str | None, template=None) -> str:
     """The blocks of a page's main slots, joined by an empty line."""
-    found = [b for b in blocks(html or "") if b[0] == 1 and not b[4]]
+    read = list(blocks(html or ""))
+    found = [b for b in read if b[0] == 1 and not b[4]]
     marked = any(b[3] for b in found)
     if template is not None:
-        has_main, slots, repeated = template
+        slots, linked, bare, repeated = template
         if repeated:
             found = [b for b in found if _text_token(b[1], b[5]) not in repeated]
-        kept = [b for b in found if b[1] in slots]
-        if kept and not has_main and not marked:
-            return "\n\n".join(b[5] for b in kept)
     if marked:
         # article blocks in containers that the template does not know still belong to the article
         return "\n\n".join(b[5] for b in found if b[3])
-    return "\n\n".join(b[5] for b in found if b[6] <= LINK_SHARE * len(b[5]))
+    if template is None:
+        return "\n\n".join(b[5] for b in found if b[6] <= LINK_SHARE * len(b[5]))
+    parents = {b[1]: b[2] for b in read if b[0] == 0}
+    within: dict = {}        # by container: the slot it belongs to, or its outermost container outside all slots
+    shares: dict = {}        # of the latter, characters and those in links
+
+    def place(path):
+        at, top = path, path
+        while at and at not in slots and at not in linked and at not in bare:
+            at, top = parents.get(at, 0), at
+        return at if at in slots or at in linked else top
+
+    for b in found:
+        at = within[b[1]] if b[1] in within else within.setdefault(b[1], place(b[1]))
+        share = shares.setdefault(at, [0, 0])
+        share[0] += len(b[5])
+        share[1] += b[6]
+    return "\n\n".join(b[5] for b in found if (at := within[b[1]]) in slots or (
+        at not in linked and shares[at][1] <= LINK_SHARE * shares[at][0]))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -289,13 +308,12 @@ def extract(pages: DataFrame) -> DataFrame:
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part, texts = b.slice(k, 256), []
-                for html, host, has_main, slots, repeated in zip(*part.columns[2:]):
+                for html, host, *template in zip(*part.columns[2:]):
                     host = host.as_py()
                     if host not in known:
                         if len(known) > 1000:
                             known.clear()
-                        known[host] = None if has_main.as_py() is None else (
-                            has_main.as_py(), set(slots.as_py()), set(repeated.as_py()))
+                        known[host] = None if template[0].as_py() is None else [set(x.as_py()) for x in template]
                     texts.append(main_text(html.as_py(), known[host]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
@@ -303,5 +321,5 @@ def extract(pages: DataFrame) -> DataFrame:
 
     placed = pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(
         hosts, "page_id long, url string, html string, host string")
-    return placed.join(found, "host", "left").select("page_id", "url", "html", "host", "has_main", "main", "repeated").mapInArrow(
+    return placed.join(found, "host", "left").select("page_id", "url", "html", "host", "slots", "linked", "bare", "repeated").mapInArrow(
         run, "page_id long, url string, text string, n_chars long")

@@ -72,6 +72,27 @@ def test_template_text_inside_articles(spark):
     assert got(pages(spark, rows)) == want
 
 
+def test_optional_containers_without_marks(spark):
+    """Lists, tables and nested elements that only some pages hold, and a layout on under 5 % of the host's pages."""
+    r = random.Random(4)
+    rows, want = [], {}
+    for i in range(60):
+        parts = [words(r, 20) for _ in range(4)]
+        lists = [(f"<ul><li>{parts[1]}</li><li><a href=/>{parts[2]}</a></li></ul>", parts[1:3]), (f"<table><tr><td>{parts[1]}</td></tr></table>", parts[1:2]),
+                 (f"<div class=v><div class=w>{parts[3]}</div></div>", parts[3:])]
+        some = [x for x in lists if r.random() < 0.4]
+        links = f"<div class=y><a href=/a>{words(r, 2)}</a></div>"
+        if i < 2:
+            rows.append((i, "http://plain.example.com/", f"<body><div class=top>Welcome</div><div class=rare><p>{parts[0]}</p>{lists[0][0]}</div>"
+                         f"<div class=links><a href=/a>{words(r, 2)}</a></div>{links}<div class=z>All rights</div>"))
+            some = lists[:1]
+        else:
+            rows.append((i, "http://plain.example.com/", f"<body><div class=top>Welcome</div><div class=content><p>{parts[0]}</p>"
+                         f"{''.join(x for x, _ in some)}</div>{links}<div class=z>All rights</div>"))
+        want[i] = "\n\n".join([parts[0], *(t for _, ts in some for t in ts)])
+    assert got(pages(spark, rows)) == want
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None), (2, "", ""), (3, "http://a/", "   "), (4, "http://a/", "plain < text & more &lt;b&gt; &amp"),
             (5, "http://a/", "<article>a<p>b<div>c</article>"), (6, "http://a/", "<p>" + "long " * 50_000), (7, "x", "<" * 20_000),
