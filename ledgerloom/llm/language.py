@@ -2,9 +2,9 @@
 
 The model is a matrix of log probabilities, ``BUCKETS`` rows by one column a
 language, fitted on a bounded sample of the labelled rows (``SAMPLE`` documents
-a language, at most ``LANGUAGES`` languages, the most frequent ones) and
-broadcast: 2^16 x 4 bytes a language. Scoring sums the rows of a text's n-grams
-in numpy, slice by slice, over the whole text.
+a language; every label is learned) and broadcast: 2^16 x 4 bytes a language.
+It is held, fitted and summed in blocks of ``COLUMNS`` languages. Scoring sums
+the rows of a text's n-grams in numpy, slice by slice, over the whole text.
 
 N-grams are of 1 to 3 characters over the lower-cased text in which every run
 of characters that are not letters counts as one space.
@@ -20,12 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import ship
+from ledgerloom.llm.common import materialize, ship
 
 BUCKETS = 1 << 16
 ORDERS = 3
 SAMPLE = 3000
-LANGUAGES = 64
+COLUMNS = 64           # languages in one block of the matrix
 FOLDS = 5
 SMOOTH = 0.5
 SLICE = 1 << 18        # characters scored at once
@@ -94,45 +94,62 @@ def _counts(labels: list[str]):
         import numpy as np
         import pyarrow as pa
 
-        total = np.zeros((len(labels), BUCKETS), np.int64)
+        def said():
+            cols = [(np.full(len(y), i, np.int32), y.astype(np.int32), n[y]) for i, n in total.items() for y in [np.flatnonzero(n)]]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([c[k] for c in cols])) for k in range(3)],
+                                              ["label", "bucket", "n"])
+
+        total: dict = {}         # counts of the labels met since the last output
         at = {x: i for i, x in enumerate(labels)}
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                lang = np.array([at[x] for x in part.column(0).to_pylist()])
-                for row, bucket in grams(part.column(1).to_pylist()):
-                    total += np.bincount(lang[row] * BUCKETS + bucket, minlength=total.size).reshape(total.shape)
-        x, y = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)), pa.array(y.astype(np.int32)),
-                                          pa.array(total[x, y])], ["label", "bucket", "n"])
+                met, lang = np.unique([at[x] for x in part.column(0).to_pylist()], return_inverse=True)
+                for lo in range(0, len(met), COLUMNS):
+                    here = np.flatnonzero((lang >= lo) & (lang < lo + COLUMNS))
+                    texts, own = part.column(1).take(pa.array(here)).to_pylist(), lang[here] - lo
+                    new = np.zeros((min(COLUMNS, len(met) - lo), BUCKETS), np.int64)
+                    for row, bucket in grams(texts):
+                        new += np.bincount(own[row] * BUCKETS + bucket, minlength=new.size).reshape(new.shape)
+                    for i, n in zip(met[lo:lo + COLUMNS].tolist(), new):
+                        total[i] = total[i] + n if i in total else n.copy()
+                    if len(total) > COLUMNS:
+                        yield said()
+                        total.clear()
+        if total:
+            yield said()
 
     return run
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES):
-    """``(labels, matrix, prior)`` learned from the rows whose fold is not 0."""
+def fit(docs: DataFrame, sample: int = SAMPLE):
+    """``(labels, matrix, prior)`` learned from the rows whose fold is not 0; the matrix is a list of blocks of columns."""
     import numpy as np
 
     ship(docs.sparkSession)
     eligible = docs.select("doc_id", "text", "lang").where(
         "lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(_fold(docs) != 0)
-    found = (eligible.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-             .limit(languages).collect())
-    found = sorted((r.lang, r.n) for r in found)
+    found = sorted((r.lang, r.n) for r in eligible.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
     if not found:
-        return [], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros(0)
+        return [], [], np.zeros(0)
     labels = [x for x, _ in found]
     # a hash of the id decides, so that about ``sample`` rows of a language are read
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.create_map(*[x for lang, n in found for x in (F.lit(lang), F.lit(min(1.0, sample / n)))])
-    drawn = eligible.where(F.col("lang").isin(labels)).where(draw < share[F.col("lang")])
+    shares = docs.sparkSession.createDataFrame([(x, min(1.0, sample / n)) for x, n in found], "lang string, share double")
+    drawn = eligible.join(F.broadcast(shares), "lang").where(draw < F.col("share"))
     rows = (drawn.select("lang", "text").mapInArrow(_counts(labels), "label int, bucket int, n long")
-            .groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas())      # at most languages x buckets
-    counts = np.zeros((BUCKETS, len(labels)))
-    counts[rows["bucket"].to_numpy(), rows["label"].to_numpy()] = rows["n"].to_numpy()
-    logs = np.log(counts + SMOOTH) - np.log(counts.sum(0) + SMOOTH * BUCKETS)
+            .groupBy("label", "bucket").agg(F.sum("n").alias("n")))      # at most languages x buckets
+    if len(labels) > COLUMNS:
+        rows = materialize(rows, "language-counts")
+    blocks = []
+    for lo in range(0, len(labels), COLUMNS):
+        some = rows.where(F.col("label").between(lo, lo + COLUMNS - 1)).toPandas()
+        counts = np.zeros((BUCKETS, min(COLUMNS, len(labels) - lo)))
+        counts[some["bucket"].to_numpy(), some["label"].to_numpy() - lo] = some["n"].to_numpy()
+        logs = np.log(counts + SMOOTH) - np.log(counts.sum(0) + SMOOTH * BUCKETS)
+        blocks.append(logs.astype(np.float32))
     n = np.array([x for _, x in found], float)
-    return labels, logs.astype(np.float32), np.log(n / n.sum())
+    return labels, blocks, np.log(n / n.sum())
 
 
 def predict(texts: list[str | None], labels, matrix, prior):
@@ -145,7 +162,9 @@ def predict(texts: list[str | None], labels, matrix, prior):
     for row, bucket in grams(known):
         if len(row):
             starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            total[row[starts]] += np.add.reduceat(matrix[bucket], starts, axis=0, dtype=np.float64)
+            for k, block in enumerate(matrix):
+                at = slice(k * COLUMNS, k * COLUMNS + block.shape[1])
+                total[row[starts], at] += np.add.reduceat(block[bucket], starts, axis=0, dtype=np.float64)
             seen[row[starts]] = True
     out = []
     for i, ok in enumerate(seen):

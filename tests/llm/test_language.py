@@ -35,6 +35,15 @@ def test_labels_of_held_out_rows_and_other_columns_do_not_matter(documents):
     assert a == b
 
 
+def test_every_label_is_learned(documents):
+    """150 labels in three blocks, each with letters of its own and the later ones rarer."""
+    r = random.Random(5)
+    rows = [(200 * k + i, "".join(chr(0x4E00 + 9 * k + r.randrange(9)) for _ in range(40)), f"l{k:03}")
+            for k in range(150) for i in range(30 if k < 64 else 12)]
+    out = {x.doc_id: x.lang_pred for x in language.identify(documents(rows)).collect()}
+    assert out == {i: lang for i, _, lang in rows}
+
+
 def naive(texts):
     """All n-grams of each text, one by one."""
     out = []
