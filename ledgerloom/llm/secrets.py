@@ -4,7 +4,9 @@ Besides the plain patterns, which are always reported, runs that look like
 base64 or hex are decoded and reported only if their bytes have the structure
 of a secret: a private key whose nested lengths add up exactly (PKCS#1, PKCS#8,
 encrypted PKCS#8, SEC 1 or OpenSSH, bare or in PEM armour), or a signed token whose
-header and payload are JSON objects and whose header names an algorithm.
+header and payload are JSON objects and whose header names an algorithm. Base64
+may be wrapped in lines of one width, follow other characters of its alphabet,
+or hold PEM armour.
 
 Every text is scanned whole, in the task that read it; nothing is shuffled.
 
@@ -33,10 +35,17 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 12, 18, 16
 KINDS = ["assign", "access", "hex", "key", "token"]      # the order among spans that start together
 WORDS = ("passw", "secret", "token", "api")              # one of them is in every assignment
 ENCODED_LEAST = 40                                       # characters of an encoded key or token
-ENCODED = re.compile(rf"[A-Za-z0-9+/_-]{{{ENCODED_LEAST},}}={{0,2}}")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+LINE = r"[A-Za-z0-9+/_-]"
+BREAK = re.compile(r"[ \t]*\r?\n[ \t]*|(?:\\r)?\\n")
+ENCODED = re.compile(rf"{LINE}{{{ENCODED_LEAST},}}={{0,2}}(?:(?:{BREAK.pattern}){LINE}+={{0,2}})*")      # a run and the lines after it
+HEAD = re.compile("M[A-J]|b3BlbnNzaC1rZXktdjE")          # how base64 of a DER sequence or of an OpenSSH key begins
+HEX_TAIL = re.compile("[0-9a-fA-F]+$")
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?=([eICD][A-Za-z0-9_-]{12,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*))")   # "{" or a blank
 ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
 
+#: What base64 of the armour's begin holds, by the place of its first byte in a group of three.
+PEM_HEADS = [base64.b64encode(bytes(k) + b"-----BEGIN ").decode()[x:y] for k, x, y in ((0, 0, 14), (1, 2, 16), (2, 3, 17))]
+
 _HEX_RUN = bytes(104 if chr(i) in "0123456789abcdef" else 32 for i in range(256))
 _ENCODED_RUN = bytes(
     104 if chr(i) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-" else 32 for i in range(256))
@@ -137,6 +146,87 @@ def is_signed_token(header: str, payload: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
 
 
+def _key_from(lines: list[tuple[int, str]], k: int, at: int) -> tuple[int, int] | None:
+    """``(line, end)`` where a key ends that begins at a place of the k-th line and whose lines have one width."""
+    said = lines[k][1][at:]
+    width, last = len(said), k
+    head = unbase64(said[:12]) or b""
+    if head[:1] == b"0" and len(head) > 5:      # a DER sequence tells its length
+        n = head[1] & 0x7F if head[1] & 0x80 else 0
+        size = 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1])
+        want = (4 * size + 2) // 3
+        if n > 4 or (want > len(said.rstrip("=")) and (k + 1 == len(lines) or len(lines[k + 1][1]) > width)):
+            return None
+        parts, have = [said], len(said.rstrip("="))
+        while have < want and len(lines[last][1]) - (at if last == k else 0) == width and last + 1 < len(lines):
+            last += 1
+            if len(lines[last][1]) > width:
+                return None
+            parts.append(lines[last][1])
+            have += len(lines[last][1].rstrip("="))
+        ok = have == want and is_key(unbase64("".join(parts)))
+        return (last, len(lines[last][1])) if ok else None
+    while last + 1 < len(lines) and len(lines[last + 1][1]) == width:
+        last += 1
+    shorter = last + 1 < len(lines) and len(lines[last + 1][1]) < width
+    for end in (last + 1, last) if shorter else (last,):
+        if is_key(unbase64(said + "".join(x for _, x in lines[k + 1:end + 1]))):
+            return end, len(lines[end][1])
+    return None
+
+
+def _armoured(lines: list[tuple[int, str]], k: int) -> tuple[int, int, int] | None:
+    """``(start, line, end)`` of base64 from the k-th line on whose bytes hold a key in PEM armour."""
+    last = k + 1
+    while last < len(lines) and len(lines[last][1]) == len(lines[k + 1][1]):
+        last += 1
+    chosen = lines[k:last + 1]       # lines of one width and the one after them
+    said = "".join(x for _, x in chosen)
+    for phase in range(4):
+        plain = said[phase:].split("=")[0]
+        data = unbase64(plain[:len(plain) - (len(plain) % 4 == 1)])
+        for m in ARMOUR.finditer((data or b"").decode("latin-1")):
+            if not is_key(unbase64(re.sub(r"\s|\\[nrt]", "", m[2]))):
+                continue
+            start, end = phase + m.start() // 3 * 4, phase + (4 * m.end() + 2) // 3
+            for n, (_, x) in enumerate(chosen):      # the line that holds the last character
+                if end <= len(x):
+                    rest = x[end:]
+                    blank = not rest.strip("=") or not (unbase64(said[phase + m.end() // 3 * 4:][:len(rest) + 4]) or b"x")[m.end() % 3:].strip()
+                    return start, k + n, len(x) if blank else end
+                end -= len(x)
+    return None
+
+
+def encoded_keys(text: str):
+    """Yields ``(start, end, lines)`` of every encoded key."""
+    for run in ENCODED.finditer(text):
+        lines, at = [], run.start()
+        for m in BREAK.finditer(text, run.start(), run.end()):
+            lines.append((at, text[at:m.start()]))
+            at = m.end()
+        lines.append((at, text[at:run.end()]))
+        k = 0
+        while k < len(lines):
+            at, said = lines[k]
+            found = None
+            m = HEX_TAIL.search(said) if len(said) >= ENCODED_LEAST else None
+            if m and len(m[0]) >= ENCODED_LEAST and len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
+                found = m.start(), k, len(said)
+            if not found and any(h in said for h in PEM_HEADS):
+                found = _armoured(lines, k)
+            if not found:
+                for m in HEAD.finditer(said):
+                    if (end := _key_from(lines, k, m.start())):
+                        found = m.start(), *end
+                        break
+            if found:
+                start, last, end = found
+                yield at + start, lines[last][0] + end, last - k + 1
+                k = last
+            k += 1
+
+
 def spans(text: str | None) -> list[tuple[str, int, int]]:
     """``(kind, start, end)`` of all secrets, by start and then kind; positions are code points, the end exclusive."""
     text = text or ""
@@ -152,14 +242,12 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     if "-----BEGIN " in text:
         found += [("key", *m.span()) for m in ARMOUR.finditer(text)
                   if is_key(unbase64(re.sub(r"\s|\\[nrt]", "", m[2])))]
-    if "eyJ" in text:
-        found += [("token", *m.span()) for m in TOKEN.finditer(text) if is_signed_token(m[1], m[2])]
+    if "." in text:
+        found += [("token", m.start(), m.end(3)) for m in TOKEN.finditer(text) if is_signed_token(m[1], m[2])]
     if b"h" * ENCODED_LEAST in raw.translate(_ENCODED_RUN):
-        for m in ENCODED.finditer(text):
-            plain = m[0]
-            data = bytes.fromhex(plain) if len(plain) % 2 == 0 and re.fullmatch("[0-9a-fA-F]+", plain) else unbase64(plain)
-            if is_key(data):
-                found.append(("key", *m.span()))
+        armour = [x for x in found if x[0] == "key"]
+        # the lines between armour are no key of their own
+        found += [("key", x, y) for x, y, n in encoded_keys(text) if n == 1 or not any(a <= x and y <= b for _, a, b in armour)]
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

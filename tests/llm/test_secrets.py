@@ -65,6 +65,32 @@ def test_signed_tokens_are_confirmed_by_their_header():
         assert not added(bad)
 
 
+def test_wrapped_glued_and_twice_encoded_keys():
+    for data in (RSA, PKCS8, EC, LOCKED, SSH):
+        for width in (64, 76):
+            for sep in ("\n", "\r\n", "\n    "):
+                said = sep.join(b64(data)[i:i + width] for i in range(0, len(b64(data)), width))
+                assert added(f"é key:\n{said}\nthen words") == [("key", 7, 7 + len(said))]
+        for prefix in ("/", "_", "-", "path/x9_", "ab"):
+            for said in (b64(data), f"/{data.hex()}"):
+                (_, start, end), = added(f"see {prefix}{said} end")
+                assert (start, end) == (4 + len(prefix) + (said[0] == "/"), 4 + len(prefix) + len(said))
+        block = "-----BEGIN PRIVATE KEY-----\n" + re.sub("(.{64})", r"\1\n", b64(data)) + "\n-----END PRIVATE KEY-----\n"
+        for pem in (block, "\n" + block, block.strip(), "é" + block):
+            once = b64(pem.encode())
+            for said in (once, re.sub("(.{76})(?=.)", r"\1\n", once)):
+                (_, start, end), = added(f"tls.key: {said} z")
+                assert 9 <= start < 13 and end == 9 + len(said)
+    wrapped = re.sub("(.{64})(?=.)", r"\1\n", b64(PUBLIC))
+    assert not added(f"{wrapped}\n{wrapped} " + b64(("-----BEGIN PRIVATE KEY-----\n" + b64(PUBLIC) + "\n-----END PRIVATE KEY-----").encode()))
+
+
+def test_tokens_whose_header_begins_with_white_space():
+    for head in ('{ "alg": "HS256"}', '{\n "alg": "HS256"}', ' {"alg":"HS256"}', '{\r\n"alg":"HS256"}'):
+        good = ".".join([b64(head.encode(), True), b64(b"{}", True), "c2ln"])
+        assert added(f"a.b.{good} x") == [("token", 4, 4 + len(good))]
+
+
 BASE = {
     "assign": (r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2),
     "access": (r"AKIA[A-Z0-9]+", 18, 0),
