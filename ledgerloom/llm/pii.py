@@ -55,13 +55,27 @@ SHAPE = {
 
 
 def _matches(text, kind: str):
-    """The matches of one pattern: the length of the gap before each, the gap's end, and the match itself."""
+    """The matches of one pattern: the length of the gap before each, the text before it, and the match itself."""
     found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
     gaps = F.split(text, PATTERNS[kind], -1)
-    each = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(
-        F.lit(kind).alias("kind"), F.length(g).alias("gap"), F.right(g, F.lit(CONTEXT)).alias("before"), m.alias("match")))
-    numbered = F.transform(each, lambda x, i: F.struct(i.alias("nth"), x["kind"].alias("kind"), x["gap"].alias("gap"),
-                                                       x["before"].alias("before"), x["match"].alias("match")))
+
+    def tail(x):
+        return F.right(x, F.lit(CONTEXT))
+
+    def before(s, i):
+        # every match has a character, so that so many pieces hold the context whatever matched there
+        first = F.greatest(2 * i + 1 - 2 * CONTEXT, F.lit(1))
+        gap = F.element_at(s["gaps"], i + 1)
+        return F.when(F.length(gap) >= CONTEXT, tail(gap)).otherwise(
+            tail(F.array_join(F.transform(F.sequence(first, 2 * i + 1), lambda k: F.element_at(s["pieces"], k)), "")))
+
+    # arrays of one struct, so that matches and gaps are found once
+    once = F.transform(F.array(F.struct(found.alias("found"), gaps.alias("gaps"))), lambda s: F.struct(
+        s["found"].alias("found"), s["gaps"].alias("gaps"), F.flatten(F.zip_with(
+            F.slice(s["gaps"], 1, F.size(s["found"])), s["found"], lambda g, m: F.array(tail(g), tail(m)))).alias("pieces")))
+    numbered = F.transform(once, lambda s: F.transform(s["found"], lambda m, i: F.struct(
+        i.alias("nth"), F.lit(kind).alias("kind"), F.length(F.element_at(s["gaps"], i + 1)).alias("gap"),
+        before(s, i).alias("before"), m.alias("match"))))[0]
     empty = F.array().cast("array<struct<nth:int,kind:string,gap:int,before:string,match:string>>")
     needs = {"email": text.contains("@"), "phone": text.contains("+")}.get(kind, F.lit(True))
     return F.when(needs & (F.regexp_count(text, F.lit(PATTERNS[kind])) > 0), numbered).otherwise(empty)

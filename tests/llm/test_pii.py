@@ -77,6 +77,24 @@ def test_patterns_discover_unseen_identifiers(documents):
             assert spans[i] == ""
 
 
+def test_context_goes_past_earlier_matches(documents):
+    """Labels that hold a digit, and a digit token two words back, are context of seeds and candidates alike."""
+    r = random.Random(2)
+    rows = [(i, f"lorem phone2: +1 555 {r.randint(1000000, 9999999)} dolor") for i in range(20)]
+    rows += [(100 + i, f"sit amet phone2: 555-{r.randint(1000, 9999)} please") for i in range(4)]
+    rows += [(200 + i, f"see v4 4you 10.0.0.{i} and") for i in range(20)] + [(300, "see v4 4you 10.0.1 and")]
+    rows += [(400 + i, f"item 4you {i}.0.1 and") for i in range(50)]        # the last word alone says nothing
+    out = pii.personal_data(documents(rows)).collect()
+    check(rows, out)
+    spans = {r.doc_id: r.spans for r in out}
+    for i, t in rows:
+        if 100 <= i < 200:
+            assert spans[i] == f"phone:{t.index('555-')}:{t.index('555-') + 8}"
+        elif i >= 400:
+            assert spans[i] == ""
+    assert spans[300] == "ip:12:18"
+
+
 def test_edge_rows(documents):
     rows = EDGE + [(9, "1." * 50_000), (10, "a@" * 50_000), (11, "7" * 100_000)]
     out = pii.personal_data(documents(rows, extra=True)).collect()
