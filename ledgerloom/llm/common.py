@@ -7,7 +7,7 @@ import os
 import re
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.session import scratch_dir
@@ -114,3 +114,55 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             break
         mark = new
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _same(a: DataFrame, b: DataFrame, names: list[str]):
+    on = F.lit(True)
+    for c in names:
+        on = on & a[c].eqNullSafe(b[c])
+    return on
+
+
+def ranked(df: DataFrame, by: list[str], order: list[str], label: str = "ranked") -> DataFrame:
+    """``df`` with three columns more: ``rank``, how many rows of the same ``by`` group come before in the order
+    of the columns ``order``; ``size``, the group's rows; ``grp``, how many groups come before (nulls first).
+
+    Two passes, so that a group of any size is spread: rows are sorted over all partitions by range, a further
+    column splits equal rows, and prefix sums run over one row a group and partition. ``label`` names the files.
+    """
+    keys = [F.col(c) for c in (*by, *order)]
+    rows = df.withColumn("_tie", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
+    rows = materialize(rows.withColumn("_part", F.spark_partition_id())
+                       .withColumn("_at", F.monotonically_increasing_id()), label)
+    runs = rows.groupBy(*by, "_part").agg(F.min("_at").alias("_base"), F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    before = F.sum("n").over(group.orderBy("_part")) - F.col("n")
+    runs = materialize(runs.select(*by, "_part", (F.col("_base") - before).alias("_base"),
+                                   F.sum("n").over(group).alias("size")), label)
+    if by:
+        groups = ranked(runs.select(*by).distinct(), [], by, label).select(*by, F.col("rank").alias("grp"))
+        runs = materialize(runs.join(groups, _same(runs, groups, by)).select(
+            *[runs[c] for c in by], "_part", "_base", "size", "grp"), label)
+    else:
+        runs = runs.withColumn("grp", F.lit(0).cast("long"))
+    out = rows.join(runs, _same(rows, runs, [*by, "_part"]))
+    return out.select(*[rows[c] for c in df.columns], (rows["_at"] - runs["_base"]).alias("rank"), "size", "grp")
+
+
+FREQUENT = 50_000             # keys of a broadcast side: each stands for at least that share of the rows
+
+
+def join_by_frequency(left: DataFrame, right: DataFrame, key: str, n: str) -> DataFrame:
+    """Inner join on ``key``, which is unique and not null in ``right``; its column ``n`` counts the key's rows in ``left``.
+
+    Keys with more than one in ``FREQUENT`` of the rows, so fewer than ``FREQUENT``, are broadcast; the other
+    keys, none of them large, meet in a shuffle. ``right`` is read more than once and should be written.
+    """
+    total = right.agg(F.sum(n)).first()[0] or 0
+    floor = total // FREQUENT
+    often, rest = right.where(F.col(n) > floor), right.where(F.col(n) <= floor)
+    out = left.join(F.broadcast(often), key)
+    if floor and not rest.isEmpty():
+        out = out.unionByName(left.join(F.broadcast(often.select(key)), key, "left_anti").join(rest.hint("merge"), key))
+    return out

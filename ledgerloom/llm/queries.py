@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, html, language, line_dedup, packing, pii, secrets, simhash, topk, warc
+from ledgerloom.llm import decontaminate, html, language, line_dedup, merkle, packing, pii, secrets, simhash, topk, warc
 from ledgerloom.llm.common import table
 
 LLM_QUERIES: dict = {}
@@ -81,6 +81,12 @@ def q_warc(spark: SparkSession, sf: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op13_merkle_manifest")
+def q_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and what its tampered text folds to."""
+    return merkle.proofs(table(spark, sf, "documents"), merkle.every_fifth_lowered())
+
+
 # --- DuckDB SQL --------------------------------------------------------------
 
 LLM_ORACLE["op3_decontamination"] = r"""
@@ -125,3 +131,58 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id AS vec_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+LLM_ORACLE["op13_merkle_manifest"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source,
+         coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || CAST(doc_id AS VARCHAR), '-')
+         || coalesce(octet_length(encode(source)) || ':' || source, '-')
+         || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+         || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+         text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents),
+bytes AS (   -- CRC-32 of the decimal id, a byte at a time
+  SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS c FROM d WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, s, i + 1, list_reduce([xor(c, CAST(ascii(s[i + 1]) AS BIGINT))] || list_transform(range(8), lambda x: CAST(0 AS BIGINT)),
+         lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, CAST(3988292384 AS BIGINT)) ELSE a // 2 END)
+  FROM bytes WHERE i < length(s)),
+crc AS (SELECT doc_id, xor(c, CAST(4294967295 AS BIGINT)) AS c FROM bytes WHERE i = length(s)),
+leaf AS (SELECT d.doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS h,
+                CASE WHEN c % 5 = 0 THEN sha256(head || coalesce(octet_length(encode(low)) || ':' || low, '-')) END AS forged
+         FROM d LEFT JOIN crc ON d.doc_id = crc.doc_id),
+tree AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM d)),
+l AS (SELECT leaf.*, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+             count(*) OVER (PARTITION BY tree) AS n
+      FROM leaf JOIN tree ON leaf.source IS NOT DISTINCT FROM tree.source),
+low AS (
+  SELECT tree, 0 AS level, pos, h, n FROM l
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 15) // 16 FROM low WHERE n > 1
+  GROUP BY tree, level, pos // 16),
+sub AS (SELECT tree, h FROM low WHERE n = 1),
+top AS (
+  SELECT 0 AS level, tree AS pos, h, (SELECT count(*) FROM sub) AS n FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 15) // 16 FROM top WHERE n > 1
+  GROUP BY level, pos // 16),
+root AS (SELECT h FROM top WHERE n = 1),
+nodes AS (SELECT tree, level, pos, h FROM low WHERE n > 1 UNION ALL SELECT -1, level, pos, h FROM top WHERE n > 1),
+step AS (
+  SELECT tree, level, pos,
+         coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+         coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM nodes),
+fold AS (
+  SELECT tree AS t, pos AS p, CAST(0 AS BIGINT) AS k, tree, CAST(0 AS BIGINT) AS level, pos, coalesce(forged, h) AS acc, '' AS proof FROM l
+  UNION ALL   -- past the last level of a source the top tree goes on
+  SELECT t, p, f.k + 1, CASE WHEN s.tree IS NULL THEN -1 ELSE f.tree END, CASE WHEN s.tree IS NULL THEN 0 ELSE f.level + 1 END,
+         CASE WHEN s.tree IS NULL THEN f.t ELSE f.pos // 16 END,
+         CASE WHEN s.tree IS NULL THEN acc ELSE sha256(b || acc || a) END, CASE WHEN s.tree IS NULL THEN proof ELSE proof || b || a END
+  FROM fold AS f LEFT JOIN step AS s ON f.tree = s.tree AND f.level = s.level AND f.pos = s.pos
+  WHERE s.tree IS NOT NULL OR f.tree >= 0),
+done AS (SELECT t, p, arg_max(acc, k) AS acc, arg_max(proof, k) AS proof FROM fold GROUP BY t, p)
+SELECT l.doc_id, l.h AS leaf, sub.h AS subroot, root.h AS root, sha256(proof) AS proof_sha256, acc AS folded_root,
+       acc = root.h AS verified
+FROM l JOIN done ON l.tree = done.t AND l.pos = done.p JOIN sub ON l.tree = sub.tree JOIN root ON true
+"""
