@@ -123,9 +123,10 @@ def _same(a: DataFrame, b: DataFrame, names: list[str]):
     return on
 
 
-def ranked(df: DataFrame, by: list[str], order: list[str], label: str = "ranked") -> DataFrame:
+def ranked(df: DataFrame, by: list[str], order: list[str], label: str = "ranked", groups: bool = True) -> DataFrame:
     """``df`` with three columns more: ``rank``, how many rows of the same ``by`` group come before in the order
-    of the columns ``order``; ``size``, the group's rows; ``grp``, how many groups come before (nulls first).
+    of the columns ``order``; ``size``, the group's rows; ``grp``, how many groups come before (nulls first; 0
+    without ``groups``).
 
     Two passes, so that a group of any size is spread: rows are sorted over all partitions by range, a further
     column splits equal rows, and prefix sums run over one row a group and partition. ``label`` names the files.
@@ -140,9 +141,9 @@ def ranked(df: DataFrame, by: list[str], order: list[str], label: str = "ranked"
     before = F.sum("n").over(group.orderBy("_part")) - F.col("n")
     runs = materialize(runs.select(*by, "_part", (F.col("_base") - before).alias("_base"),
                                    F.sum("n").over(group).alias("size")), label)
-    if by:
-        groups = ranked(runs.select(*by).distinct(), [], by, label).select(*by, F.col("rank").alias("grp"))
-        runs = materialize(runs.join(groups, _same(runs, groups, by)).select(
+    if by and groups:
+        nth = ranked(runs.select(*by).distinct(), [], by, label).select(*by, F.col("rank").alias("grp"))
+        runs = materialize(runs.join(nth, _same(runs, nth, by)).select(
             *[runs[c] for c in by], "_part", "_base", "size", "grp"), label)
     else:
         runs = runs.withColumn("grp", F.lit(0).cast("long"))

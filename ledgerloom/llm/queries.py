@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, html, language, line_dedup, merkle, packing, pii, secrets, simhash, topk, warc
+from ledgerloom.llm import (alignment, decontaminate, html, language, line_dedup, merkle, mixing, packing, pii, secrets,
+                            simhash, topk, warc)
 from ledgerloom.llm.common import table
 
 LLM_QUERIES: dict = {}
@@ -81,6 +82,18 @@ def q_warc(spark: SparkSession, sf: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op11_tokenizer_alignment")
+def q_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens, groups and links of two tokenizers in every document."""
+    return alignment.alignment(table(spark, sf, "documents"))
+
+
+@query("op12_source_mixing")
+def q_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """How many words of every document the mix of all sources takes."""
+    return mixing.taken(table(spark, sf, "documents"))
+
+
 @query("op13_merkle_manifest")
 def q_merkle(spark: SparkSession, sf: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and what its tampered text folds to."""

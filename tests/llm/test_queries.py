@@ -15,8 +15,8 @@ from ledgerloom.llm.queries import LLM_ORACLE, LLM_QUERIES  # noqa: E402
 SF = "/root/testdata/sf0.001"
 
 
-def test_all_ten_and_the_pipeline_are_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in LLM_QUERIES) == list(range(1, 11))
+def test_all_operators_and_the_pipeline_are_registered():
+    assert sorted(int(n.split("_")[0][2:]) for n in LLM_QUERIES) == list(range(1, 14))
     assert set(LLM_QUERIES) | {"pipeline"} <= set(E.queries()) and set(LLM_ORACLE) <= set(E.oracle_sql())
 
 
