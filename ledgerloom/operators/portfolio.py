@@ -69,18 +69,19 @@ def dim_product(products: DataFrame) -> DataFrame:
 # Fact
 # ---------------------------------------------------------------------------
 
-def contract_position(installments: DataFrame) -> DataFrame:
+TERMS = ["contract_id", "customer_id", "product_id", "contract_date", "contract_status", "principal_amount",
+         "annual_interest_rate", "term_months"]
+
+
+def contract_position(installments: DataFrame, *carried: str) -> DataFrame:
     """Counts, money sums, max DPD and next due date per (contract, snapshot).
 
-    No explicit repartition: when the installments arrive hash-partitioned by
-    ``contract_id`` (the trusted-contract semi-join, with payment totals
-    broadcast), the aggregate and the fact join reuse that partitioning and
-    add no exchange. (Measured: forcing ``repartition("contract_id")`` here
-    adds a full shuffle at sf0.1 and would only save a shuffle of aggregated
-    rows when the payment totals are too large to broadcast.)
+    ``carried``: columns with one value per contract that the result keeps.
+    Installments that arrive hash-partitioned by ``contract_id``, from a join
+    with the contracts, are aggregated as they lie, without an exchange.
     """
     status = F.col("installment_status")
-    return (installments.groupBy("contract_id", "snapshot_date").agg(
+    return (installments.groupBy("contract_id", "snapshot_date", *carried).agg(
         F.count(F.lit(1)).alias("installment_count"),
         int_sum_if(status == S.PAID).alias("paid_installment_count"),
         int_sum_if(status == S.OVERDUE).alias("overdue_installment_count"),
@@ -108,9 +109,23 @@ def credit_portfolio_fact(contracts: DataFrame, position: DataFrame,
 
     Contracts without installments drop out (inner join), as published.
     """
-    c = contracts.select("contract_id", "customer_id", "product_id", "contract_date",
-                         "contract_status", "principal_amount", "annual_interest_rate", "term_months")
-    j = c.join(position, "contract_id", "inner")
+    return _fact(contracts.select(*TERMS).join(position, "contract_id", "inner"), processed_at)
+
+
+def portfolio_fact(contracts: DataFrame, installments: DataFrame, processed_at: bool = False) -> DataFrame:
+    """The fact of :func:`credit_portfolio_fact`, from the installments.
+
+    They meet the contracts before they are aggregated: the one exchange by
+    contract serves the join and the position, installments of other contracts
+    are not aggregated, and the contracts are read once. (Installments of a
+    contract lie in many partitions, so that aggregating them first would
+    hardly shrink what is shuffled.)
+    """
+    j = installments.join(contracts.select(*TERMS), "contract_id", "inner")
+    return _fact(contract_position(j, *TERMS[1:]), processed_at)
+
+
+def _fact(j: DataFrame, processed_at: bool) -> DataFrame:
     dpd = F.col("max_days_past_due")
     out = j.select(
         "contract_id", "customer_id", "product_id", "snapshot_date", "contract_date",
@@ -178,34 +193,35 @@ def portfolio_kpis(fact: DataFrame, customers: DataFrame, products: DataFrame,
     return out.withColumn("gold_processed_at", F.current_timestamp()) if processed_at else out
 
 
+def _share(part: str, whole: str) -> str:
+    """A ratio of two sums, 0 where the whole is 0."""
+    return f"cast(CASE WHEN {whole} = 0 THEN 0 ELSE {part} / {whole} END AS {RATIO})"
+
+
+_OWED, _NPL = "sum(outstanding_amount)", "coalesce(sum(outstanding_amount) FILTER (WHERE is_npl_90), 0)"
+
+#: The executive totals, one SQL expression each: the DataFrame and the persistent view are built from these.
+EXECUTIVE = {
+    "contract_count": "count(*)",
+    "principal_amount": f"cast(sum(principal_amount) AS {SUM22})",
+    "total_paid": f"cast(sum(total_paid) AS {SUM22})",
+    "outstanding_amount": f"cast({_OWED} AS {SUM22})",
+    "overdue_amount": f"cast(sum(overdue_amount) AS {SUM22})",
+    "npl_90_amount": f"cast({_NPL} AS {SUM22})",
+    "delinquency_ratio": _share("sum(overdue_amount)", _OWED),
+    "npl_90_ratio": _share(_NPL, _OWED),
+}
+
+
 def executive_portfolio(fact: DataFrame) -> DataFrame:
     """Executive totals per snapshot (the body of the executive view)."""
-    npl = F.sum(_npl_amount())
-    return fact.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("contract_count"),
-        F.sum("principal_amount").cast(SUM22).alias("principal_amount"),
-        F.sum("total_paid").cast(SUM22).alias("total_paid"),
-        F.sum("outstanding_amount").cast(SUM22).alias("outstanding_amount"),
-        F.sum("overdue_amount").cast(SUM22).alias("overdue_amount"),
-        npl.cast(SUM22).alias("npl_90_amount"),
-        guarded_ratio(F.sum("overdue_amount"), F.sum("outstanding_amount"), RATIO).alias("delinquency_ratio"),
-        guarded_ratio(npl, F.sum("outstanding_amount"), RATIO).alias("npl_90_ratio"),
-    )
+    return fact.groupBy("snapshot_date").agg(*[F.expr(sql).alias(name) for name, sql in EXECUTIVE.items()])
 
 
 def create_executive_view(spark, view: str, fact: str) -> None:
-    """Persist the executive totals as a view over a fact table.
-
-    The measures are those of :func:`executive_portfolio`, written as SQL once here.
-    """
-    money = {"principal_amount": "principal_amount", "total_paid": "total_paid", "outstanding_amount": "outstanding_amount",
-             "overdue_amount": "overdue_amount", "npl_90_amount": "IF(is_npl_90, outstanding_amount, 0)"}
-    ratios = {"delinquency_ratio": "overdue_amount", "npl_90_ratio": "npl_90_amount"}
-    sums = [f"CAST(SUM({expr}) AS DECIMAL(22,2)) AS {name}" for name, expr in money.items()]
-    owed = f"SUM({money['outstanding_amount']})"
-    parts = [f"CAST(IF({owed} = 0, 0, SUM({money[of]}) / {owed}) AS DECIMAL(12,6)) AS {name}" for name, of in ratios.items()]
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT " + ", ".join(["snapshot_date", "COUNT(*) AS contract_count", *sums, *parts])
-              + f" FROM {fact} GROUP BY snapshot_date")
+    """Persist :func:`executive_portfolio` as a view over a fact table."""
+    totals = ", ".join(f"{sql} AS {name}" for name, sql in EXECUTIVE.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT snapshot_date, {totals} FROM {fact} GROUP BY snapshot_date")
 
 
 def bucket_distribution(fact: DataFrame) -> DataFrame:

@@ -124,12 +124,11 @@ class CreditBook:
 
     @cached_property
     def fact(self) -> DataFrame:
-        """The contracts are joined once, to the position of every contract: a
-        position without a trusted contract drops out there."""
-        if self.stage:
-            return P.credit_portfolio_fact(self.contracts, self.position)
-        every = R.reconcile_installments(self.installments_latest, None, self.payments, self.as_of)
-        return P.credit_portfolio_fact(self.contracts, P.contract_position(every))
+        """The contracts are joined once, to the installments of every contract:
+        those without a trusted contract drop out there."""
+        every = self.installments if self.stage else R.reconcile_installments(
+            self.installments_latest, None, self.payments, self.as_of)
+        return P.portfolio_fact(self.contracts, every)
 
     @cached_property
     def kpis(self) -> DataFrame:

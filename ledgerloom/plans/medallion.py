@@ -277,8 +277,7 @@ def build_gold(spark: SparkSession, lake: Lake) -> None:
     TB.replace_table(P.dim_customer(customers), lake.t("gold", "dim_customer"))
     TB.replace_table(P.dim_product(products), lake.t("gold", "dim_product"))
     inst = spark.table(lake.t("silver", "installments"))
-    fact = P.credit_portfolio_fact(spark.table(lake.t("silver", "contracts")), P.contract_position(inst),
-                                   processed_at=True)
+    fact = P.portfolio_fact(spark.table(lake.t("silver", "contracts")), inst, processed_at=True)
     TB.replace_table(fact, lake.t("gold", "fact_credit_portfolio"))
     kpis = P.portfolio_kpis(spark.table(lake.t("gold", "fact_credit_portfolio")),
                             spark.table(lake.t("gold", "dim_customer")),
