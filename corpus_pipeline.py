@@ -17,6 +17,7 @@ from ledgerloom.llm import decontaminate, language, line_dedup, packing, simhash
 from ledgerloom.llm.common import materialize, table
 
 MIN_SCORE = 0.5       # posterior of the predicted language
+MAX_SURPRISE = 3.0    # nats an n-gram beyond that language's own: texts of the learned languages stay below about 2
 
 
 def _columns(docs: DataFrame):
@@ -29,12 +30,12 @@ def _apart(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and texts of no clear language."""
+    """Rejects texts without a letter, texts of no clear language and texts of none of the learned languages."""
     model = language.fit(docs)
     if not model[0]:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     plain = _apart(docs)
-    ok = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    ok = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE) & (F.col("surprise") <= MAX_SURPRISE)
     return language.identify(plain, model).where(ok).select(*plain.columns).toDF(*docs.columns)
 
 
