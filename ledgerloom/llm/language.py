@@ -9,8 +9,14 @@ the rows of a text's n-grams in numpy, slice by slice, over the whole text.
 N-grams are of 1 to 3 characters over the lower-cased text in which every run
 of characters that are not letters counts as one space.
 
+The posterior compares the learned languages with one another and is near 1 for
+texts of none of them, too. How far a text is from the predicted language itself
+is its ``surprise``: by how many nats the mean log probability of its n-grams
+falls below the mean over the language's own n-grams, less ``SPREAD`` standard
+errors of a text of that many n-grams. Both moments come from the matrix.
+
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-so is everything when no labelled row exists to learn from. A null ``doc_id`` is
+so is everything when no labelled row exists to learn from; its ``surprise`` is null. A null ``doc_id`` is
 not held out and not learned from. Repeated rows get equal results; equal
 scores go to the language first in order. Extra columns are ignored.
 """
@@ -30,6 +36,7 @@ FOLDS = 5
 SMOOTH = 0.5
 SLICE = 1 << 18        # characters scored at once
 UNKNOWN = "und"
+SPREAD = 3.0
 
 _LETTERS: list = []
 
@@ -152,37 +159,52 @@ def fit(docs: DataFrame, sample: int = SAMPLE):
     return labels, blocks, np.log(n / n.sum())
 
 
-def predict(texts: list[str | None], labels, matrix, prior):
-    """``(label, score)`` of each text; the score is the posterior probability."""
+def predict(texts: list[str | None], labels, matrix, prior, own):
+    """``(label, score, surprise)`` of each text; the score is the posterior probability."""
     import numpy as np
 
     known = [t or "" for t in texts]
     total = np.tile(prior, (len(known), 1))
-    seen = np.zeros(len(known), bool)
+    size = np.zeros(len(known), np.int64)
     for row, bucket in grams(known):
         if len(row):
             starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
             for k, block in enumerate(matrix):
                 at = slice(k * COLUMNS, k * COLUMNS + block.shape[1])
                 total[row[starts], at] += np.add.reduceat(block[bucket], starts, axis=0, dtype=np.float64)
-            seen[row[starts]] = True
+            size[row[starts]] += np.diff(np.r_[starts, len(row)])
     out = []
-    for i, ok in enumerate(seen):
-        if not ok or not labels:
-            out.append((UNKNOWN, 0.0))
+    for i, n in enumerate(size):
+        if not n or not labels:
+            out.append((UNKNOWN, 0.0, None))
             continue
         best = int(np.argmax(total[i]))
-        out.append((labels[best], float(1.0 / np.exp(total[i] - total[i][best]).sum())))
+        usual, spread = own[best]
+        said = (total[i][best] - prior[best]) / n
+        out.append((labels[best], float(1.0 / np.exp(total[i] - total[i][best]).sum()),
+                    float(usual - said - SPREAD * spread / np.sqrt(n))))
+    return out
+
+
+def moments(matrix):
+    """For each language the mean and the standard deviation of the log probability of its own n-grams."""
+    import numpy as np
+
+    out = []
+    for block in matrix:
+        logs = block.astype(np.float64)
+        mean = (np.exp(logs) * logs).sum(0)
+        out += zip(mean, np.sqrt((np.exp(logs) * logs ** 2).sum(0) - mean ** 2))
     return out
 
 
 def identify(docs: DataFrame, model=None) -> DataFrame:
-    """``docs`` with ``held_out``, ``lang_pred`` and ``score`` added (columns of these names are replaced)."""
+    """``docs`` with ``held_out``, ``lang_pred``, ``score`` and ``surprise`` added (columns of these names are replaced)."""
     spark = docs.sparkSession
     ship(spark)
     labels, matrix, prior = model or fit(docs)
-    shared = spark.sparkContext.broadcast((labels, matrix, prior))
-    rest = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score")]
+    shared = spark.sparkContext.broadcast((labels, matrix, prior, moments(matrix)))
+    rest = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score", "surprise")]
     kinds = dict(docs.dtypes)
 
     def run(batches):
@@ -193,10 +215,10 @@ def identify(docs: DataFrame, model=None) -> DataFrame:
             for k in range(0, b.num_rows, 256):
                 out += predict(texts.slice(k, 256).to_pylist(), *shared.value)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())],
-                [*rest, "held_out", "lang_pred", "score"])
+                [*b.columns, *[pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.float64(), pa.float64()))]],
+                [*rest, "held_out", "lang_pred", "score", "surprise"])
 
     held = F.coalesce(_fold(docs) == 0, F.lit(False)).alias("held_out")
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in rest)
     return docs.select(*[F.col(f"`{c}`") for c in rest], held).mapInArrow(
-        run, f"{schema}, held_out boolean, lang_pred string, score double")
+        run, f"{schema}, held_out boolean, lang_pred string, score double, surprise double")

@@ -81,6 +81,38 @@ def test_slices_cover_long_texts(monkeypatch):
     assert set(whole) <= {int(b) for _, bucket in language.grams([text]) for b in bucket}
 
 
+def test_predictions_against_a_plain_classifier(documents):
+    """Counts, smoothing, prior and arg max one n-gram at a time, over the rows that may be learned from."""
+    from math import exp, log, sqrt
+
+    rows = corpus(120)
+    counts, docs = {}, {}
+    for i, t, lang in rows:
+        if zlib.crc32(str(i).encode()) % 5:
+            docs[lang] = docs.get(lang, 0) + 1
+            for b in naive([t])[0]:
+                counts.setdefault(lang, {})[b] = counts.setdefault(lang, {}).get(b, 0) + 1
+    total = {x: sum(c.values()) + language.SMOOTH * language.BUCKETS for x, c in counts.items()}
+
+    def said(lang, b):
+        return log((counts[lang].get(b, 0) + language.SMOOTH) / total[lang])
+
+    out = {r.doc_id: r for r in language.identify(documents(rows)).collect()}
+    for i, t, _ in rows:
+        grams = naive([t])[0]
+        sums = {x: log(docs[x] / sum(docs.values())) + sum(said(x, b) for b in grams) for x in sorted(counts)}
+        best = max(sums, key=sums.get)
+        assert out[i].lang_pred == best
+        assert abs(out[i].score - 1 / sum(exp(v - sums[best]) for v in sums.values())) < 1e-3
+        zero = language.SMOOTH / total[best]
+        p = [exp(said(best, b)) for b in counts[best]]
+        rest = language.BUCKETS - len(p)
+        mean = sum(x * log(x) for x in p) + rest * zero * log(zero)
+        spread = sqrt(sum(x * log(x) ** 2 for x in p) + rest * zero * log(zero) ** 2 - mean ** 2)
+        want = mean - sum(said(best, b) for b in grams) / len(grams) - language.SPREAD * spread / sqrt(len(grams))
+        assert abs(out[i].surprise - want) < 1e-3
+
+
 def test_edge_rows(documents):
     rows = [(*x, None) for x in EDGE] + corpus(60)
     rows = [(i if n < len(EDGE) else i + 1000, t, x) for n, (i, t, x) in enumerate(rows)] + [(None, "kato miru", "xx"), (2001, "123 !?", "xx")]

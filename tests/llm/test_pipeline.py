@@ -71,6 +71,28 @@ def test_stages_in_order():
     assert P.ORACLE_SQL is None and zlib is not None
 
 
+FOREIGN = ["Привет мир, как дела сегодня у вас дома", "日本語のテキストです", "Ελληνικά γλώσσα κείμενο",
+           "xqjz vkwp zzqx jjkv wqxz pqzj xkcd vbzq " * 20, "ж" * 5000, "1 2 3", ""]
+
+
+def test_texts_of_no_learned_language_go(spark, tmp_root):
+    """Other scripts and letters in no order of the learned languages go; every document of the given table stays."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(FOREIGN)]
+    mixed = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in P.language_id(spark, mixed, sf).select("doc_id").collect()}
+    lettered = {r.doc_id for r in docs.where(docs.text.rlike(r"\p{L}")).select("doc_id").collect()}
+    assert len(lettered) > 150 and kept == lettered
+
+
+def test_short_texts_of_a_learned_language_stay(spark, documents, tmp_root):
+    r = random.Random(2)
+    vocabulary = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 8))) for _ in range(300)]
+    rows = [(i, " ".join(r.choice(vocabulary) for _ in range(r.choice([1, 2, 5, 40]))), "en") for i in range(300)]
+    assert P.language_id(spark, documents(rows), tmp_root).count() == 300
+
+
 def test_unlabelled_corpus_keeps_texts_with_letters(spark, documents, tmp_root):
     kept = P.language_id(spark, documents([(1, "abc"), (2, "12"), (3, None)]), tmp_root)
     assert [r.doc_id for r in kept.collect()] == [1]
