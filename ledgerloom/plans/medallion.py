@@ -32,7 +32,7 @@ from ledgerloom.operators.dedupe import duplicate_keys
 from ledgerloom.sinks import tables as TB
 from ledgerloom.sources import files as FS
 from ledgerloom.sources import testdata as TD
-from ledgerloom.streaming import ingest as ST
+from ledgerloom.streaming import tables as ST
 
 LAYERS = {
     "bronze": "Raw data as received, with source metadata.",
@@ -73,10 +73,6 @@ INSTALLMENTS_RAW = T.StructType(S.INSTALLMENT_SOURCE.fields + [
     T.StructField("source_file_size", T.LongType()),
     T.StructField("source_file_modification_time", T.TimestampType()),
     T.StructField("ingested_at", T.TimestampType()), T.StructField("snapshot_date", T.DateType())])
-LOAD_LOG = T.StructType([
-    T.StructField("dataset", T.StringType()), T.StructField("label", T.StringType()),
-    T.StructField("rows_added", T.LongType()), T.StructField("loaded_at", T.TimestampType())])
-
 PAYMENTS_RAW = T.StructType(S.PAYMENT_SOURCE.fields + [
     T.StructField("_rescued_data", T.StringType()),
     T.StructField("source_file_path", T.StringType()), T.StructField("source_file_name", T.StringType()),
@@ -95,9 +91,13 @@ def setup(spark: SparkSession, lake: Lake) -> None:
     TB.ensure_table(spark, lake.t("bronze", "installments_raw"), INSTALLMENTS_RAW,
                     "Installment snapshots (Parquet).", {**props, "ingestion_pattern": "snapshot_replace"},
                     partition_by=["snapshot_date"], location=lake.path("tables", "bronze", "installments_raw"))
-    TB.ensure_table(spark, lake.t("ops", "load_log"), LOAD_LOG,
-                    "One labelled row per bronze load (stands in for commit annotations).",
-                    {"data_domain": "operations"}, location=lake.path("tables", "ops", "load_log"))
+    for name, schema, parts in (("products_raw", PRODUCTS_RAW, []), ("contracts_raw", CONTRACTS_RAW, []),
+                                ("payments_raw", PAYMENTS_RAW, ["event_date"])):
+        ST.declare_sink(spark, lake.t("bronze", name), schema, partition_by=parts, comment=f"{name} (stream sink)",
+                        props={**props, "ingestion_pattern": "incremental"}, location=lake.path("tables", "bronze", name))
+    ST.declare_sink(spark, lake.t("ops", "load_log"), ST.LOAD_LOG,
+                    comment="One labelled row per bronze load or batch of one (stands in for commit annotations).",
+                    props={"data_domain": "operations"}, location=lake.path("tables", "ops", "load_log"))
     TB.ensure_table(spark, lake.t("ops", "data_quality_results"), S.QUALITY_RESULTS,
                     "Append-only history of quality checks.", {"data_domain": "operations"},
                     location=lake.path("tables", "ops", "data_quality_results"))
@@ -139,33 +139,19 @@ def write_landing_from_testdata(spark: SparkSession, sf_dir: str, lake: Lake,
 # bronze
 # ---------------------------------------------------------------------------
 
-def _log_load(spark: SparkSession, lake: Lake, entries: list[tuple[str, str, int]]) -> None:
-    """Append the labelled load records (a handful of rows per run)."""
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    rows = [(d, label, int(n), now) for d, label, n in entries]
-    TB.append_table(spark.createDataFrame(rows, LOAD_LOG), lake.t("ops", "load_log"))
-
-
 def load_bronze_batch(spark: SparkSession, lake: Lake) -> dict:
-    """Products and contracts CSV: every file loaded exactly once."""
+    """Products and contracts CSV: every file loaded exactly once, each by its own header."""
     out = {}
     for name, schema, table_schema, sub in (
             ("products_raw", S.PRODUCT_SOURCE, PRODUCTS_RAW, "products/full"),
             ("contracts_raw", S.CONTRACT_SOURCE, CONTRACTS_RAW, "contracts")):
-        cols = table_schema.fieldNames()
-        out[name] = ST.load_new_files(
-            spark, lake.path("landing", sub), "csv", schema, lake.path("tables", "bronze", name),
-            lake.path("checkpoints", "bronze", name), transform=lambda df, c=cols: df.select(*c))
-        _register(spark, lake.t("bronze", name), table_schema, lake.path("tables", "bronze", name))
-    _log_load(spark, lake, [(n, f"{n} new files", rows) for n, rows in out.items()])
+        out[name] = ST.load_files(
+            spark, name, lake.path("landing", sub), "csv", schema, lake.t("bronze", name),
+            lake.path("checkpoints", "bronze", name), log=lake.t("ops", "load_log"),
+            transform=lambda df, c=table_schema.fieldNames(): df.select(*c))["rows"]
     return out
 
 
-def _register(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
-    """Catalog entry over a stream sink folder (readers then honour the sink's commit log)."""
-    TB.ensure_table(spark, name, schema, f"{name} (stream sink)", {"data_layer": "bronze"}, location=path)
-
-
 def load_bronze_snapshots(spark: SparkSession, lake: Lake, snapshot: _dt.date) -> dict:
     """Customers (permissive JSON) and installments (typed Parquet) of one snapshot date,
     gated before publishing, then replacing exactly that snapshot."""
@@ -185,8 +171,9 @@ def load_bronze_snapshots(spark: SparkSession, lake: Lake, snapshot: _dt.date) -
     if m2["rows"] == 0 or m2["rows"] != m2["ids"] or m2["invalid"]:
         raise AssertionError(f"installment snapshot gate: {m2.asDict()}")
     TB.replace_snapshot(inst, lake.t("bronze", "installments_raw"), "snapshot_date", snapshot)
-    _log_load(spark, lake, [("customers_raw", f"customers snapshot_date={snapshot}", m["rows"]),
-                            ("installments_raw", f"installments snapshot_date={snapshot}", m2["rows"])])
+    for name, rows in (("customers", m["rows"]), ("installments", m2["rows"])):
+        label = f"{name} snapshot_date={snapshot}"
+        ST.log_load(spark, lake.t("ops", "load_log"), f"{name}_raw", label, rows, f"{label} {uuid.uuid4().hex[:8]}")
     return {"customers": m["rows"], "installments": m2["rows"]}
 
 
@@ -194,15 +181,10 @@ def load_bronze_payments(spark: SparkSession, lake: Lake) -> int:
     """Payment events: JSON stream with rescue, partition column from the directory."""
     part = T.StructType([T.StructField("event_date", T.DateType())])
     cols = PAYMENTS_RAW.fieldNames()
-    n = ST.load_new_files(spark, lake.path("landing", "payments"), "json", S.PAYMENT_SOURCE,
-                          lake.path("tables", "bronze", "payments_raw"),
-                          lake.path("checkpoints", "bronze", "payments_raw"), partition_cols=part,
-                          rescue=True, transform=lambda df: df.select(*cols),
-                          query_name=f"{lake.prefix}_payments_bronze")
-    _register(spark, lake.t("bronze", "payments_raw"), PAYMENTS_RAW,
-              lake.path("tables", "bronze", "payments_raw"))
-    _log_load(spark, lake, [("payments_raw", "payments stream", n)])
-    return n
+    return ST.load_files(spark, "payments_raw", lake.path("landing", "payments"), "json", S.PAYMENT_SOURCE,
+                         lake.t("bronze", "payments_raw"), lake.path("checkpoints", "bronze", "payments_raw"),
+                         partition_cols=part, rescue=True, transform=lambda df: df.select(*cols),
+                         log=lake.t("ops", "load_log"), query_name=f"{lake.prefix}_payments_bronze")["rows"]
 
 
 # ---------------------------------------------------------------------------

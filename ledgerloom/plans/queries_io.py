@@ -30,6 +30,7 @@ from ledgerloom.sinks import tables as TB
 from ledgerloom.sources import files as FS
 from ledgerloom.sources import testdata as TD
 from ledgerloom.streaming import ingest as ST
+from ledgerloom.streaming import tables as STT
 
 BATCH_1, BATCH_2 = _dt.date(2000, 1, 1), _dt.date(2000, 1, 2)
 
@@ -38,6 +39,35 @@ def _table_name(label: str, root: str) -> str:
     return f"{label}_{posixpath.basename(root).replace('-', '_')}"
 
 
+def _plain(path):
+    """A file's URI with one spelling of the scheme's slashes."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def _listed(spark, folder: str) -> DataFrame:
+    """``(file, size)`` of every data file below a folder, from its listing; no file is opened."""
+    return (spark.read.format("binaryFile").load(folder)
+            .select(_plain(F.col("path")).alias("file"), F.col("length").alias("size")))
+
+
+def _every_file_logged(spark, folder: str, ledger: DataFrame):
+    """Whether a ledger has every listed CSV file that holds rows, each with the rows that its lines make."""
+    lines = (spark.read.text(folder).groupBy(_plain(F.col("_metadata.file_path")).alias("file"))
+             .agg((F.count(F.lit(1)) - 1).alias("lines")))            # one is the header
+    logged = ledger.select(_plain(F.col("source_file_path")).alias("file"), F.col("rows").alias("logged"))
+    both = _listed(spark, folder).join(lines, "file", "left").join(logged, "file", "full_outer")
+    same = F.coalesce("lines", F.lit(0)) == F.coalesce("logged", F.lit(0))
+    return both.agg(F.bool_and(same & F.col("size").isNotNull())).scalar()
+
+
+def _sink(spark, root: str, schema: T.StructType, label: str, partition_by=()) -> tuple[str, str]:
+    """A declared table that loads write into, and its load log."""
+    table, log = _table_name(label, root), _table_name(f"{label}_log", root)
+    STT.declare_sink(spark, table, schema, partition_by=partition_by, location=posixpath.join(root, "table"))
+    STT.declare_sink(spark, log, STT.LOAD_LOG, location=posixpath.join(root, "log"))
+    return table, log
+
+
 # --- scans -------------------------------------------------------------------
 
 ORDERS_DECLARED = T.StructType([
@@ -127,9 +157,11 @@ def q_source_metadata(spark, sf):
     root = scratch_dir(spark, "metadata")
     path = _installments_parquet(spark, sf, root)
     df = FS.read_typed_parquet(spark, path, INSTALLMENT_PARQUET, metadata=True, size=True)
+    named = df.select(_plain(F.col("source_file_path")).alias("file"), F.col("source_file_size").alias("named_size")).distinct()
+    same = _listed(spark, path).join(named, "file", "full_outer").agg(
+        F.bool_and(F.coalesce(F.col("size") == F.col("named_size"), F.lit(False)))).scalar()
     return df.agg(F.count(F.lit(1)).alias("rows"),
-                  (F.count_distinct("source_file_path") > 0).alias("files_named"),
-                  (F.min("source_file_size") > 0).alias("sizes_positive"),
+                  same.alias("every_listed_file_named_with_its_size"),
                   F.count("source_file_modification_time").alias("rows_with_mtime"),
                   F.count("ingested_at").alias("rows_with_ingestion_time"))
 
@@ -161,29 +193,68 @@ def q_rescued(spark, sf):
 PAYMENT_PARTITION = T.StructType([T.StructField("event_date", T.DateType())])
 
 
+PAYMENT_SINK = T.StructType([*PAYMENT_DECLARED.fields, T.StructField("_rescued_data", T.StringType()),
+                             *PAYMENT_PARTITION.fields])
+
+
 @query("stream_payments")
 def q_stream_payments(spark, sf):
-    """Two deliveries of payment files drained by an availableNow stream; the
-    re-run in between must add nothing."""
+    """Two deliveries of payment files drained by an availableNow stream into a
+    declared table; the re-run in between must add nothing."""
     root = scratch_dir(spark, "stream-payments")
-    landing, sink, ckpt = (posixpath.join(root, x) for x in ("landing", "bronze", "checkpoint"))
+    landing, ckpt = (posixpath.join(root, x) for x in ("landing", "checkpoint"))
+    table, log = _sink(spark, root, PAYMENT_SINK, "payments", ["event_date"])
     lines = _payment_lines(spark, sf)
     cut = F.col("event_date") < F.lit(_dt.date(1998, 1, 1))
+
+    def load() -> int:
+        return STT.load_files(spark, "payments", landing, "json", PAYMENT_DECLARED, table, ckpt, rescue=True, log=log,
+                              partition_cols=PAYMENT_PARTITION, transform=lambda df: df.select(*PAYMENT_SINK.fieldNames()))["rows"]
+
     # few files per event_date folder (rebalance: AQE still splits a large date over several tasks)
     lines.where(cut).hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").text(landing)
-    n1 = ST.load_new_files(spark, landing, "json", PAYMENT_DECLARED, sink, ckpt,
-                           partition_cols=PAYMENT_PARTITION, rescue=True, query_name=None)
-    n2 = ST.load_new_files(spark, landing, "json", PAYMENT_DECLARED, sink, ckpt,
-                           partition_cols=PAYMENT_PARTITION, rescue=True)
+    n1, n2 = load(), load()
     lines.where(~cut).hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").text(landing)
-    n3 = ST.load_new_files(spark, landing, "json", PAYMENT_DECLARED, sink, ckpt,
-                           partition_cols=PAYMENT_PARTITION, rescue=True)
+    n3 = load()
     if n2 != 0:
         raise AssertionError(f"re-run loaded {n2} rows")
-    out = spark.read.parquet(sink)
-    if out.count() != n1 + n3:
-        raise AssertionError("sink rows differ from loaded rows")
-    return out.select(*[f.name for f in PAYMENT_DECLARED.fields], "_rescued_data", "event_date")
+    if spark.table(log).agg(F.sum("rows_added")).first()[0] != n1 + n3:
+        raise AssertionError("logged rows differ from loaded rows")
+    return spark.table(table).select(*PAYMENT_SINK.fieldNames())
+
+
+@query("load_batches")
+def q_load_batches(spark, sf):
+    """Contract files loaded in batches of one file; the first run is lost after a batch is written and before it is
+    committed. What the log says of each delivery, and what the table holds of it."""
+    root = scratch_dir(spark, "load-batches")
+    landing, ckpt = (posixpath.join(root, x) for x in ("contracts", "checkpoint"))
+    part = T.StructType([T.StructField("batch_date", T.DateType())])
+    table, log = _sink(spark, root, T.StructType([*S.CONTRACT_SOURCE.fields, *part.fields]), "contracts", ["batch_date"])
+    base = TD.contracts_base(spark, sf)
+    for day, df in ((BATCH_1, base), (BATCH_2, TD.contract_copies(base))):
+        FS.write_landing(df.select(*CONTRACT_CSV_COLS).repartition(3), posixpath.join(landing, f"batch_date={day}"), "csv")
+
+    def load(written=None):
+        return STT.load_files(spark, "contracts", landing, "csv", S.CONTRACT_SOURCE, table, ckpt, partition_cols=part, log=log,
+                              transform=lambda df: df.select(*CONTRACT_CSV_COLS, "batch_date"), max_files_per_trigger=1, written=written)
+
+    def lost(number: int) -> None:
+        if number == 2:
+            raise RuntimeError("lost before the commit")
+
+    try:
+        load(lost)
+    except Exception as e:  # noqa: BLE001  (the stream wraps it)
+        if "lost before the commit" not in str(e):
+            raise
+    else:
+        raise AssertionError("the run was not lost")
+    if load()["rows"] == 0 or load()["rows"] != 0:
+        raise AssertionError("the rest did not load, or loaded twice")
+    held = spark.table(table).groupBy("load_id", "batch_date").agg(F.count(F.lit(1)).alias("held"))
+    return (held.join(spark.table(log), "load_id", "full_outer").groupBy("batch_date")
+            .agg(F.sum("held").alias("rows_held"), F.sum("rows_added").alias("rows_logged"), F.count("load_id").alias("batches")))
 
 
 @query("inferred_stream_scan")
@@ -213,63 +284,70 @@ CONTRACT_CSV_COLS = [f.name for f in S.CONTRACT_SOURCE.fields]
 def q_incremental(spark, sf):
     """Contract CSV batches loaded at most once: run, re-run (0 rows), new batch, run."""
     root = scratch_dir(spark, "incremental")
-    landing, sink, ckpt = (posixpath.join(root, x) for x in ("contracts", "bronze", "checkpoint"))
-    base = TD.contracts_base(spark, sf)
+    landing, ckpt = (posixpath.join(root, x) for x in ("contracts", "checkpoint"))
     part = T.StructType([T.StructField("batch_date", T.DateType())])
-    FS.write_landing(base.select(*CONTRACT_CSV_COLS), posixpath.join(landing, f"batch_date={BATCH_1}"),
-                     "csv")
-    load = dict(partition_cols=part, strict=True)
-    n1 = ST.load_new_files(spark, landing, "csv", S.CONTRACT_SOURCE, sink, ckpt, **load)
-    n2 = ST.load_new_files(spark, landing, "csv", S.CONTRACT_SOURCE, sink, ckpt, **load)
-    FS.write_landing(TD.contract_copies(base).select(*CONTRACT_CSV_COLS),
-                     posixpath.join(landing, f"batch_date={BATCH_2}"), "csv", files=2)
-    n3 = ST.load_new_files(spark, landing, "csv", S.CONTRACT_SOURCE, sink, ckpt, **load)
+    table, log = _sink(spark, root, T.StructType([*S.CONTRACT_SOURCE.fields, *part.fields]), "contracts", ["batch_date"])
+    base = TD.contracts_base(spark, sf)
+
+    def load() -> int:
+        return STT.load_files(spark, "contracts", landing, "csv", S.CONTRACT_SOURCE, table, ckpt, partition_cols=part, log=log,
+                              transform=lambda df: df.select(*CONTRACT_CSV_COLS, "batch_date"))["rows"]
+
+    FS.write_landing(base.select(*CONTRACT_CSV_COLS), posixpath.join(landing, f"batch_date={BATCH_1}"), "csv")
+    n1, n2 = load(), load()
+    FS.write_landing(TD.contract_copies(base).select(*CONTRACT_CSV_COLS), posixpath.join(landing, f"batch_date={BATCH_2}"), "csv")
+    n3 = load()
     if n2 != 0:
         raise AssertionError(f"re-run loaded {n2} rows")
-    out = spark.read.parquet(sink)
-    if out.count() != n1 + n3:
-        raise AssertionError("sink rows differ from loaded rows")
-    return out.select(*CONTRACT_CSV_COLS, "batch_date")
+    if spark.table(log).agg(F.sum("rows_added")).first()[0] != n1 + n3:
+        raise AssertionError("logged rows differ from loaded rows")
+    return spark.table(table).select(*CONTRACT_CSV_COLS, "batch_date")
 
 
 @query("load_ledger")
 def q_load_ledger(spark, sf):
-    """Per delivery: files and rows loaded, from the bronze metadata columns."""
+    """Per delivery: rows loaded, from the bronze metadata columns, and whether every file of the landing folder is
+    in the ledger with all its rows."""
     root = scratch_dir(spark, "ledger")
-    landing, sink, ckpt = (posixpath.join(root, x) for x in ("contracts", "bronze", "checkpoint"))
+    landing, ckpt = (posixpath.join(root, x) for x in ("contracts", "checkpoint"))
     base = TD.contracts_base(spark, sf)
     part = T.StructType([T.StructField("batch_date", T.DateType())])
-    FS.write_landing(base.select(*CONTRACT_CSV_COLS), posixpath.join(landing, f"batch_date={BATCH_1}"),
-                     "csv")
-    FS.write_landing(TD.contract_copies(base).select(*CONTRACT_CSV_COLS),
-                     posixpath.join(landing, f"batch_date={BATCH_2}"), "csv", files=2)
-    ST.load_new_files(spark, landing, "csv", S.CONTRACT_SOURCE, sink, ckpt, partition_cols=part)
-    b = spark.read.parquet(sink)
-    per_file = TB.load_ledger(b).join(
-        b.select("source_file_path", "batch_date").distinct(), "source_file_path")
+    meta = ["source_file_path", "source_file_modification_time", "ingested_at"]
+    table, _ = _sink(spark, root, T.StructType([
+        *S.CONTRACT_SOURCE.fields, *[f for f in S.SOURCE_META_FIELDS if f.name in meta], *part.fields]), "contracts", ["batch_date"])
+    for day, df in ((BATCH_1, base), (BATCH_2, TD.contract_copies(base))):
+        FS.write_landing(df.select(*CONTRACT_CSV_COLS), posixpath.join(landing, f"batch_date={day}"), "csv")
+    STT.load_files(spark, "contracts", landing, "csv", S.CONTRACT_SOURCE, table, ckpt, partition_cols=part,
+                   transform=lambda df: df.select(*CONTRACT_CSV_COLS, *meta, "batch_date"))
+    b = spark.table(table)
+    ledger = TB.load_ledger(b)
+    per_file = ledger.join(b.select("source_file_path", "batch_date").distinct(), "source_file_path")
     return (per_file.groupBy("batch_date")
             .agg(F.sum("rows").alias("rows"),
-                 (F.count(F.lit(1)) > 0).alias("files_logged"),
-                 (F.min("first_ingested_at") <= F.max("last_ingested_at")).alias("ingestion_ordered")))
+                 (F.min("first_ingested_at") <= F.max("last_ingested_at")).alias("ingestion_ordered"))
+            .withColumn("every_file_logged", _every_file_logged(spark, landing, ledger)))
 
 
 @query("ingestion_audit")
 def q_ingestion_audit(spark, sf):
-    """Per dataset loaded incrementally: rows, source files, first/last ingestion
-    (a UNION ALL of per-dataset summaries over the bronze metadata columns)."""
+    """Per dataset loaded incrementally: rows, first/last ingestion, and whether every file of its landing folder
+    is there with all its rows (a UNION ALL of per-dataset summaries over the bronze metadata columns)."""
     root = scratch_dir(spark, "audit")
     parts = []
     for name, schema, df in (
             ("products_raw", S.PRODUCT_SOURCE, TD.products_raw(spark, sf)),
             ("contracts_raw", S.CONTRACT_SOURCE, TD.contracts_raw(spark, sf))):
-        landing = posixpath.join(root, name, "landing")
+        landing, own = posixpath.join(root, name, "landing"), posixpath.join(root, name)
         FS.write_landing(df.select(*schema.fieldNames()), landing, "csv")
-        sink = posixpath.join(root, name, "bronze")
-        ST.load_new_files(spark, landing, "csv", schema, sink, posixpath.join(root, name, "checkpoint"))
-        b = spark.read.parquet(sink)
+        whole = T.StructType([*schema.fields, *S.SOURCE_META_FIELDS])
+        table = _table_name(name, root)
+        STT.declare_sink(spark, table, whole, location=posixpath.join(own, "table"))
+        STT.load_files(spark, name, landing, "csv", schema, table, posixpath.join(own, "checkpoint"),
+                       transform=lambda rows, c=whole.fieldNames(): rows.select(*c))
+        b = spark.table(table)
         parts.append(b.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"),
-                           (F.count_distinct("source_file_path") > 0).alias("source_files_named"),
-                           (F.min("ingested_at") <= F.max("ingested_at")).alias("ingestion_recorded")))
+                           (F.min("ingested_at") <= F.max("ingested_at")).alias("ingestion_recorded"))
+                     .withColumn("every_file_logged", _every_file_logged(spark, landing, TB.load_ledger(b))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -524,19 +602,35 @@ def q_executive_view(spark, sf):
     return spark.table(view)
 
 
+def _orders_text(spark, sf, names: list[str]) -> DataFrame:
+    o, kinds = TD.table(spark, sf, "orders"), {f.name: f.dataType for f in ORDERS_DECLARED.fields}
+    return o.select(*[F.col(c).cast(kinds[c]).cast("string").alias(c) for c in names])
+
+
 @query("csv_by_name_load")
 def q_csv_by_name(spark, sf):
     """A delivery whose columns come in another order than declared loads by name."""
     root = scratch_dir(spark, "csv-by-name")
     landing, sink, ckpt = (posixpath.join(root, x) for x in ("orders", "bronze", "checkpoint"))
-    o = TD.table(spark, sf, "orders")
-    reordered = o.select(*[F.col(f.name).cast(f.dataType).cast("string").alias(f.name)
-                           for f in reversed(ORDERS_DECLARED.fields)])
-    FS.write_landing(reordered, landing, "csv")
+    FS.write_landing(_orders_text(spark, sf, ORDERS_DECLARED.fieldNames()[::-1]), landing, "csv")
     ST.load_new_files(spark, landing, "csv", ORDERS_DECLARED, sink, ckpt)
     return spark.read.parquet(sink).select(*ORDERS_DECLARED.fieldNames())
 
 
+@query("mixed_header_load")
+def q_mixed_headers(spark, sf):
+    """Files of three column orders in one folder, loaded at once, each by its own header."""
+    root = scratch_dir(spark, "mixed-headers")
+    landing, ckpt = posixpath.join(root, "orders"), posixpath.join(root, "checkpoint")
+    table, _ = _sink(spark, root, ORDERS_DECLARED, "orders")
+    names = ORDERS_DECLARED.fieldNames()
+    for n, order in enumerate((names, names[::-1], names[3:] + names[:3])):
+        rows = _orders_text(spark, sf, order).where(F.pmod(F.col("o_orderkey").cast("long"), F.lit(3)) == n)
+        FS.write_landing(rows, landing, "csv", mode="append")
+    STT.load_files(spark, "orders", landing, "csv", ORDERS_DECLARED, table, ckpt, transform=lambda df: df.select(*names))
+    return spark.table(table).select(*names)
+
+
 # --- scalar function families --------------------------------------------------------
 
 @query("scalar_strings")
