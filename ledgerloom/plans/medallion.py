@@ -6,7 +6,7 @@ payments, installments, gold, quality). Each step reads only tables written by
 earlier steps, so any step can be re-run on its own after a failure:
 
 * bronze loads are exactly-once streams (a re-run adds nothing),
-* snapshot loads replace one partition,
+* snapshot loads put one partition in place,
 * silver tables are synchronised by the hash-gated merge (re-run = all KEEP),
 * gold tables are rebuilt whole.
 """
@@ -29,6 +29,7 @@ from ledgerloom.operators import pricing as PR
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import reconcile as R
 from ledgerloom.operators.dedupe import duplicate_keys
+from ledgerloom.sinks import keyed as K
 from ledgerloom.sinks import tables as TB
 from ledgerloom.sources import files as FS
 from ledgerloom.sources import testdata as TD
@@ -49,7 +50,7 @@ class Lake:
     prefix: str = "ll"
     today: _dt.date | None = None       # contract-date rule; None = current_date()
     expectations: dict = field(default_factory=dict)
-    merge_buckets: int = 64             # silver tables are partitioned by a key bucket
+    bucket_rows: int = K.BUCKET_ROWS    # rows in a bucket of a silver table, about
 
     def t(self, layer: str, name: str) -> str:
         return f"{self.prefix}_{layer}.{name}"
@@ -158,23 +159,25 @@ def load_bronze_snapshots(spark: SparkSession, lake: Lake, snapshot: _dt.date) -
     cust_path = lake.path("landing", "customers", f"snapshot_date={snapshot}")
     cust = (FS.read_permissive_json(spark, cust_path, S.CUSTOMER_SOURCE)
             .withColumn("snapshot_date", F.lit(snapshot)))
-    m = cust.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("customer_id").alias("ids"),
-                 F.count("corrupt_record").alias("corrupt")).first()
-    if m["rows"] == 0 or m["rows"] != m["ids"] or m["corrupt"]:
-        raise AssertionError(f"customer snapshot gate: {m.asDict()}")
-    TB.replace_snapshot(cust, lake.t("bronze", "customers_raw"), "snapshot_date", snapshot)
+
+    def whole(rows: DataFrame, label: str, key: str, bad: F.Column) -> None:
+        m = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("ids"),
+                     F.count(F.when(bad, 1)).alias("bad")).first()
+        if m["rows"] == 0 or m["rows"] != m["ids"] or m["bad"]:
+            raise AssertionError(f"{label} snapshot gate: {m.asDict()}")
+
+    # the gates read the written slice, so that each source is evaluated once
+    n_cust = TB.replace_snapshot(cust, lake.t("bronze", "customers_raw"), "snapshot_date", snapshot,
+                                 lambda rows: whole(rows, "customer", "customer_id", F.col("corrupt_record").isNotNull()))
     inst_path = lake.path("landing", "installments", f"snapshot_date={snapshot}")
     inst = (FS.read_typed_parquet(spark, inst_path, S.INSTALLMENT_SOURCE, size=True)
             .withColumn("snapshot_date", F.lit(snapshot)))
-    m2 = inst.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("installment_id").alias("ids"),
-                  F.count(F.when(F.col("scheduled_amount") <= 0, 1)).alias("invalid")).first()
-    if m2["rows"] == 0 or m2["rows"] != m2["ids"] or m2["invalid"]:
-        raise AssertionError(f"installment snapshot gate: {m2.asDict()}")
-    TB.replace_snapshot(inst, lake.t("bronze", "installments_raw"), "snapshot_date", snapshot)
-    for name, rows in (("customers", m["rows"]), ("installments", m2["rows"])):
+    n_inst = TB.replace_snapshot(inst, lake.t("bronze", "installments_raw"), "snapshot_date", snapshot,
+                                 lambda rows: whole(rows, "installment", "installment_id", F.col("scheduled_amount") <= 0))
+    for name, rows in (("customers", n_cust), ("installments", n_inst)):
         label = f"{name} snapshot_date={snapshot}"
         ST.log_load(spark, lake.t("ops", "load_log"), f"{name}_raw", label, rows, f"{label} {uuid.uuid4().hex[:8]}")
-    return {"customers": m["rows"], "installments": m2["rows"]}
+    return {"customers": n_cust, "installments": n_inst}
 
 
 def load_bronze_payments(spark: SparkSession, lake: Lake) -> int:
@@ -198,18 +201,13 @@ def build_silver_dimensions(spark: SparkSession, lake: Lake) -> None:
                      .withColumn("silver_processed_at", F.current_timestamp()), lake.t("silver", "products"))
 
 
-MERGE_BUCKET = "_merge_bucket"
-
-
 def _sync(spark: SparkSession, lake: Lake, name: str, source: DataFrame, key: str) -> dict:
-    """Hash-gated merge into a silver table partitioned by key bucket: a run
+    """Hash-gated merge into a silver table, bucket by bucket: a run reads and
     rewrites only the buckets where something changed."""
     table = lake.t("silver", name)
-    schema = T.StructType(source.schema.fields + [T.StructField(MERGE_BUCKET, T.IntegerType())])
-    TB.ensure_table(spark, table, schema, f"silver {name}", {"data_layer": "silver"},
-                    partition_by=[MERGE_BUCKET], location=lake.path("tables", "silver", name))
-    return TB.apply_sync_merge(spark, table, source, key, bucket_col=MERGE_BUCKET,
-                               buckets=lake.merge_buckets)
+    K.declare_keyed(spark, table, source.schema, comment=f"silver {name}", props={"data_layer": "silver"},
+                    location=lake.path("tables", "silver", name))
+    return K.sync(spark, table, source, key, bucket_rows=lake.bucket_rows)
 
 
 def _stage(spark: SparkSession, lake: Lake, df: DataFrame, label: str) -> DataFrame:

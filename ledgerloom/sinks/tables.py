@@ -4,7 +4,7 @@ Tables are Parquet tables in the session catalog. Transactional features the
 product relies on are re-expressed with open-source Spark:
 
 * snapshot replacement (``replaceWhere``) -> table partitioned by the snapshot
-  column + dynamic partition overwrite of exactly that partition;
+  column; the new slice is written beside the table and its partition pointed at it;
 * ``MERGE`` -> :func:`ledgerloom.operators.merge.sync_merge_plan`, decided
   first on (key, hash) only; changed rows are staged next to the target (a
   table cannot be overwritten while it is read) and put in place -- the whole
@@ -18,7 +18,7 @@ from __future__ import annotations
 import contextlib
 import datetime as _dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators import merge as M
 from ledgerloom.session import scratch_dir
-from ledgerloom.sources.files import delete_folder
+from ledgerloom.sources.files import delete_folder, folder_names
 
 
 def _q(s: str) -> str:
@@ -144,30 +144,46 @@ def drop_partition(spark: SparkSession, table: str, column: str, value) -> None:
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
 
 
-def replace_snapshot(df: DataFrame, table: str, column: str, value) -> None:
-    """Atomically per partition replace the ``column = value`` slice; other slices stay.
+def replace_snapshot(df: DataFrame, table: str, column: str, value, gate: Callable[[DataFrame], None] | None = None) -> int:
+    """Replace the ``column = value`` slice, a partition, as a whole; other slices stay. Returns its rows.
 
-    The input is evaluated once, into a stage; the same write counts its rows
-    and those that do not carry ``value`` (pre-publish gate). The insert uses
-    dynamic partition overwrite (set on the session around the write: the
-    per-write option is ignored by ``insertInto``). An empty input drops the
-    partition and its files instead, since a dynamic overwrite with no rows
-    would keep the old slice.
+    The input is evaluated once: it is written beside the table, and the same
+    write counts its rows and those that do not carry ``value``. ``gate`` may
+    then look at the written slice and raise. Only after that is the partition
+    pointed at the new folder: a reader sees the old slice or the new one, and a
+    run that fails leaves the old one. The folder replaced stays until the next
+    replacement, for readers that are at it. An empty input drops the partition.
     """
     spark = df.sparkSession
     wrong = F.count(F.when(~F.col(column).eqNullSafe(F.lit(value)), 1))
-    seen, stage = Observation(), scratch_dir(spark, "snapshot-stage")
-    df.select(*spark.table(table).columns).observe(seen, F.count(F.lit(1)).alias("rows"), wrong.alias("wrong")).write.parquet(stage)
+    slices = f"{table_location(spark, table).rstrip('/')}__slices/{column}={value}"
+    new, seen = f"{slices}/{uuid.uuid4().hex[:12]}", Observation()
+    own = spark.table(table).drop(column).schema
     try:
+        (df.select(*own.fieldNames(), column).observe(seen, F.count(F.lit(1)).alias("rows"), wrong.alias("wrong"))
+         .drop(column).write.parquet(new))
         if seen.get["wrong"]:
             raise ValueError(f"rows outside {column} = {value!r}")
-        if not seen.get["rows"]:
-            drop_partition(spark, table, column, value)
-            return
-        with _conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            spark.read.parquet(stage).write.insertInto(table, overwrite=True)
-    finally:
-        delete_folder(spark, stage)
+        if gate is not None:
+            gate(spark.read.schema(own).parquet(new).withColumn(column, F.lit(value)))
+    except BaseException:
+        delete_folder(spark, new)
+        raise
+    if not seen.get["rows"]:
+        drop_partition(spark, table, column, value)
+        delete_folder(spark, slices)
+        return 0
+    spec, old = f"PARTITION ({column} = {_literal(value)})", None
+    if spark.sql(f"SHOW PARTITIONS {table} {spec}").isEmpty():
+        spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION {_q(new)}")
+    else:
+        old = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").where("col_name = 'Location'").first()["data_type"]
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {_q(new)}")
+    spark.catalog.refreshTable(table)
+    for name in folder_names(spark, slices):
+        if name not in (new.rsplit("/", 1)[1], (old or "").rstrip("/").rsplit("/", 1)[-1]):
+            delete_folder(spark, f"{slices}/{name}")
+    return int(seen.get["rows"])
 
 
 def append_table(df: DataFrame, table: str) -> None:

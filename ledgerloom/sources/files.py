@@ -213,6 +213,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, through the cluster's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def preview(spark: SparkSession, path: str, fmt: str, n: int = 10, **options) -> DataFrame:
     """First ``n`` rows of a file set (ad-hoc look at a landing folder; the limit is the point)."""
     return spark.read.format(fmt).options(**options).load(path).limit(n)

@@ -207,8 +207,10 @@ def reset_load(spark: SparkSession, name: str, table: str, checkpoint: str) -> N
     """Take a load's rows out of its table and forget its checkpoint, so that its next run loads every file again."""
     from ledgerloom.sources.files import delete_folder
 
-    mine = F.split(F.col("partition"), "/")[0].startswith(f"{LOAD_ID}={name}-")
-    for r in spark.sql(f"SHOW PARTITIONS {table}").where(mine).select(
-            F.split("partition", "/")[0].alias("p")).distinct().collect():
-        TB.drop_partition(spark, table, LOAD_ID, r.p.split("=", 1)[1])
+    first = F.split("partition", "/")[0]
+    mine = spark.sql(f"SHOW PARTITIONS {table}").select(first.alias("p")).where(F.col("p").startswith(f"{LOAD_ID}={name}-")).distinct()
+    location = TB.table_location(spark, table).rstrip("/")
+    for r in mine.collect():                  # one for each batch
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({LOAD_ID} = {TB._q(r.p.split('=', 1)[1])})")
+        delete_folder(spark, f"{location}/{r.p}")
     delete_folder(spark, checkpoint)

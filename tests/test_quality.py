@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -135,3 +136,23 @@ def test_error_frequencies(spark, dims):
     c = Q.classify_contracts(spark.createDataFrame(list(CASES.values()), CONTRACT_RAW), *dims, today=TODAY)
     freq = {r["error_code"]: r["occurrences"] for r in Q.error_frequencies(c).collect()}
     assert freq == {code: 1 for code in CASES}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="fixture tables not present")
+def test_expectations_do_not_ask_the_classification(spark, monkeypatch):
+    """A rule that rejects one sound contract fails the checks on valid and on rejected contracts."""
+    from ledgerloom.operators import checks as C
+    from ledgerloom.plans import queries_io as QI
+    from ledgerloom.plans.book import CreditBook
+
+    sf = "/root/testdata/sf0.001"
+    expected = QI.expected_counts(spark, sf)
+    victim = CreditBook(spark, sf).contracts.agg(F.min("contract_id")).first()[0]
+    rules = Q.contract_rules
+    monkeypatch.setattr(Q, "contract_rules", lambda today=None: [
+        *rules(today), Q.Rule("WRONG", "wrong", F.col("contract_id") == victim)])
+    book = CreditBook(spark, sf)
+    metrics = {"contracts": C.profile(book.contracts), "contracts_quarantine": C.profile(book.contracts_quarantine)}
+    checks = [c for c in QI.quality_checks(expected) if c.dataset in metrics]
+    failed = C.run_checks(spark, metrics, checks, *QI.RUN_1).where(~F.col("passed")).count()
+    assert len(checks) == 2 == failed

@@ -158,3 +158,38 @@ def test_an_emptied_snapshot_leaves_no_files(spark, tmp_root):
     assert spark.table(name).count() == 0 and not glob.glob(loc + "/d=*/*.parquet")
     with pytest.raises(ValueError):
         TB.replace_snapshot(rows, name, "d", dt.date(2000, 1, 2))
+
+
+def test_a_snapshot_is_swapped_whole(spark, tmp_root):
+    """A failed replacement leaves the old slice and no files; a reader of the slice replaced reads on."""
+    import os
+    name, loc = "swapped_" + posixpath.basename(tmp_root).replace("-", "_"), posixpath.join(tmp_root, "swapped")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("d", T.DateType())])
+    TB.ensure_table(spark, name, schema, partition_by=["d"], location=loc)
+    day = dt.date(2000, 1, 1)
+
+    def rows(*ks):
+        return spark.createDataFrame([(k, day) for k in ks], schema)
+
+    assert TB.replace_snapshot(rows(1, 2), name, "d", day) == 2
+    reader = spark.table(name).where(F.col("d") == day)
+    plan = reader._jdf.queryExecution().executedPlan()       # files are listed
+    calls = []
+    broken = rows(3).select(F.when(F.col("k") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("k")).cast("int").alias("k"), "d")
+    with pytest.raises(Exception):
+        TB.replace_snapshot(broken, name, "d", day)
+
+    def gate(written):
+        calls.append(sorted(r.k for r in written.collect()))
+        raise AssertionError("gate")
+
+    with pytest.raises(AssertionError):
+        TB.replace_snapshot(rows(4), name, "d", day, gate)
+    assert calls == [[4]] and sorted(r.k for r in spark.table(name).collect()) == [1, 2]
+    slices = f"{loc}__slices/d=2000-01-01"
+    assert len(os.listdir(slices)) == 1
+    TB.replace_snapshot(rows(5, 6, 7), name, "d", day)
+    assert plan is not None and sorted(r.k for r in reader.collect()) == [1, 2]        # the plan made before
+    assert sorted(r.k for r in spark.table(name).collect()) == [5, 6, 7]
+    TB.replace_snapshot(rows(8), name, "d", day)
+    assert len(os.listdir(slices)) == 2 and [r.k for r in spark.table(name).collect()] == [8]
