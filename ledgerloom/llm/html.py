@@ -11,7 +11,11 @@
    the host's template.
 3. What lies between template tokens are slots. Texts that the template repeats
    on every page, and slots whose elements are menus, headers, footers,
-   sidebars, notices, adverts, forms or comments, are not content. The main
+   sidebars, notices, adverts, forms or comments, are not content. An element's
+   class, id or role is evidence of that, not a verdict: it does not count on
+   the page's own html, body, article and main elements, on an element that
+   holds most of the articles' text, or, where it is weak (a listed word beside
+   others), on one that holds most of its article or page. The main
    slots are those in the template's article or main elements; a host without
    them has as main slots the others that hold text and not mostly links. A
    container that the template does not know (an optional list, a rare layout)
@@ -46,6 +50,7 @@ MIN_PAGES = 3           # pages a class must occur on
 MIN_SHARE = 0.05        # and their least share of the host's pages
 SAME_SHARE = 0.5        # of a host's article text that may be template text
 LINK_SHARE = 0.5        # of a slot's text that may be links, where no element marks the article
+HOLDS = 0.5             # of the articles' (or the page's) text: an element with so much is not set aside by its names
 BROADCAST_ROWS = 50_000
 
 # Elements and names by their role in HTML.
@@ -55,12 +60,18 @@ CONTAINERS = {"html", "body", "main", "article", "section", "div", "nav", "heade
 BLOCKS = CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "caption", "blockquote",
                        "pre", "figcaption", "address", "summary", "hr", "tbody", "thead", "tfoot", "hgroup"}
 MAIN = {"article", "main"}
-ASIDE = {"nav", "footer", "aside", "form", "dialog", "menu"}
+ASIDE = {"nav", "footer", "aside", "dialog", "menu"}
 ASIDE_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "banner", "cookie", "cookies",
                "consent", "notice", "alert", "popup", "modal", "overlay", "comment", "comments", "disqus", "replies", "sidebar",
                "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "share",
                "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login",
                "search", "toolbar", "pagination", "pager", "widget", "skip"}
+COMMENT_NAMES = {"comment", "comments", "disqus", "replies"}
+# words beside a listed one that leave its meaning, and words that say the state of something else
+NEUTRAL_NAMES = {"area", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "group", "icon", "icons",
+                 "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "page", "panel", "post", "posts",
+                 "primary", "respond", "right", "secondary", "section", "site", "text", "thread", "top", "wrap", "wrapper"}
+STATE_NAMES = {"has", "with", "no", "is", "not", "js", "open", "closed", "enabled", "disabled"}
 ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "alert", "dialog"}
 HEADERS = {"header"}    # a page's own header; inside an article it holds the headline
 
@@ -76,12 +87,18 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _marks(name: str, rest: str) -> tuple[str, bool]:
-    """An element's signature (its name with its classes and id, without digits), and whether they set it aside."""
+def _marks(name: str, rest: str) -> tuple[str, int, bool]:
+    """An element's signature (its name with its classes and id, without digits), how strongly they set it aside (2, 1
+    or 0), and whether they name comments."""
     said = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(rest)} if "=" in rest else {}
-    names = [x for k in ("class", "id") for x in NAME.findall(said.get(k, ""))]
-    aside = name in ASIDE or said.get("role") in ASIDE_ROLES or any(x in ASIDE_NAMES for x in names)
-    return ".".join([name, *names]), aside or "hidden" in rest.lower().split()
+    names, level = [], 2 * (said.get("role") in ASIDE_ROLES or "hidden" in rest.lower().split())
+    for token in (t for k in ("class", "id") for t in said.get(k, "").split()):
+        words = NAME.findall(token)
+        names += words
+        listed = [w for w in words if w in ASIDE_NAMES]
+        if listed and not any(w in STATE_NAMES for w in words):
+            level = max(level, 2 if all(w in ASIDE_NAMES or w in NEUTRAL_NAMES for w in words) else 1)
+    return ".".join([name, *names]), max(level, int(name == "form")), any(x in COMMENT_NAMES for x in names)
 
 
 def blocks(html: str):
@@ -90,12 +107,59 @@ def blocks(html: str):
     Kind 0 is a container that opens; kind 1 a block of text with ``link`` of its characters in links.
     A path is one number, made from the parent's path and the element's signature.
     """
-    from html import unescape
+    elements, items = [("", 0, 0, "", 0, False)], []       # name, parent, path, signature, level, comments
+    for kind, at, name, rest, text, link in _parsed(html):
+        if kind == 0:
+            signature, level, comments = _marks(name, rest)
+            elements.append((name, at, _path(signature, elements[at][2]), signature, level, comments))
+            items.append((0, len(elements) - 1, "", 0))
+        else:
+            items.append((1, at, text, link))
+
+    # text below each element, and of it what lies in the outermost articles
+    chars, article = [0] * len(elements), [0] * len(elements)
+    for kind, at, text, _ in items:
+        chars[at] += len(text)
+    outer = [0] * len(elements)                 # the outermost article or main element that an element lies in, or is
+    barred = [False] * len(elements)            # set aside by its tag
+    for i, (name, up, *_) in enumerate(elements[1:], 1):
+        outer[i] = outer[up] or (i if name in MAIN else 0)
+        barred[i] = barred[up] or name in ASIDE or (name in HEADERS and not outer[i])
+    for i in range(len(elements) - 1, 0, -1):
+        if outer[i] == i and not barred[i]:
+            article[i] = chars[i]
+        up = elements[i][1]
+        chars[up] += chars[i]
+        article[up] += article[i]
+    aside = list(barred)
+    for i, (name, up, _, _, level, comments) in enumerate(elements[1:], 1):
+        if level and name not in MAIN and name not in ("html", "body"):
+            if outer[i]:
+                whole = level == 1 and chars[i] >= HOLDS * chars[outer[i]]
+            elif article[0]:
+                whole = not comments and article[i] > 0 and article[i] >= HOLDS * article[0]
+            else:
+                whole = level == 1 and chars[i] >= HOLDS * chars[0]
+            aside[i] = aside[i] or not whole
+        aside[i] = aside[i] or aside[up]
+    for kind, at, text, link in items:
+        _, up, path, *_ = elements[at]
+        yield (kind, path, elements[up][2] if kind == 0 else path, bool(outer[at]), aside[at], text, link)
 
+
+def _path(signature: str, parent: int) -> int:
     import xxhash
 
-    # name, path, inside the article, set aside
-    stack, text, at, link, linked = [("", 0, False, False)], [], 0, 0, False
+    return xxhash.xxh64_intdigest(signature, parent) >> 1
+
+
+def _parsed(html: str):
+    """Yields ``(0, parent, name, attributes, "", 0)`` for a container that opens and ``(1, container, "", "", text, link)``
+    for a block of text; containers are numbered as they open, from 1, and 0 is the page."""
+    from html import unescape
+
+    # name and number of the open containers
+    stack, opened, text, at, link, linked = [("", 0)], 0, [], 0, 0, False
     lost: set[str] = set()
     last = html.rfind(">")
 
@@ -103,8 +167,7 @@ def blocks(html: str):
         nonlocal text, link
         said = " ".join(unescape("".join(text)).split())
         linked_chars, text, link = link, [], 0
-        _, path, main, aside = stack[-1]
-        return (1, path, path, main, aside, said, min(linked_chars, len(said))) if said else None
+        return (1, stack[-1][1], "", "", said, min(linked_chars, len(said))) if said else None
 
     def said(piece):
         nonlocal link
@@ -162,13 +225,9 @@ def blocks(html: str):
                 del stack[k:]
                 linked = False
         elif not rest.endswith("/"):
-            _, parent, main, aside = stack[-1]
-            signature, set_aside = _marks(name, rest)
-            main = main or name in MAIN
-            aside = aside or set_aside or (name in HEADERS and not main)
-            path = xxhash.xxh64_intdigest(signature, parent) >> 1
-            stack.append((name, path, main, aside))
-            yield 0, path, parent, main, aside, "", 0
+            yield 0, stack[-1][1], name, rest, "", 0
+            opened += 1
+            stack.append((name, opened))
     if (b := block()):
         yield b
 

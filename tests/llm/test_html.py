@@ -93,6 +93,65 @@ def test_optional_containers_without_marks(spark):
     assert got(pages(spark, rows)) == want
 
 
+def test_names_are_evidence_not_a_verdict(spark):
+    """Listed words on elements that hold the article, on the article itself, and in compounds inside it."""
+    r = random.Random(6)
+    one, two, other = words(r, 30), words(r, 25), words(r, 6)
+    rest = f"<p>{one}</p><p>{two}</p>"
+    made = [
+        f"<body class='has-sidebar'><article>{rest}</article></body>",
+        f"<html class='js cookie-consent'><body><article>{rest}</article></body></html>",
+        f"<body class='single comments-open'><div class='sidebar'>{other}</div><main>{rest}</main></body>",
+        f"<article class='post notice-2021'>{rest}</article>",
+        f"<form id=aspnet><div class=ad>{other}</div><article>{rest}</article></form>",
+        f"<article><section class='alert-system'>{rest}</section></article>",
+        f"<div class='widget page'><nav>{other}</nav><article>{rest}</article></div>",
+        f"<body><form id=all>{rest}</form><div class='footer'>{other}</div></body>",
+        f"<article>{rest}</article><aside><article>{other}</article></aside>",
+        f"<article>{rest}</article><div class='related-posts'><article>{other}</article></div>",
+        f"<article>{rest}<section class='comments-area'><article>{other * 40}</article></section></article>",
+        f"<article>{rest}</article><div class='comments'><article>{other * 40}</article></div>",
+        f"<article>{rest}<div class='notice extra-word'>{other}</div></article>",
+    ]
+    rows = [(i, f"http://h{i}.example.com/", page) for i, page in enumerate(made)]
+    assert got(pages(spark, rows)) == {i: f"{one}\n\n{two}" for i in range(len(made))}
+
+
+def brute_same(rows):
+    """For each host the texts that every page with an article holds in its article, if they are half of it at most."""
+    out = {}
+    for host in {html.host_of(u) for _, u, _ in rows}:
+        own = []
+        for _, u, page in rows:
+            if html.host_of(u) == host:
+                read = [b for b in html.blocks(page) if b[0] == 1 and not b[4] and b[3]]
+                if read:
+                    own.append({(b[1], b[5]): sum(len(x[5]) for x in read if (x[1], x[5]) == (b[1], b[5])) for b in read})
+        same = set.intersection(*map(set, own)) if len(own) >= html.MIN_PAGES else set()
+        if sum(n for page in own for k, n in page.items() if k in same) <= html.SAME_SHARE * sum(n for page in own for n in page.values()):
+            out[host] = same
+    return out
+
+
+def test_article_templates_against_brute_force(spark):
+    """Notices that some, all but one, or all pages of a host hold, hosts of 1 to 12 pages."""
+    r = random.Random(8)
+    rows = []
+    for host in range(12):
+        notes = [words(r, r.choice([3, 40])) for _ in range(3)]
+        for i in range(host + 1):
+            held = [n for k, n in enumerate(notes) if k == 0 or (k == 1 and i) or (k == 2 and r.random() < 0.5)]
+            rows.append((100 * host + i, f"http://b{host}.example.com/", "<article>" + "".join(
+                f"<div class=q>{n}</div>" for n in held) + f"<p>{words(r, r.choice([5, 60]))}</p></article>"))
+    same = brute_same(rows)
+    want = {}
+    for i, u, page in rows:
+        drop = same.get(html.host_of(u), set())
+        want[i] = "\n\n".join(b[5] for b in html.blocks(page) if b[0] == 1 and (b[1], b[5]) not in drop)
+    assert got(pages(spark, rows)) == want
+    assert sum(bool(x) for x in same.values()) > 4
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None), (2, "", ""), (3, "http://a/", "   "), (4, "http://a/", "plain < text & more &lt;b&gt; &amp"),
             (5, "http://a/", "<article>a<p>b<div>c</article>"), (6, "http://a/", "<p>" + "long " * 50_000), (7, "x", "<" * 20_000),
