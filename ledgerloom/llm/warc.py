@@ -259,8 +259,15 @@ def _keyed(columns: str):
     return run
 
 
-def lookup(wanted: DataFrame, directory: DataFrame, warc_folder: str, index_folder: str) -> DataFrame:
-    """Records of the captures with the ``(url, page_id)`` of ``wanted``: one row for each capture."""
+TASK_BYTES = 32 << 20      # of compressed records that one task reads back, about
+
+
+def lookup(wanted: DataFrame, directory: DataFrame, warc_folder: str, index_folder: str, tasks: int | None = None) -> DataFrame:
+    """Records of the captures with the ``(url, page_id)`` of ``wanted``: one row for each capture.
+
+    The keys of an index file are dealt over as many groups as give ``tasks`` in all (by default the parallelism of
+    the session): what is shuffled is keys, what a task costs is the records that it reads.
+    """
     from bisect import bisect_right
 
     # one row for each index file: as many as the index was written in partitions
@@ -284,7 +291,13 @@ def lookup(wanted: DataFrame, directory: DataFrame, warc_folder: str, index_fold
     routed = keys.mapInArrow(route, "key string, page_id long, index_file string")
     # ids as text: pandas would turn them into floats beside nulls
     routed, directory = (x.withColumn("page_id", F.col("page_id").cast("string")) for x in (routed, directory))
-    return routed.groupBy("index_file").cogroup(directory.groupBy("index_file")).applyInPandas(
+    tasks = tasks or wanted.sparkSession.sparkContext.defaultParallelism
+    slices = max(1, -(-tasks // max(1, len(firsts))))
+    by = ["index_file", "slice"]
+    # a number of partitions of its own, since the keys' bytes say nothing of the work
+    routed = routed.withColumn("slice", F.pmod(F.xxhash64("key", "page_id"), F.lit(slices)).cast("int")).repartition(tasks, *by)
+    directory = directory.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).repartition(tasks, *by)
+    return routed.groupBy(*by).cogroup(directory.groupBy(*by)).applyInPandas(
         _found(warc_folder, index_folder), "page_id long, url string, payload_bytes long, payload_digest string, "
         "record_type string, refers_to long")
 
@@ -294,4 +307,6 @@ def archive_and_read(spark: SparkSession, pages: DataFrame) -> DataFrame:
     folder = scratch_dir(spark, "warc")
     captures = write(pages, f"{folder}/archive")
     directory = index(captures, f"{folder}/index")
-    return lookup(pages, directory, f"{folder}/archive", f"{folder}/index")
+    stored = captures.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-stored // TASK_BYTES))
+    return lookup(pages, directory, f"{folder}/archive", f"{folder}/index", tasks)
