@@ -10,7 +10,7 @@
    confidence in a kind is the share of its distinct instances known to be of
    that kind, and its support is their number. Patterns of high confidence and
    support pass the kind on to their other instances of fitting shape, which
-   raises further patterns in the next of ``ROUNDS`` rounds.
+   raises further patterns in the next round, until a round adds none.
 4. Candidates behind a confident pattern are reported as spans of that kind.
 
 Every repeated pattern is quantified possessively and starts only at the
@@ -19,7 +19,10 @@ cover all documents; a very frequent pattern is aggregated before the shuffle.
 
 Defined cases: null text is empty and has no spans; rows equal in ``doc_id`` and
 text get equal results and count once in the graph; a candidate that two kinds
-claim is reported under each; an empty table gives no rows. Extra columns are
+claim is reported under each, and one that two patterns of a kind claim is
+reported once; words further than ``CONTEXT`` characters before an entity are not
+its pattern, and a word that begins there counts whole or not at all; a text of
+any length is scanned whole; an empty table gives no rows. Extra columns are
 ignored.
 """
 
@@ -42,7 +45,6 @@ PATTERNS = {
     "candidate": rf"(?:(?<!{TOKEN})|\G){PLAIN}*+[0-9@]{TOKEN}*+",
 }
 CONTEXT = 48              # characters before an entity in which its pattern is looked for
-ROUNDS = 3
 CONFIDENCE = 0.8
 SUPPORT = 5               # distinct known instances that a pattern needs
 #: What a discovered instance must look like, by kind.
@@ -112,10 +114,13 @@ def _entities(docs: DataFrame) -> DataFrame:
     placed = found.select("doc_id", "th", "kind", "match", "before", upto.alias("end"))
     placed = placed.withColumn("start", F.col("end") - F.length("match")).where(_valid())
     # a candidate overlaps a base span if one that starts no later ends after its start, or one starts inside it
-    order = Window.partitionBy("doc_id", "th").orderBy("start", "end")
     base = F.col("kind") != "candidate"
-    reach = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    whose = Window.partitionBy("doc_id", "th")
+    before = whose.orderBy("start", "end", base.desc()).rowsBetween(Window.unboundedPreceding, -1)
+    # the rows after, as those before in the mirrored order: a frame that only grows is not computed anew for each row
+    after = whose.orderBy(F.desc("start"), F.desc("end"), base.asc()).rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max(F.when(base, F.col("end"))).over(before)
+    ahead = F.min(F.when(base, F.col("start"))).over(after)
     return placed.select("*", reach.alias("reach"), ahead.alias("ahead")).where(
         base | ((F.coalesce("reach", F.lit(0)) <= F.col("start")) & (F.coalesce("ahead", F.col("end")) >= F.col("end")))
     ).drop("reach", "ahead")
@@ -124,6 +129,9 @@ def _entities(docs: DataFrame) -> DataFrame:
 def _edges(entities: DataFrame) -> DataFrame:
     """``(doc_id, th, kind, start, end, match, pattern)``: an entity with each pattern of the words before it."""
     said = F.regexp_extract_all(F.lower("before"), F.lit(r"\S+"), F.lit(0))
+    # the first word of a full context may begin before it: a label is whole or none
+    cut = (F.length("before") >= CONTEXT) & ~F.col("before").rlike(r"^\s")
+    said = F.when(cut, F.slice(said, 2, CONTEXT)).otherwise(said)
     last = F.slice(said, -2, 2)
     one = F.when(F.size(said) >= 1, F.element_at(said, -1))
     two = F.when(F.size(said) >= 2, F.array_join(last, " "))
@@ -140,17 +148,20 @@ def _discover(entities: DataFrame) -> DataFrame:
                                      shapes.alias("shapes")), "pii-graph")
     sizes = graph.groupBy("pattern").agg(F.count_distinct("x").alias("all"))
     seeds = graph.where("known IS NOT NULL").select("pattern", "x", F.col("known").alias("kind"))
-    known = seeds
-    for _ in range(ROUNDS):
+    known, found = seeds, -1
+    while True:
         good = (known.groupBy("pattern", "kind").agg(F.count_distinct("x").alias("n")).where(F.col("n") >= SUPPORT)
                 .join(sizes, "pattern").where(F.col("n") >= CONFIDENCE * F.col("all")).select("pattern", "kind"))
         good = materialize(good, "pii-patterns")
+        # what is known only grows, and with it the patterns: done when a round adds none
+        before, found = found, good.count()
+        if found == before:
+            return good
         # instances that a confident pattern vouches for are known under all their patterns
         new = (graph.where("known IS NULL").join(good, "pattern")
                .where(F.expr("array_contains(shapes, kind)")).select("x", "kind").distinct())
         known = materialize(seeds.unionByName(
             graph.where("known IS NULL").select("pattern", "x").join(new, "x").select("pattern", "x", "kind")), "pii-known")
-    return good
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

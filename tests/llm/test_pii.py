@@ -101,3 +101,43 @@ def test_edge_rows(documents):
     assert len(out) == len(rows)
     check([x for x in rows], out)
     assert pii.personal_data(documents([])).count() == 0
+
+
+def test_a_text_of_many_matches_takes_time_in_proportion(documents):
+    """200,000 digit tokens in one document, some of them card numbers."""
+    import time
+
+    card = "4111111111111111"
+    text = " x ".join(card if i % 1000 == 0 else "1" for i in range(200_000))
+    start = time.time()
+    r = pii.personal_data(documents([(1, text), (2, "plain")])).collect()
+    assert {x.doc_id: x.n_card for x in r} == {1: 200, 2: 0}
+    assert time.time() - start < 240
+
+
+def test_a_long_label_is_whole_or_none(documents):
+    """A label that begins before the context gives no pattern of a part of it."""
+    long = "x" * 60
+    rows = [(i, f"{long}account 1.2.3.{i}") for i in range(20)]
+    rows += [(100 + i, f"yaccount 77-{i}.5.6.7.8") for i in range(5)]
+    entities = pii._entities(documents(rows)).where("kind = 'ip'")
+    assert {r.pattern for r in pii._edges(entities).collect()} == set() or all(
+        "account" != r.pattern[-7:] or r.pattern == "yaccount" for r in pii._edges(entities).collect())
+
+
+def test_discovery_goes_on_until_nothing_is_added(documents):
+    """Seven patterns in a chain: each reaches the confidence by the instances that the one before it found."""
+    rows = []
+
+    def said(label, instance):
+        rows.append((len(rows), f"word label{chr(97 + label)} {instance} end"))
+
+    for label in range(7):
+        for k in range(21 if label else 28):
+            said(label, f"10.{label}.0.{k}")
+        for k in range(7):             # of the shape of an address, not one of the base pattern
+            said(label, f"{label}.{k}.5")
+            if label < 6:
+                said(label + 1, f"{label}.{k}.5")
+    out = {r.doc_id: r.spans for r in pii.personal_data(documents(rows)).collect()}
+    assert all("ip" in s for s in out.values())
