@@ -33,6 +33,23 @@ def profile(df: DataFrame, key: str | None = None, null_cols: Sequence[str] = ()
     return df.agg(*aggs)
 
 
+def key_bitmaps(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., bucket, keys)``: which integer keys occur, a bitmap for each run of 32,768 of them.
+
+    For keys that lie densely, as ids do: a run takes 4 KB whatever number of rows hold it, and each task makes its
+    bitmaps before anything is shuffled. Bitmaps of parts of a table, say of its snapshots, can be kept and merged.
+    """
+    at = F.col(key).cast("long")
+    rows = df.where(F.col(key).isNotNull()).select(*by, F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+    return rows.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("bit").alias("keys"))
+
+
+def count_keys(bitmaps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., distinct_keys)``: how many keys occur, exactly, in the union of bitmaps of :func:`key_bitmaps`."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("keys").alias("keys"))
+    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("keys")).alias("distinct_keys"))
+
+
 def bronze_metrics(products_raw: DataFrame, contracts_raw: DataFrame) -> DataFrame:
     """Post-load gate metrics of the batch bronze tables (one row)."""
     dup_ids = (contracts_raw.groupBy("contract_id").count().where(F.col("count") > 1)

@@ -230,7 +230,8 @@ def build_silver_contracts(spark: SparkSession, lake: Lake) -> dict:
 
 def build_silver_payments(spark: SparkSession, lake: Lake) -> dict:
     classified = _stage(spark, lake, Q.classify_payments(
-        spark.table(lake.t("bronze", "payments_raw")), spark.table(lake.t("bronze", "installments_raw"))),
+        spark.table(lake.t("bronze", "payments_raw")),
+        TB.newest_slice(spark, lake.t("bronze", "installments_raw"), "snapshot_date")),
         "payments_classified")
     return {"valid": _sync(spark, lake, "payments", Q.payments_valid(classified, processed_at=True),
                            "payment_id"),
@@ -240,7 +241,7 @@ def build_silver_payments(spark: SparkSession, lake: Lake) -> dict:
 
 def build_silver_installments(spark: SparkSession, lake: Lake) -> dict:
     raw = spark.table(lake.t("bronze", "installments_raw"))
-    as_of = R.as_of_date(raw)
+    as_of = TB.newest_partition(spark, lake.t("bronze", "installments_raw"), "snapshot_date")
     rec = R.reconcile_installments(R.latest_installments(raw).drop("snapshot_date"),
                                    spark.table(lake.t("silver", "contracts")),
                                    spark.table(lake.t("silver", "payments")), as_of, processed_at=True)

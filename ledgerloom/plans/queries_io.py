@@ -389,6 +389,29 @@ def q_latest_slice(spark, sf):
     return latest_snapshot_slice(hist).select(*INSTALLMENT_TABLE.fieldNames())
 
 
+@query("newest_table_slice")
+def q_newest_slice(spark, sf):
+    """The newest snapshot of a table, found in the catalog's list of partitions."""
+    root = scratch_dir(spark, "newest")
+    name = _table_name("installments_hist", root)
+    TB.ensure_table(spark, name, INSTALLMENT_TABLE, partition_by=["snapshot_date"], location=posixpath.join(root, "table"))
+    hist = TD.installment_history(spark, sf).select(*INSTALLMENT_TABLE.fieldNames())
+    for day in (TD.AS_OF, TD.PREVIOUS_SNAPSHOT):
+        TB.replace_snapshot(hist.where(F.col("snapshot_date") == F.lit(day)), name, "snapshot_date", day)
+    return TB.newest_slice(spark, name, "snapshot_date")
+
+
+@query("distinct_keys_by_bitmap")
+def q_bitmaps(spark, sf):
+    """Contracts with an instalment due in each year, exactly, and in all years, from the bitmaps of the years."""
+    rows = TD.installments_raw(spark, sf).select("contract_id", F.year("due_date").alias("due_year"))
+    root = scratch_dir(spark, "bitmaps")
+    C.key_bitmaps(rows, "contract_id", ["due_year"]).write.parquet(root)
+    kept = spark.read.parquet(root)
+    each, whole = C.count_keys(kept, ["due_year"]), C.count_keys(kept)
+    return each.unionByName(whole.select(F.lit(None).cast("int").alias("due_year"), "distinct_keys"))
+
+
 @query("snapshot_row_counts")
 def q_snapshot_counts(spark, sf):
     hist = TD.installment_history(spark, sf)

@@ -133,6 +133,22 @@ def _literal(value) -> str:
     return str(value)
 
 
+def newest_partition(spark: SparkSession, table: str, column: str):
+    """The greatest value of a table's first partition column, from the catalog's list of partitions; None without any.
+
+    No file is opened. Loads drop the partition of an empty slice, so that each has rows.
+    """
+    kind = spark.table(table).schema[column].dataType
+    named = spark.sql(f"SHOW PARTITIONS {table}").select(
+        F.regexp_extract("partition", f"(?:^|/){column}=([^/]*)", 1).alias("v")).where("v <> '__HIVE_DEFAULT_PARTITION__'")
+    return named.agg(F.max(F.col("v").cast(kind))).first()[0]
+
+
+def newest_slice(spark: SparkSession, table: str, column: str) -> DataFrame:
+    """The rows of a table's newest partition; the other partitions are not planned."""
+    return spark.table(table).where(F.col(column) == F.lit(newest_partition(spark, table, column)))
+
+
 def drop_partition(spark: SparkSession, table: str, column: str, value) -> None:
     """Remove a partition and its files (tables with a LOCATION keep files otherwise)."""
     spec = f"PARTITION ({column} = {_literal(value)})"

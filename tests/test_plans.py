@@ -78,3 +78,34 @@ def test_lookups_carry_no_broadcast_hint(spark):
     from ledgerloom.plans.joins import lookup_join
     joined = lookup_join(spark.range(10), spark.range(5), "id")
     assert "broadcast" not in joined._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_newest_slice_needs_no_scan_to_find(spark, tmp_root):
+    """The newest snapshot comes from the list of partitions, and the slice's plan names it."""
+    from ledgerloom.sinks import tables as TB
+    name, loc = "newest_" + os.path.basename(tmp_root).replace("-", "_"), os.path.join(tmp_root, "t")
+    schema = "id bigint, snapshot_date date"
+    TB.ensure_table(spark, name, spark.createDataFrame([], schema).schema, partition_by=["snapshot_date"], location=loc)
+    assert TB.newest_partition(spark, name, "snapshot_date") is None and TB.newest_slice(spark, name, "snapshot_date").isEmpty()
+    for day in (dt.date(1999, 12, 31), dt.date(2000, 1, 31), dt.date(2000, 1, 1)):
+        TB.replace_snapshot(spark.createDataFrame([(day.day, day)], schema), name, "snapshot_date", day)
+    p = plan(TB.newest_slice(spark, name, "snapshot_date"))
+    assert "snapshot_date" in p and "= 2000-01-31" in p and "Subquery" not in p and "Exchange" not in p
+    assert [r.id for r in TB.newest_slice(spark, name, "snapshot_date").collect()] == [31]
+    found = plan(spark.sql(f"SHOW PARTITIONS {name}"))
+    assert "Scan parquet" not in found and "FileScan" not in found
+
+
+def test_exact_distinct_counts_shuffle_bitmaps(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators import checks as C
+    rows = spark.range(50_000).selectExpr("(id * 7919) % 40001 - 20000 AS k", "id % 3 AS part").union(
+        spark.createDataFrame([(None, 0)], "k long, part long"))
+    maps = C.key_bitmaps(rows, "k", ["part"])
+    want = {r.part: r.n for r in rows.groupBy("part").agg(F.count_distinct("k").alias("n")).collect()}
+    assert {r.part: r.distinct_keys for r in C.count_keys(maps, ["part"]).collect()} == want
+    assert C.count_keys(maps).first()[0] == rows.agg(F.count_distinct("k")).first()[0]
+    lines = [ln.strip().lstrip("+-: ") for ln in plan(maps).splitlines()]
+    exchange = next(i for i, ln in enumerate(lines) if "Exchange" in ln)
+    assert "partial_bitmap_construct_agg" in "".join(lines[exchange + 1:exchange + 4])     # bitmaps before the shuffle
