@@ -30,6 +30,7 @@ from ledgerloom.sinks import keyed as K
 from ledgerloom.sinks import tables as TB
 from ledgerloom.sources import files as FS
 from ledgerloom.sources import testdata as TD
+from ledgerloom.streaming import growing as SG
 from ledgerloom.streaming import ingest as ST
 from ledgerloom.streaming import tables as STT
 
@@ -278,6 +279,44 @@ def q_inferred_stream(spark, sf):
                                            "event_day")
 
 
+@query("inferred_schema_grows")
+def q_inferred_grows(spark, sf):
+    """``events`` as JSON in two deliveries, the later ones with a field more: the first load infers the table, the
+    second adds the column from its own files, a third finds nothing to read."""
+    root = scratch_dir(spark, "inferred-grows")
+    landing, ckpt, table = posixpath.join(root, "landing"), posixpath.join(root, "checkpoint"), _table_name("events", root)
+    part = T.StructType([T.StructField("event_day", T.DateType())])
+    SG.declare_growing(spark, table, T.StructType([]), part, location=posixpath.join(root, "table"))
+    fields = ["event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "user_id", "event_type", "value"]
+    ev, late = TD.table(spark, sf, "events"), F.col("ts") >= F.lit(_dt.datetime(2024, 1, 16))
+    for rows, more in ((ev.where(~late), []), (ev.where(late), ["props"])):
+        rows.select(F.to_json(F.struct(*fields, *more)).alias("value"), F.to_date("ts").alias("event_day")).hint(
+            "rebalance", "event_day").write.mode("append").partitionBy("event_day").text(landing)
+        if not SG.load_growing(spark, "events", landing, table, ckpt, infer=True, partition_cols=part)["rows"]:
+            raise AssertionError("a delivery was not loaded")
+    if SG.load_growing(spark, "events", landing, table, ckpt, infer=True, partition_cols=part)["batches"]:
+        raise AssertionError("old files were read again")
+    return spark.table(table).select("event_id", "ts", "user_id", "event_type", "value", "props", "_rescued_data", "event_day")
+
+
+@query("rescued_field_promoted")
+def q_promoted(spark, sf):
+    """Payment lines with an undeclared field: rescued in the first delivery, then made a column and filled in, and
+    parsed as such in the second."""
+    root = scratch_dir(spark, "promoted")
+    landing, ckpt, table = posixpath.join(root, "landing"), posixpath.join(root, "checkpoint"), _table_name("payments_grow", root)
+    SG.declare_growing(spark, table, PAYMENT_DECLARED, PAYMENT_PARTITION, location=posixpath.join(root, "table"))
+    lines = _payment_lines(spark, sf)
+    cut = F.col("event_date") < F.lit(_dt.date(1996, 1, 1))
+    for n, rows in enumerate((lines.where(cut), lines.where(~cut))):
+        rows.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").text(landing)
+        SG.load_growing(spark, "payments", landing, table, ckpt, partition_cols=PAYMENT_PARTITION)
+        if n == 0:
+            kinds = {r.field: r.type for r in SG.rescued_fields(spark.table(table)).collect()}
+            SG.promote(spark, table, "channel", kinds["channel"])
+    return spark.table(table).select("payment_id", "installment_id", "amount_paid", "event_type", "channel", "_rescued_data")
+
+
 CONTRACT_CSV_COLS = [f.name for f in S.CONTRACT_SOURCE.fields]
 
 
