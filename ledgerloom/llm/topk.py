@@ -37,6 +37,20 @@ GROUP = 4              # vector blocks that meet a query block in one cell of th
 TILE = 512             # queries scored at once
 
 
+def _packed(a) -> bytes:
+    """A block's components in two, four or eight bytes each, the fewest that hold them; eight are floats."""
+    import numpy as np
+
+    top = np.abs(a).max(initial=0)
+    return a.astype("<i2" if top < 1 << 15 else "<i4" if top < 1 << 31 else "<f8").tobytes()
+
+
+def _unpacked(raw: bytes, dims: int, rows: int):
+    import numpy as np
+
+    return np.frombuffer(raw, {2: "<i2", 4: "<i4", 8: "<f8"}[len(raw) // max(1, dims * rows)]).reshape(-1, dims).astype(np.float64)
+
+
 def _blocks(dims: int, block: int):
     """Vectors of a partition as blocks: ids and components in one row."""
     def run(batches):
@@ -54,7 +68,7 @@ def _blocks(dims: int, block: int):
                     out[i, :len(v)] = np.floor(64 * v.astype(np.float64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([(part << 32) + k], pa.int64()), pa.array([chunk.column(0).to_pylist()], pa.list_(pa.int64())),
-                     pa.array([out.tobytes()], pa.binary())], ["block", "ids", "values"])
+                     pa.array([_packed(out)], pa.binary())], ["block", "ids", "values"])
                 k += 1
 
     return run
@@ -63,13 +77,12 @@ def _blocks(dims: int, block: int):
 def _queries(dims: int, every: int):
     """The query rows of vector blocks, with the place of each row."""
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         for b in batches:
-            rows = [(block, i, x, v[i].tobytes())
+            rows = [(block, i, x, _packed(v[i]))
                     for block, ids, raw in zip(*(c.to_pylist() for c in b.columns))
-                    for v in [np.frombuffer(raw).reshape(-1, dims)]
+                    for v in [_unpacked(raw, dims, len(ids))]
                     for i, x in enumerate(ids) if x % every == 0]
             cols = list(zip(*rows)) or [[]] * 4
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -101,9 +114,9 @@ def _tiles(dims: int, slices: int):
         for i in range(batch.num_rows):
             row = {n: batch.column(j)[i] for j, n in enumerate(batch.schema.names)}
             block, vec_ids = row["block"].as_py(), np.array(row["ids"].as_py(), np.int64)
-            v = np.frombuffer(row["values"].as_py()).reshape(-1, dims)
+            v = _unpacked(row["values"].as_py(), dims, len(vec_ids))
             places, own, ids = row["places"].as_py(), row["own"].as_py(), row["query_ids"].as_py()
-            q = np.frombuffer(b"".join(row["queries"].as_py())).reshape(-1, dims)
+            q = np.concatenate([_unpacked(x, dims, 1) for x in row["queries"].as_py()])
             cut = row["cutoffs"].as_py() if "cutoffs" in row else None
             for a in range(0, len(q), TILE):
                 rows = slice(a, a + TILE)
