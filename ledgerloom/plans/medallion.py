@@ -201,13 +201,19 @@ def build_silver_dimensions(spark: SparkSession, lake: Lake) -> None:
                      .withColumn("silver_processed_at", F.current_timestamp()), lake.t("silver", "products"))
 
 
+def _kept_facts(name: str) -> dict:
+    """Facts of a silver table that the merge keeps, for the gates and checks."""
+    return {"installments": lambda: {"negative_balances": F.count(F.when(F.col("outstanding_amount") < 0, 1)),
+                                     "scheduled_amount": F.sum("scheduled_amount")}}.get(name, dict)()
+
+
 def _sync(spark: SparkSession, lake: Lake, name: str, source: DataFrame, key: str) -> dict:
     """Hash-gated merge into a silver table, bucket by bucket: a run reads and
     rewrites only the buckets where something changed."""
     table = lake.t("silver", name)
     K.declare_keyed(spark, table, source.schema, comment=f"silver {name}", props={"data_layer": "silver"},
                     location=lake.path("tables", "silver", name))
-    return K.sync(spark, table, source, key, bucket_rows=lake.bucket_rows)
+    return K.sync(spark, table, source, key, bucket_rows=lake.bucket_rows, kept=_kept_facts(name))
 
 
 def _stage(spark: SparkSession, lake: Lake, df: DataFrame, label: str) -> DataFrame:
@@ -276,18 +282,17 @@ def run_quality(spark: SparkSession, lake: Lake, run_id: str | None = None,
     t = lambda layer, name: spark.table(lake.t(layer, name))
     e = lake.expectations
     fact = t("gold", "fact_credit_portfolio")
+    silver = K.facts(spark, lake.t("silver", "installments"), "negative_balances", "scheduled_amount")
     metrics = {
         "products_raw": C.profile(t("bronze", "products_raw")),
         "customers_raw": C.profile(t("bronze", "customers_raw"), key="customer_id"),
         "contracts_raw": C.profile(t("bronze", "contracts_raw")),
-        "contracts": C.profile(t("silver", "contracts")),
-        "contracts_quarantine": C.profile(t("silver", "contracts_quarantine")),
-        "payments_quarantine": C.profile(t("silver", "payments_quarantine")),
-        "payments": C.profile(t("silver", "payments"), key="payment_id"),
-        "installments": R.installment_metrics(t("silver", "installments")),
-        "fact_credit_portfolio": C.profile(fact, key="contract_id").select(
-            "duplicate_rows", P.reconciliation_delta(t("silver", "installments"), fact)
-            .select("reconciliation_delta").scalar().alias("reconciliation_delta")),
+        # of silver tables, what the merges kept
+        **{n: K.facts(spark, lake.t("silver", n)) for n in ("contracts", "contracts_quarantine", "payments", "payments_quarantine")},
+        "installments": silver.select(F.col("negative_balances").cast("bigint").alias("negative_balances")),
+        "fact_credit_portfolio": C.profile(fact, key="contract_id", extra={"gold": F.sum("contractual_amount")}).select(
+            "duplicate_rows", F.abs(silver.select("scheduled_amount").scalar() - F.coalesce("gold", F.lit(0))).cast("decimal(22,2)")
+            .alias("reconciliation_delta")),
         "dim_customer": t("gold", "dim_customer").agg(
             F.lit(C.pii_exposure(t("gold", "dim_customer"))).alias("pii_columns")),
     }
@@ -354,26 +359,28 @@ def _gate_bronze_payments(spark: SparkSession, lake: Lake) -> None:
                                    "rescued": e.get("payments_rescued")})
 
 
-def _gate_unique(spark: SparkSession, lake: Lake, step: str, layer: str, table: str, key: str, rows=None) -> None:
-    r = spark.table(lake.t(layer, table)).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("ids")).first()
-    _gate(step, r, {"ids": r["rows"], "rows": rows})
+def _gate_keys(spark: SparkSession, lake: Lake, table: str, rows=None, *zero: str) -> None:
+    """A silver table's rows have keys of their own, its rows are as many as expected, and each fact in ``zero`` is 0."""
+    r = K.facts(spark, lake.t("silver", table), *zero).first()
+    _gate(f"silver {table}", r, {"distinct_keys": r["rows"], "rows": rows, **dict.fromkeys(zero, 0)})
 
 
 def _gate_contracts(spark: SparkSession, lake: Lake) -> None:
-    _gate_unique(spark, lake, "silver contracts", "silver", "contracts", "contract_id", lake.expectations.get("contracts_valid"))
+    _gate_keys(spark, lake, "contracts", lake.expectations.get("contracts_valid"))
 
 
 def _gate_payments(spark: SparkSession, lake: Lake) -> None:
-    _gate_unique(spark, lake, "silver payments", "silver", "payments", "payment_id")
+    _gate_keys(spark, lake, "payments")
 
 
 def _gate_installments(spark: SparkSession, lake: Lake) -> None:
-    i = R.installment_metrics(spark.table(lake.t("silver", "installments"))).first()
-    _gate("silver installments", i, {"distinct_ids": i["rows"], "negative_balances": 0})
+    _gate_keys(spark, lake, "installments", None, "negative_balances")
 
 
 def _gate_gold(spark: SparkSession, lake: Lake) -> None:
-    _gate_unique(spark, lake, "gold", "gold", "fact_credit_portfolio", "contract_id")
+    r = spark.table(lake.t("gold", "fact_credit_portfolio")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("contract_id").alias("ids")).first()
+    _gate("gold", r, {"ids": r["rows"]})
 
 
 GATES = [_gate_bronze, _gate_bronze_payments, _gate_contracts, _gate_payments, _gate_installments, _gate_gold]

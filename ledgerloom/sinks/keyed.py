@@ -18,6 +18,10 @@ summaries agree is neither read nor written; only the others are merged
   the next merge before anything else. Readers see the old or the new rows of a
   bucket, and the files replaced by a merge stay until the next one.
 
+* *Facts.* Counts and sums that checks ask of the whole table are kept in the
+  summary, for each bucket, and added up from there (:func:`facts`): a gate after
+  a merge does not read the table.
+
 Null keys never match (each run replaces those rows), a null hash on either side
 keeps the target's row, and several source rows for one target row are an error.
 """
@@ -27,7 +31,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +45,8 @@ BUCKET_ROWS = 4_000_000
 SPAN = 65_536
 SUMMARY = T.StructType([
     T.StructField(BUCKET, T.IntegerType()), T.StructField("rows", T.LongType()), T.StructField("nulls", T.LongType()),
-    T.StructField("xor", T.LongType()), T.StructField("total", T.DecimalType(38, 0)), T.StructField("folder", T.StringType())])
+    T.StructField("xor", T.LongType()), T.StructField("total", T.DecimalType(38, 0)), T.StructField("folder", T.StringType()),
+    T.StructField("keys", T.LongType()), T.StructField("facts", T.MapType(T.StringType(), T.DecimalType(38, 2)))])
 
 
 def declare_keyed(spark: SparkSession, table: str, schema: T.StructType, **kw) -> None:
@@ -70,11 +75,18 @@ def _slot(df: DataFrame, key: str, span: int):
     return F.xxhash64(F.expr(f"`{key}` div {span}") if whole else F.col(key))
 
 
-def _summed(rows: DataFrame, key: str, hash_col: str) -> DataFrame:
+def _kept(key: str, kept: dict[str, Column]) -> list[Column]:
+    """The distinct keys and the facts of a bucket."""
+    each = [x for name, value in sorted(kept.items()) for x in (F.lit(name), F.coalesce(value, F.lit(0)).cast("decimal(38,2)"))]
+    none = F.lit(None).cast("map<string,decimal(38,2)>")
+    return [F.count_distinct(key).alias("keys"), (F.create_map(*each) if each else none).alias("facts")]
+
+
+def _summed(rows: DataFrame, key: str, hash_col: str, *more: Column) -> DataFrame:
     return rows.groupBy(BUCKET).agg(
         F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col(key).isNull(), 1)).alias("nulls"),
         F.bit_xor(F.xxhash64(key, hash_col)).alias("xor"),
-        F.sum(F.xxhash64(F.lit(1), hash_col, key).cast("decimal(20,0)")).cast("decimal(38,0)").alias("total"))
+        F.sum(F.xxhash64(F.lit(1), hash_col, key).cast("decimal(20,0)")).cast("decimal(38,0)").alias("total"), *more)
 
 
 def summary(spark: SparkSession, table: str) -> tuple[DataFrame, int]:
@@ -123,12 +135,22 @@ def _discard_replaced(spark: SparkSession, table: str) -> None:
 
 
 def sync(spark: SparkSession, table: str, source: DataFrame, key: str, hash_col: str = "record_hash",
-         span: int = SPAN, bucket_rows: int = BUCKET_ROWS) -> dict[str, int]:
+         span: int = SPAN, bucket_rows: int = BUCKET_ROWS, kept: dict[str, Column] | None = None) -> dict[str, int]:
     """Synchronise ``table`` with ``source``: rows for each action, and how many ``buckets`` there are and how many
-    were ``read`` and ``written``."""
+    were ``read`` and ``written``. ``kept``: counts or sums over the table's rows to keep for :func:`facts`; a merge
+    with others than the one before adds those up from the table, once."""
     _publish(spark, table)
     _discard_replaced(spark, table)
+    kept = kept or {}
     old, had = summary(spark, table)
+    names = old.where("rows > 0").select(F.map_keys("facts")).first()
+    if names is not None and sorted(names[0] or []) != sorted(kept):
+        again = spark.table(table).groupBy(BUCKET).agg(*_kept(key, kept))
+        old = old.drop("keys", "facts").join(again, BUCKET, "left").select(*SUMMARY.fieldNames())
+        record = f"{TB.table_location(spark, table).rstrip('/')}__summaries/{uuid.uuid4().hex[:12]}"
+        old.coalesce(1).write.parquet(record)
+        TB.set_table_properties(spark, table, props={"merge.summary": record})
+        old = spark.read.schema(SUMMARY).parquet(record)
     columns = [c for c in spark.table(table).columns if c != BUCKET]
     root, version = TB.table_location(spark, table).rstrip("/"), uuid.uuid4().hex[:12]
     stage, seen = scratch_dir(spark, "merge-source"), Observation()
@@ -147,8 +169,8 @@ def sync(spark: SparkSession, table: str, source: DataFrame, key: str, hash_col:
         again = staged.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         changed = {r[0] for r in differ.union(again.select(BUCKET)).distinct().collect()} | split | set(range(had, buckets))
         read = sorted(b for b in changed if b < had)
-        kept = old.where(~F.col(BUCKET).isin(sorted(changed))).agg(F.sum("rows")).first()[0] or 0
-        counts = {M.INSERT: 0, M.UPDATE: 0, M.DELETE: 0, M.KEEP: int(kept), "buckets": buckets, "read": len(read), "written": 0}
+        same = old.where(~F.col(BUCKET).isin(sorted(changed))).agg(F.sum("rows")).first()[0] or 0
+        counts = {M.INSERT: 0, M.UPDATE: 0, M.DELETE: 0, M.KEEP: int(same), "buckets": buckets, "read": len(read), "written": 0}
         if not changed:
             return counts
 
@@ -173,12 +195,13 @@ def sync(spark: SparkSession, table: str, source: DataFrame, key: str, hash_col:
         state = M.merged_state(merged.where(F.col(BUCKET).isin(sorted(write))))
         # rebalance: rows of a bucket go to few tasks (few files); AQE still splits a large bucket
         state.select(*columns, BUCKET).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
-        new = spark.read.schema(T.StructType([*spark.table(table).select(key, hash_col).schema.fields,
+        new = spark.read.schema(T.StructType([*spark.table(table).select(*columns).schema.fields,
                                               T.StructField(BUCKET, T.IntegerType())])).parquet(folder)
-        new = _summed(new, key, hash_col).withColumn("folder", F.concat(F.lit(f"{folder}/{BUCKET}="), F.col(BUCKET).cast("string")))
+        new = _summed(new, key, hash_col, *_kept(key, kept)).withColumn("folder", F.concat(F.lit(f"{folder}/{BUCKET}="), F.col(BUCKET).cast("string")))
         emptied = spark.createDataFrame([(b,) for b in sorted(write)], f"{BUCKET} int").join(new, BUCKET, "left_anti").select(
             BUCKET, F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("nulls"), F.lit(None).cast("long").alias("xor"),
-            F.lit(None).cast("decimal(38,0)").alias("total"), F.lit(None).cast("string").alias("folder"))
+            F.lit(None).cast("decimal(38,0)").alias("total"), F.lit(None).cast("string").alias("folder"),
+            F.lit(0).cast("long").alias("keys"), F.lit(None).cast("map<string,decimal(38,2)>").alias("facts"))
         names = SUMMARY.fieldNames()
         whole = old.where(~F.col(BUCKET).isin(sorted(write))).select(*names).unionByName(new.select(*names)).unionByName(emptied)
         record = f"{root}__summaries/{version}"
@@ -191,6 +214,15 @@ def sync(spark: SparkSession, table: str, source: DataFrame, key: str, hash_col:
         delete_folder(spark, stage)
 
 
+def facts(spark: SparkSession, table: str, *names: str) -> DataFrame:
+    """``rows``, ``distinct_keys``, ``duplicate_rows`` and the facts named, of the whole table, from its summary (one row)."""
+    _publish(spark, table)
+    held = summary(spark, table)[0]
+    total = [F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in ("rows", "keys")]
+    return held.agg(total[0].alias("rows"), total[1].alias("distinct_keys"), (total[0] - total[1]).alias("duplicate_rows"),
+                    *[F.coalesce(F.sum(F.col("facts")[n]), F.lit(0)).cast("decimal(38,2)").alias(n) for n in names])
+
+
 def files_of(spark: SparkSession, table: str, buckets: Sequence[int] | None = None) -> set[str]:
     """The data files of a table, or of some of its buckets."""
     rows = spark.table(table)

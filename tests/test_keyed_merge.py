@@ -3,6 +3,7 @@ import posixpath
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators import merge as M
@@ -123,3 +124,38 @@ def test_a_lost_run_leaves_the_old_rows_or_is_completed(spark, table, monkeypatc
     else:      # the next merge completes it first
         assert actions(run(spark, table, second)) == (0, 0, 0, 700)
     assert rows_of(spark, table) == sorted(second, key=str)
+
+
+def test_facts_are_those_of_the_table_and_do_not_read_it(spark, table):
+    kept = {"a_rows": F.count(F.when(F.col("v") == "a", 1)), "k_sum": F.sum("k")}
+    r, rows = random.Random(5), {}
+
+    def check(**more):
+        counts = run(spark, table, list(rows.values()), bucket_rows=30, **more)
+        got = K.facts(spark, table, *(["a_rows", "k_sum"] if more else [])).first().asDict()
+        want = {"rows": len(rows), "distinct_keys": len(rows), "duplicate_rows": 0}
+        if more:
+            want |= {"a_rows": sum(v == "a" for _, v, _ in rows.values()), "k_sum": sum(rows)}
+        assert got == want
+        return counts
+
+    for step in range(3):
+        for k in r.sample(range(300), 120):
+            v = r.choice("abc")
+            rows[k] = (k, v, v)
+        for k in r.sample(sorted(rows), 10):
+            del rows[k]
+        check(kept=kept)
+    check()                 # without facts, and with them again: added up from the table once
+    assert check(kept=kept)["read"] == 0
+    rows.clear()
+    check(kept=kept)
+    files = K.facts(spark, table, "k_sum").inputFiles()
+    assert files and all("__summaries" in f for f in files)
+    run(spark, table, [(1, "a", "a"), (None, "b", "b"), (2, "c", "c")])
+    assert K.facts(spark, table).first()[:] == (3, 2, 1)
+
+
+def test_repeated_keys_show_in_the_facts(spark, table):
+    run(spark, table, [(1, "a", "a"), (1, "b", "b"), (2, "c", "c")])
+    assert K.facts(spark, table).first()[:] == (3, 2, 1)
