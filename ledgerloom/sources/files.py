@@ -7,7 +7,9 @@ or build one, and only use column expressions afterwards.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,12 +76,65 @@ CSV_STRICT = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
 CSV_LENIENT = {"header": "true", "enforceSchema": "false"}
 
 
+def header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The column names in the first line of a CSV file, through the cluster's file system; () for an empty file."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(conf).open(file)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return tuple(next(csv.reader([line.lstrip("﻿")]), ())) if line else ()
+
+
+def read_by_header(spark: SparkSession, root: str, files: list[str], schema: T.StructType,
+                   partition_cols: T.StructType | None = None, strict: bool = True, rescued: str | None = "_rescued_data",
+                   metadata: bool = True) -> DataFrame | None:
+    """CSV files below ``root``, by column name: a reader for each order of the columns, and their union.
+
+    Only the first line of each file is looked at here. Partition columns are found in the folders; ``partition_cols``
+    gives their types. None where no file has a line.
+    """
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(lambda f: header(spark, f), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, names in zip(files, headers):
+        if names:
+            groups.setdefault(names, []).append(file)
+    declared = schema.fieldNames()
+    for names, held in groups.items():
+        if sorted(names) != sorted(declared):
+            raise ValueError(f"{held[0]}: missing columns {sorted(set(declared) - set(names))}, "
+                             f"unknown columns {sorted(set(names) - set(declared))}")
+    parts = list(partition_cols.fields) if partition_cols else []
+    out = None
+    for names, held in sorted(groups.items()):
+        columns = T.StructType([T.StructField(c, T.StringType()) for c in names] + parts)
+        raw = spark.read.schema(columns).options(**(CSV_STRICT if strict else CSV_LENIENT)).option("basePath", root).csv(held)
+        keep = [c for c in raw.columns if c not in declared]
+        meta = _meta_cols(size=True) if metadata else []
+        raw = raw.select("*", *meta)
+        rows = cast_declared(raw, schema, strict=strict, rescued=rescued, keep=[*keep, *raw.columns[len(declared) + len(keep):]])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, strict: bool = True,
-                   rescued: str | None = "_rescued_data", metadata: bool = True) -> DataFrame:
+                   rescued: str | None = "_rescued_data", metadata: bool = True, mixed: bool = False) -> DataFrame:
     """CSV with header, read as text by column name and cast to ``schema``.
 
-    Partition directories below ``path`` (``batch_date=...``) are discovered.
+    Partition directories below ``path`` (``batch_date=...``) are discovered. One header stands for all files, which
+    are checked against it; with ``mixed`` every file is read by its own (the listing and the headers reach the driver).
     """
+    if mixed:
+        files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").orderBy("path").collect()]
+        found = read_by_header(spark, path, files, schema, strict=strict, rescued=rescued, metadata=metadata)
+        if found is None:
+            raise ValueError(f"{path}: no file has a header")
+        return found.drop("source_file_size")
     columns = csv_columns(spark, path, schema)
     raw = spark.read.schema(columns).options(**(CSV_STRICT if strict else CSV_LENIENT)).csv(path)
     parts = [c for c in raw.columns if c not in schema.fieldNames()]

@@ -19,11 +19,9 @@ a name stands for one folder and one checkpoint.
 
 from __future__ import annotations
 
-import csv
 import datetime as _dt
 import threading
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from ledgerloom.sinks import tables as TB
-from ledgerloom.sources.files import CSV_LENIENT, CSV_STRICT, _meta_cols, cast_declared
+from ledgerloom.sources.files import read_by_header
 from ledgerloom.streaming.ingest import DEFAULT_OPTIONS, file_stream
 
 LOAD_ID = "load_id"
@@ -134,49 +132,6 @@ def drain_into(df: DataFrame, name: str, table: str, checkpoint: str,
     return {"rows": sum(counts.values()), "batches": counts, "history": reports}
 
 
-def header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The column names in the first line of a CSV file, through the cluster's file system; () for an empty file."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    file = jvm.org.apache.hadoop.fs.Path(path)
-    stream = file.getFileSystem(conf).open(file)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
-    try:
-        line = reader.readLine()
-    finally:
-        reader.close()
-    return tuple(next(csv.reader([line.lstrip("﻿")]), ())) if line else ()
-
-
-def read_by_header(spark: SparkSession, root: str, files: list[str], schema: T.StructType,
-                   partition_cols: T.StructType | None = None, strict: bool = True) -> DataFrame | None:
-    """CSV files below ``root``, by column name: a reader for each order of the columns, and their union.
-
-    Only the first line of each file is looked at here. None where no file has a line.
-    """
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(lambda f: header(spark, f), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, names in zip(files, headers):
-        if names:
-            groups.setdefault(names, []).append(file)
-    declared = schema.fieldNames()
-    for names, held in groups.items():
-        if sorted(names) != sorted(declared):
-            raise ValueError(f"{held[0]}: missing columns {sorted(set(declared) - set(names))}, "
-                             f"unknown columns {sorted(set(names) - set(declared))}")
-    parts = list(partition_cols.fields) if partition_cols else []
-    keep = [f.name for f in parts] + ["source_file_path", "source_file_name", "source_file_size",
-                                      "source_file_modification_time", "ingested_at"]
-    out = None
-    for names, held in sorted(groups.items()):
-        columns = T.StructType([T.StructField(c, T.StringType()) for c in names] + parts)
-        raw = spark.read.schema(columns).options(**(CSV_STRICT if strict else CSV_LENIENT)).option("basePath", root).csv(held)
-        rows = cast_declared(raw.select("*", *_meta_cols(size=True)), schema, strict=strict, keep=keep)
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 def load_files(spark: SparkSession, name: str, path: str, fmt: str, schema: T.StructType, table: str, checkpoint: str,
                partition_cols: T.StructType | None = None, rescue: bool = False, strict: bool = True,
                transform: Callable[[DataFrame], DataFrame] | None = None, log: str | None = None,

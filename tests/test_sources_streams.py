@@ -39,6 +39,23 @@ def test_csv_unexpected_column_is_an_error(spark, tmp_root):
         FS.read_typed_csv(spark, p, SCHEMA).collect()
 
 
+def test_csv_files_of_different_column_orders(spark, tmp_root):
+    root = posixpath.join(tmp_root, "csv3")
+    write(posixpath.join(root, "batch_date=2000-01-01"), "a.csv", "id,amt,d,note\n1,1.00,2000-01-01,z\n")
+    write(posixpath.join(root, "batch_date=2000-01-02"), "b.csv", "note,d,amt,id\ny,2000-01-02,oops,2\n")
+    one = FS.read_typed_csv(spark, root, SCHEMA, strict=False, mixed=True)
+    rows = {r["id"]: r for r in one.collect()}
+    assert rows[1]["amt"] == Decimal("1.00") and rows[1]["batch_date"] == dt.date(2000, 1, 1)
+    assert (rows[2]["note"], rows[2]["amt"], rows[2]["_rescued_data"], rows[2]["source_file_name"]) == ("y", None, '{"amt":"oops"}', "b.csv")
+    same = FS.read_typed_csv(spark, posixpath.join(root, "batch_date=2000-01-01"), SCHEMA, strict=False)
+    assert set(one.columns) == {*same.columns, "batch_date"}
+    with pytest.raises(Exception):
+        FS.read_typed_csv(spark, root, SCHEMA, strict=True, mixed=True).collect()
+    write(posixpath.join(root, "batch_date=2000-01-03"), "c.csv", "id,amt,d,other\n1,1.00,2000-01-01,z\n")
+    with pytest.raises(ValueError):
+        FS.read_typed_csv(spark, root, SCHEMA, mixed=True)
+
+
 def test_permissive_json_keeps_corrupt_lines(spark, tmp_root):
     p = posixpath.join(tmp_root, "json")
     write(p, "a.json", '{"id": 1, "amt": 2.5, "d": "2000-01-01"}\n{"id": 2, "amt": \nnot json\n')
