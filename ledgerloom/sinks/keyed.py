@@ -164,7 +164,7 @@ def sync(spark: SparkSession, table: str, source: DataFrame, key: str, hash_col:
         # buckets whose summaries differ, or that hold null keys or repeated keys
         sums = _summed(staged, key, hash_col)
         differ = sums.alias("s").join(old.alias("o"), BUCKET, "full_outer").where(
-            "s.rows IS DISTINCT FROM o.rows OR s.xor IS DISTINCT FROM o.xor OR s.total IS DISTINCT FROM o.total"
+            "coalesce(s.rows, 0) <> coalesce(o.rows, 0) OR s.xor IS DISTINCT FROM o.xor OR s.total IS DISTINCT FROM o.total"
             " OR s.nulls > 0 OR o.nulls > 0").select(BUCKET)
         again = staged.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         changed = {r[0] for r in differ.union(again.select(BUCKET)).distinct().collect()} | split | set(range(had, buckets))

@@ -159,3 +159,10 @@ def test_facts_are_those_of_the_table_and_do_not_read_it(spark, table):
 def test_repeated_keys_show_in_the_facts(spark, table):
     run(spark, table, [(1, "a", "a"), (1, "b", "b"), (2, "c", "c")])
     assert K.facts(spark, table).first()[:] == (3, 2, 1)
+
+
+def test_empty_buckets_are_not_read_again(spark, table):
+    rows = [(i, "a", "a") for i in range(40)]          # three runs of keys, eight buckets
+    assert run(spark, table, rows, bucket_rows=5)["buckets"] == 8
+    again = run(spark, table, rows, bucket_rows=5)
+    assert again["read"] == again["written"] == 0 and actions(again) == (0, 0, 0, 40)
