@@ -1,4 +1,4 @@
-"""Fuzzy line deduplication by MinHash, in DataFrame operations only.
+"""Fuzzy line deduplication by MinHash.
 
 A line is a piece of text between line feeds, compared after trimming and
 lower-casing. Its signature covers its character shingles, the five characters
@@ -10,12 +10,15 @@ distributed star contraction, and of each component one line stays: the first
 one in the document with the smallest ``doc_id``. Two lines of similarity 0.8
 are candidates with a probability of 0.93, of 0.85 with 0.977, of 0.9 with 0.996.
 
-Candidates are not all pairs of a band's group. Each member is first compared
+No candidate is left out, but not all pairs of a band's group become rows. Each member is first compared
 with the group's ``CENTRES`` smallest members; after the components of those
-links are known, only pairs that are still in different components are compared.
+links are known, all other members of the groups that are still apart are compared with each
+other, in pairs of blocks inside a row: first their sketches, then the lines of those that are
+candidates of a line in another component. Candidates that links have joined already are skipped.
 Members of a large group meet their centres in ``SPLIT`` rows at a time, and
 what else a group must know (its size, whether it is still apart) is broadcast
-for the large groups, of which there are few.
+for the large groups, of which there are few. Pairs of blocks are compared by numpy and Python
+sets inside the tasks, all else in DataFrame operations.
 
 Defined cases: null text is empty; blank lines are never duplicates and always
 stay; rows that share a ``doc_id`` count as one document when a line's owner is
@@ -34,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import components, join_by_frequency, materialize
+from ledgerloom.llm.common import components, join_by_frequency, materialize, ship
 
 SHINGLE = 5
 BLANK = " \t\r\x0b\x0c"
@@ -43,7 +46,8 @@ HASHES = 20
 BANDS = [(0, 3, 5, 7, 19), (1, 2, 13, 16, 18), (4, 6, 9, 10, 14), (8, 11, 12, 15, 17), (0, 1, 4, 8, 13), (2, 3, 6, 11, 16),
          (5, 9, 12, 17, 18), (7, 10, 14, 15, 19), (0, 2, 9, 15, 18), (1, 5, 6, 8, 10)]
 AGREE = 11                    # minimum hashes that a candidate pair has in common at least
-BLOCK = 64                    # members in one side of a compared pair of blocks
+SKETCHES = 512                # members in one side of a pair of blocks whose sketches are compared
+BLOCK = 64                    # members in one side of a pair of blocks whose lines are compared
 CENTRES = 16                  # members of a band's group that all others are compared with first
 SPLIT = 2048                  # members of a band's group that meet its centres in one place
 
@@ -81,6 +85,19 @@ def _once(expr):
     return F.explode(F.array(expr))
 
 
+def _held(body: str) -> set[str]:
+    """The five characters at every position."""
+    return {body[i:i + SHINGLE] for i in range(max(1, len(body) - SHINGLE + 1))}
+
+
+def _similar(x: set, y: set, similarity: float) -> bool:
+    """Whether the exact Jaccard similarity is high enough."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    common = len(x & y)
+    return common >= similarity * (len(x) + len(y) - common)
+
+
 def _agreeing(x, y):
     """How many minimum hashes two sketches have in common."""
     return F.size(F.filter(F.zip_with(x, y, lambda a, b: a == b), lambda same: same))
@@ -112,35 +129,94 @@ def _verified(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFra
     return materialize(ok, "lines-links")
 
 
-def _compared(members: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
-    """Verified pairs of members ``(band, k1, root)`` of one band's group in different components.
-
-    Members are compared in pairs of blocks, inside a row: no row is made for a pair that is not similar.
-    """
+def _block_pairs(members: DataFrame, sigs: DataFrame, size: int, bodies: DataFrame | None = None) -> DataFrame:
+    """``(same, m, o)``: all pairs of blocks of at most about ``size`` members of a band's group, as arrays."""
     sizes = materialize(members.groupBy("band").agg(F.count(F.lit(1)).alias("size")), "lines-sizes")
-    placed = join_by_frequency(members, sizes, "band", "size").join(bodies, "k1")
-    placed = placed.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    placed = join_by_frequency(members, sizes, "band", "size").join(sigs.select("k1", "sketch"), "k1")
+    if bodies is not None:
+        placed = placed.join(bodies, "k1")
+    placed = placed.withColumn("blocks", F.ceil(F.col("size") / size).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("k1"), F.col("blocks")).cast("int"))
+    what = ["k1", "root", "sketch"] + (["body"] if bodies is not None else [])
     blocks = materialize(placed.groupBy("band", "block").agg(
-        F.first("blocks").alias("blocks"), F.collect_list(F.struct("k1", "root", "body")).alias("m")), "lines-blocks")
-    a = blocks.select("band", F.col("block").alias("at"), F.col("m").alias("ma"),
-                      F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("block"))
-    both = a.join(blocks.select("band", "block", F.col("m").alias("mb")), ["band", "block"])
-
-    def with_sets(m):
-        return _once(F.transform(m, lambda x: F.struct(x["k1"].alias("k1"), x["root"].alias("root"), _set(x["body"]).alias("s"))))
-
-    both = both.select("at", "block", "mb", with_sets("ma").alias("ma")).select("at", "block", "ma", with_sets("mb").alias("mb"))
-
-    def similar(x, y):
-        common = F.size(F.array_intersect(x["s"], y["s"]))
-        close = (F.least(F.size(x["s"]), F.size(y["s"])) >= similarity * F.greatest(F.size(x["s"]), F.size(y["s"])))
-        new = (x["root"] != y["root"]) & ((F.col("at") != F.col("block")) | (x["k1"] < y["k1"]))
-        return F.when(new & close, common >= similarity * (F.size(x["s"]) + F.size(y["s"]) - common)).otherwise(False)
-
-    pairs = F.flatten(F.transform("ma", lambda x: F.transform(
-        F.filter("mb", lambda y: similar(x, y)), lambda y: F.struct(x["k1"].alias("a"), y["k1"].alias("b")))))
-    return materialize(both.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct(), "lines-rest")
+        F.first("blocks").alias("blocks"), F.collect_list(F.struct(*what)).alias("m")), "lines-blocks")
+    a = blocks.select("band", F.col("block").alias("at"), "m", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("block"))
+    both = a.join(blocks.select("band", "block", F.col("m").alias("o")), ["band", "block"])
+    return both.select((F.col("at") == F.col("block")).alias("same"), "m", "o")
+
+
+def _candidates(batch, i: int, agree: int):
+    """Of a row of :func:`_block_pairs` the two blocks and a matrix of the candidates in different components."""
+    import numpy as np
+
+    sides = []
+    for c in (1, 2):
+        m = batch.column(c)[i].values
+        sketch = m.field("sketch").flatten().to_numpy(zero_copy_only=False).reshape(len(m), HASHES)
+        sides.append((m, m.field("root").to_numpy(zero_copy_only=False), sketch))
+    (m, r, x), (o, s, y) = sides
+    agreeing = np.zeros((len(m), len(o)), np.uint8)
+    for k in range(HASHES):
+        agreeing += x[:, k][:, None] == y[:, k][None, :]
+    close = (agreeing >= agree) & (r[:, None] != s[None, :])
+    return m, o, np.triu(close, 1) if batch.column(0)[i].as_py() else close
+
+
+def _compared(members: DataFrame, sigs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """Links between members ``(band, k1, root)`` of one band's group in different components.
+
+    Every candidate is looked at, in pairs of blocks inside a row. Of each pair of blocks come links that join all
+    that its similar lines join; no row is made for any other pair.
+    """
+    ship(members.sparkSession)
+    agree = AGREE
+
+    def involved(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                m, o, close = _candidates(batch, i, agree)
+                if close.any():
+                    k = np.concatenate([m.field("k1").to_numpy(zero_copy_only=False)[close.any(1)],
+                                        o.field("k1").to_numpy(zero_copy_only=False)[close.any(0)]])
+                    yield pa.RecordBatch.from_arrays([pa.array(k)], ["k1"])
+
+    def joined(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                m, o, close = _candidates(batch, i, agree)
+                up, sets, left, right = {}, {}, [], []
+
+                def top(x):
+                    while up.get(x, x) != x:
+                        up[x] = x = up.get(up[x], up[x])
+                    return x
+
+                def taken(side, n):
+                    if (side, n) not in sets:
+                        sets[side, n] = _held((m, o)[side].field("body")[n].as_py())
+                    return sets[side, n]
+
+                for x, y in zip(*(n.tolist() for n in np.nonzero(close))):
+                    a, b = top(m.field("root")[x].as_py()), top(o.field("root")[y].as_py())
+                    if a != b and _similar(taken(0, x), taken(1, y), similarity):
+                        up[a] = b
+                        left.append(m.field("k1")[x].as_py())
+                        right.append(o.field("k1")[y].as_py())
+                if left:
+                    yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    names = _block_pairs(members, sigs, SKETCHES).mapInArrow(involved, "k1 long").distinct()
+    names = materialize(names, "lines-involved")
+    bodies = materialize(lines.join(names, "k1", "left_semi").groupBy("k1").agg(F.min("body").alias("body")), "lines-rest-bodies")
+    members = materialize(members.join(names, "k1", "left_semi"), "lines-rest-members")
+    found = _block_pairs(members, sigs, BLOCK, bodies).mapInArrow(joined, "a long, b long").distinct()
+    return materialize(found, "lines-rest")
 
 
 def line_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -173,7 +249,7 @@ def line_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     found = _verified(stars, bodies, similarity)
     roots = components(found, "lines-cc")
 
-    # what the stars left apart: pairs of one band's group in different components, all of them in ``bodies``
+    # what the stars left apart: all members of the groups that are in more than one component
     held = materialize(larger.join(roots, F.col("k1") == F.col("node"), "left").select(
         "band", "k1", F.coalesce("root", "k1").alias("root")), "lines-held")
     mixed = held.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
@@ -181,7 +257,7 @@ def line_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     held = join_by_frequency(held, mixed, "band", "size").drop("size")
     # the centres have met every member already
     rest = held.join(centres, (held["band"] == centres["band"]) & (held["k1"] == centres["centre"]), "left_anti")
-    found = found.unionByName(_compared(materialize(rest, "lines-apart"), bodies, similarity))
+    found = found.unionByName(_compared(materialize(rest, "lines-apart"), sigs, lines, similarity))
     roots = components(found, "lines-cc")
 
     keys = sigs.join(roots, F.col("k1") == F.col("node"), "left").select(

@@ -146,3 +146,14 @@ def test_a_document_of_many_lines(documents):
     r = line_dedup.dedup_lines(documents([(1, text)])).collect()[0]
     assert r.n_lines == 60_000 and r.n_dropped == 29_999 and r.text.count("the same line") == 1
     assert r.text.split("\n")[:4] == ["0", "the same line", f"{2 * 7919 % 100_003:x}", f"{4 * 7919 % 100_003:x}"]
+
+
+def test_lines_that_are_near_no_centre_still_meet(documents, monkeypatch):
+    """All lines stand in one band's group; only the near copies that are no centres and near none are similar."""
+    monkeypatch.setattr(line_dedup, "CENTRES", 4)
+    monkeypatch.setattr(line_dedup, "BANDS", [()])
+    r = random.Random(3)
+    rows = [(i, "".join(r.choice("abcdefgh ") for _ in range(80)) + "x") for i in range(60)]
+    rows += [(100 + i, rows[i][1] + "y") for i in range(60)]
+    got = {x.doc_id: x.n_dropped for x in line_dedup.dedup_lines(documents(rows)).collect()}
+    assert got == {i: int(i >= 100) for i, _ in rows}
