@@ -5,9 +5,9 @@ gold) without writing tables; each registered query takes the layer it
 needs. Layers are built on first use, so a query only plans what it reads.
 
 With ``stage=True`` the layers that several consumers read (classified
-contracts and payments, reconciled installments) are materialised once with a
-reliable ``checkpoint()`` into the session's shared ``spark.checkpoint.dir``:
-later consumers read the written data instead of re-deriving it, and the
+contracts and payments, reconciled installments) are written once, as Parquet,
+below the session's shared ``spark.checkpoint.dir``: later consumers read the
+columns that they need instead of re-deriving them, and the
 lineage is cut, so a lost executor does not recompute from the sources.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.operators import portfolio as P
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import reconcile as R
-from ledgerloom.session import shared_dir
+from ledgerloom.session import scratch_dir
 from ledgerloom.sources import testdata as TD
 
 
@@ -34,11 +34,12 @@ class CreditBook:
         self.rank_strategy = rank_strategy
         self.stage = stage
 
-    def _staged(self, df: DataFrame) -> DataFrame:
+    def _staged(self, df: DataFrame, layer: str) -> DataFrame:
         if not self.stage:
             return df
-        shared_dir(self.spark)   # makes sure spark.checkpoint.dir is set (tests only set it here)
-        return df.checkpoint(eager=True)
+        path = scratch_dir(self.spark, f"book-{layer}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     # bronze -------------------------------------------------------------
     @cached_property
@@ -77,7 +78,7 @@ class CreditBook:
     @cached_property
     def contracts_classified(self) -> DataFrame:
         return self._staged(Q.classify_contracts(self.contracts_raw, self.customers, self.products,
-                                                 today=self.today, rank_strategy=self.rank_strategy))
+                                                 today=self.today, rank_strategy=self.rank_strategy), "contracts")
 
     @cached_property
     def contracts(self) -> DataFrame:
@@ -90,7 +91,7 @@ class CreditBook:
     @cached_property
     def payments_classified(self) -> DataFrame:
         return self._staged(Q.classify_payments(self.payments_raw, self.installments_raw,
-                                                rank_strategy=self.rank_strategy))
+                                                rank_strategy=self.rank_strategy), "payments")
 
     @cached_property
     def payments(self) -> DataFrame:
@@ -107,7 +108,7 @@ class CreditBook:
     @cached_property
     def installments(self) -> DataFrame:
         return self._staged(R.reconcile_installments(self.installments_latest, self.contracts,
-                                                     self.payments, self.as_of))
+                                                     self.payments, self.as_of), "installments")
 
     # gold ---------------------------------------------------------------
     @cached_property
