@@ -142,6 +142,8 @@ def _block_pairs(members: DataFrame, sigs: DataFrame, size: int, bodies: DataFra
         F.first("blocks").alias("blocks"), F.collect_list(F.struct(*what)).alias("m")), "lines-blocks")
     a = blocks.select("band", F.col("block").alias("at"), "m", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("block"))
     both = a.join(blocks.select("band", "block", F.col("m").alias("o")), ["band", "block"])
+    # few bytes, much work: spread by number, not by size
+    both = both.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "band", "at", "block")
     return both.select((F.col("at") == F.col("block")).alias("same"), "m", "o")
 
 
@@ -191,6 +193,7 @@ def _compared(members: DataFrame, sigs: DataFrame, lines: DataFrame, similarity:
             for i in range(batch.num_rows):
                 m, o, close = _candidates(batch, i, agree)
                 up, sets, left, right = {}, {}, [], []
+                roots = m.field("root").to_pylist(), o.field("root").to_pylist()
 
                 def top(x):
                     while up.get(x, x) != x:
@@ -203,7 +206,7 @@ def _compared(members: DataFrame, sigs: DataFrame, lines: DataFrame, similarity:
                     return sets[side, n]
 
                 for x, y in zip(*(n.tolist() for n in np.nonzero(close))):
-                    a, b = top(m.field("root")[x].as_py()), top(o.field("root")[y].as_py())
+                    a, b = top(roots[0][x]), top(roots[1][y])
                     if a != b and _similar(taken(0, x), taken(1, y), similarity):
                         up[a] = b
                         left.append(m.field("k1")[x].as_py())
