@@ -4,7 +4,7 @@ A line is a piece of text between line feeds, compared after trimming and
 lower-casing. Its signature covers its character shingles, the five characters
 at every position (a shorter line is one shingle). Minimum
 hashes of the shingles form bands; distinct lines that share a band and agree in
-more than half of the hashes are candidates, and candidates whose exact Jaccard similarity over the shingle sets
+more than half of the hashes (14 bits of each) are candidates, and candidates whose exact Jaccard similarity over the shingle sets
 is 0.8 or more are linked. Connected components of the links are found by
 distributed star contraction, and of each component one line stays: the first
 one in the document with the smallest ``doc_id``. Two lines of similarity 0.8
@@ -13,12 +13,12 @@ are candidates with a probability of 0.93, of 0.85 with 0.977, of 0.9 with 0.996
 No candidate is left out, but not all pairs of a band's group become rows. Each member is first compared
 with the group's ``CENTRES`` smallest members; after the components of those
 links are known, all other members of the groups that are still apart are compared with each
-other, in pairs of blocks inside a row: first their sketches, then the lines of those that are
-candidates of a line in another component. Candidates that links have joined already are skipped.
+other, in pairs of blocks: every line that is a candidate of a line in another component is verified
+against one such line, and what is then still apart against all of them. Two sketches are compared by a few
+operations on long numbers in the join's condition.
 Members of a large group meet their centres in ``SPLIT`` rows at a time, and
 what else a group must know (its size, whether it is still apart) is broadcast
-for the large groups, of which there are few. Pairs of blocks are compared by numpy and Python
-sets inside the tasks, all else in DataFrame operations.
+for the large groups, of which there are few. All is done in DataFrame operations.
 
 Defined cases: null text is empty; blank lines are never duplicates and always
 stay; rows that share a ``doc_id`` count as one document when a line's owner is
@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import components, join_by_frequency, materialize, ship
+from ledgerloom.llm.common import components, join_by_frequency, materialize
 
 SHINGLE = 5
 BLANK = " \t\r\x0b\x0c"
@@ -46,8 +46,8 @@ HASHES = 20
 BANDS = [(0, 3, 5, 7, 19), (1, 2, 13, 16, 18), (4, 6, 9, 10, 14), (8, 11, 12, 15, 17), (0, 1, 4, 8, 13), (2, 3, 6, 11, 16),
          (5, 9, 12, 17, 18), (7, 10, 14, 15, 19), (0, 2, 9, 15, 18), (1, 5, 6, 8, 10)]
 AGREE = 11                    # minimum hashes that a candidate pair has in common at least
-SKETCHES = 512                # members in one side of a pair of blocks whose sketches are compared
-BLOCK = 64                    # members in one side of a pair of blocks whose lines are compared
+SLOT = 15                     # bits of a minimum hash's place in a sketch: 14 of the hash, one that stays clear
+BLOCK = 4096                  # members in one side of a pair of blocks
 CENTRES = 16                  # members of a band's group that all others are compared with first
 SPLIT = 2048                  # members of a band's group that meet its centres in one place
 
@@ -85,31 +85,38 @@ def _once(expr):
     return F.explode(F.array(expr))
 
 
-def _held(body: str) -> set[str]:
-    """The five characters at every position."""
-    return {body[i:i + SHINGLE] for i in range(max(1, len(body) - SHINGLE + 1))}
+def _rows(lines: DataFrame) -> DataFrame:
+    """``(doc, k1, k2, nth, h)``: the hash of the five characters at every position, with the line's ``nth`` byte first."""
+    n, raw = F.length("body"), F.col("body").cast("binary")
+    last = F.octet_length(F.expr(f"left(body, length(body) - {SHINGLE})"))      # the byte where the last five begin
+    starts = lines.select("doc", "k1", "k2", raw.alias("raw"), (F.octet_length("body") == n).alias("ascii"), F.explode(
+        F.sequence(F.lit(0), F.when(n > SHINGLE, last).otherwise(0))).alias("nth"))
+    at = F.col("nth") + 1
+    starts = starts.where("ascii OR substring(raw, nth + 1, 1) < X'80' OR substring(raw, nth + 1, 1) >= X'C0'")
+    wide = F.substring(F.substring("raw", at, F.lit(4 * SHINGLE)).cast("string"), 1, SHINGLE).cast("binary")
+    piece = F.when(F.col("ascii"), F.substring("raw", at, F.lit(SHINGLE))).otherwise(wide)
+    return starts.select("doc", "k1", "k2", "nth", F.xxhash64(piece).alias("h"))
+
 
+def _sketch():
+    """The columns ``s0`` to ``s4``: 14 bits of each minimum hash, four of them in a number."""
+    per = HASHES // 5
+    for j in range(5):
+        words = [F.shiftleft(F.col(f"m{per * j + t}").bitwiseAND(F.lit((1 << SLOT - 1) - 1)), SLOT * t) for t in range(per)]
+        yield sum(words[1:], words[0]).alias(f"s{j}")
 
-def _similar(x: set, y: set, similarity: float) -> bool:
-    """Whether the exact Jaccard similarity is high enough."""
-    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
-        return False
-    common = len(x & y)
-    return common >= similarity * (len(x) + len(y) - common)
 
+WORDS = [f"s{j}" for j in range(5)]
 
-def _agreeing(x, y):
-    """How many minimum hashes two sketches have in common."""
-    return F.size(F.filter(F.zip_with(x, y, lambda a, b: a == b), lambda same: same))
 
+def _agreeing(x: str, y: str):
+    """How many minimum hashes the sketches of the frames with the aliases ``x`` and ``y`` have in common.
 
-def _close(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose sketches agree in ``AGREE`` places."""
-    names = pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
-    held = materialize(sigs.join(names, "k1", "left_semi").select("k1", "sketch"), "lines-sketches")
-    both = (pairs.join(held.select(F.col("k1").alias("a"), F.col("sketch").alias("x")), "a")
-            .join(held.select(F.col("k1").alias("b"), F.col("sketch").alias("y")), "b"))
-    return both.where(_agreeing(F.col("x"), F.col("y")) >= AGREE).select("a", "b")
+    Where two hashes are equal, the place of their difference holds 0, and the top bit less it stays.
+    """
+    top = F.lit(sum(1 << SLOT * t + SLOT - 1 for t in range(HASHES // 5)))
+    same = [F.bit_count((top - F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))).bitwiseAND(top)) for w in WORDS]
+    return sum(same[1:], same[0])
 
 
 def _bodies(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -129,139 +136,95 @@ def _verified(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFra
     return materialize(ok, "lines-links")
 
 
-def _block_pairs(members: DataFrame, sigs: DataFrame, size: int, bodies: DataFrame | None = None) -> DataFrame:
-    """``(same, m, o)``: all pairs of blocks of at most about ``size`` members of a band's group, as arrays."""
+def _candidates(members: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` of members ``(band, k1, root, s0, ..)`` of one band's group, in different components, that agree.
+
+    Every pair of a group is compared, in pairs of blocks: a group of any size is spread over all tasks.
+    """
     sizes = materialize(members.groupBy("band").agg(F.count(F.lit(1)).alias("size")), "lines-sizes")
-    placed = join_by_frequency(members, sizes, "band", "size").join(sigs.select("k1", "sketch"), "k1")
-    if bodies is not None:
-        placed = placed.join(bodies, "k1")
-    placed = placed.withColumn("blocks", F.ceil(F.col("size") / size).cast("int"))
+    placed = join_by_frequency(members, sizes, "band", "size").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("k1"), F.col("blocks")).cast("int"))
-    what = ["k1", "root", "sketch"] + (["body"] if bodies is not None else [])
-    blocks = materialize(placed.groupBy("band", "block").agg(
-        F.first("blocks").alias("blocks"), F.collect_list(F.struct(*what)).alias("m")), "lines-blocks")
-    a = blocks.select("band", F.col("block").alias("at"), "m", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("block"))
-    both = a.join(blocks.select("band", "block", F.col("m").alias("o")), ["band", "block"])
-    # few bytes, much work: spread by number, not by size
-    both = both.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "band", "at", "block")
-    return both.select((F.col("at") == F.col("block")).alias("same"), "m", "o")
-
-
-def _candidates(batch, i: int, agree: int):
-    """Of a row of :func:`_block_pairs` the two blocks and a matrix of the candidates in different components."""
-    import numpy as np
-
-    sides = []
-    for c in (1, 2):
-        m = batch.column(c)[i].values
-        sketch = m.field("sketch").flatten().to_numpy(zero_copy_only=False).reshape(len(m), HASHES)
-        sides.append((m, m.field("root").to_numpy(zero_copy_only=False), sketch))
-    (m, r, x), (o, s, y) = sides
-    agreeing = np.zeros((len(m), len(o)), np.uint8)
-    for k in range(HASHES):
-        agreeing += x[:, k][:, None] == y[:, k][None, :]
-    close = (agreeing >= agree) & (r[:, None] != s[None, :])
-    return m, o, np.triu(close, 1) if batch.column(0)[i].as_py() else close
-
-
-def _compared(members: DataFrame, sigs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """Links between members ``(band, k1, root)`` of one band's group in different components.
-
-    Every candidate is looked at, in pairs of blocks inside a row. Of each pair of blocks come links that join all
-    that its similar lines join; no row is made for any other pair.
+    placed = materialize(placed.drop("size"), "lines-placed")
+    # few bytes, much work: dealt by number, not by size
+    key, parts = ["band", "i", "j"], int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = placed.select("band", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"),
+                      "k1", "root", *WORDS).repartition(parts, *key).alias("x")
+    y = placed.select("band", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"),
+                      "k1", "root", *WORDS).repartition(parts, *key).alias("y")
+    on = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in key]
+    new = (F.col("x.root") != F.col("y.root")) & ((F.col("x.i") != F.col("x.j")) | (F.col("x.k1") < F.col("y.k1")))
+    both = x.hint("merge").join(y, on[0] & on[1] & on[2] & (_agreeing("x", "y") >= AGREE) & new)
+    return both.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b"))
+
+
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with the component of each line, ``root``."""
+    return members.join(roots, F.col("k1") == F.col("node"), "left").withColumn("root", F.coalesce("root", "k1")).drop("node")
+
+
+def _apart(members: DataFrame) -> DataFrame:
+    """Of ``members`` the groups that stand in more than one component."""
+    members = materialize(members, "lines-held")
+    mixed = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
+    mixed = materialize(mixed.where("low < high").select("band", "size"), "lines-mixed")
+    return materialize(join_by_frequency(members, mixed, "band", "size").drop("size"), "lines-apart")
+
+
+def _star(roots: DataFrame) -> DataFrame:
+    """Links that make the same components."""
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _compared(members: DataFrame, roots: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """The components ``roots``, joined by links between members ``(band, k1, root, s0, ..)`` of one band's group.
+
+    First each candidate meets one other line; as that joins most of a group of near copies, few pairs are left
+    between the components then, and each of them is verified.
     """
-    ship(members.sparkSession)
-    agree = AGREE
-
-    def involved(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                m, o, close = _candidates(batch, i, agree)
-                if close.any():
-                    k = np.concatenate([m.field("k1").to_numpy(zero_copy_only=False)[close.any(1)],
-                                        o.field("k1").to_numpy(zero_copy_only=False)[close.any(0)]])
-                    yield pa.RecordBatch.from_arrays([pa.array(k)], ["k1"])
-
-    def joined(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                m, o, close = _candidates(batch, i, agree)
-                up, sets, left, right = {}, {}, [], []
-                roots = m.field("root").to_pylist(), o.field("root").to_pylist()
-
-                def top(x):
-                    while up.get(x, x) != x:
-                        up[x] = x = up.get(up[x], up[x])
-                    return x
-
-                def taken(side, n):
-                    if (side, n) not in sets:
-                        sets[side, n] = _held((m, o)[side].field("body")[n].as_py())
-                    return sets[side, n]
-
-                for x, y in zip(*(n.tolist() for n in np.nonzero(close))):
-                    a, b = top(roots[0][x]), top(roots[1][y])
-                    if a != b and _similar(taken(0, x), taken(1, y), similarity):
-                        up[a] = b
-                        left.append(m.field("k1")[x].as_py())
-                        right.append(o.field("k1")[y].as_py())
-                if left:
-                    yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
-
-    names = _block_pairs(members, sigs, SKETCHES).mapInArrow(involved, "k1 long").distinct()
-    names = materialize(names, "lines-involved")
-    bodies = materialize(lines.join(names, "k1", "left_semi").groupBy("k1").agg(F.min("body").alias("body")), "lines-rest-bodies")
-    members = materialize(members.join(names, "k1", "left_semi"), "lines-rest-members")
-    found = _block_pairs(members, sigs, BLOCK, bodies).mapInArrow(joined, "a long, b long").distinct()
-    return materialize(found, "lines-rest")
+    pairs = _candidates(members)
+    sides = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("k1"), F.col("b").alias("o")),
+                                           F.struct(F.col("b").alias("k1"), F.col("a").alias("o")))).alias("p"))
+    first = materialize(sides.groupBy("p.k1").agg(F.min("p.o").alias("o")), "lines-involved")
+    once = materialize(first.select(F.least("k1", "o").alias("a"), F.greatest("k1", "o").alias("b")).distinct(), "lines-once")
+    bodies = _bodies(once, lines)
+    links = _star(roots).unionByName(_verified(once, bodies, similarity))
+    roots = components(links, "lines-cc")
+    members = members.drop("root").join(first, "k1", "left_semi")
+    rest = _candidates(_apart(_rooted(members, roots)))
+    rest = materialize(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "lines-rest")
+    rest = rest.join(once, ["a", "b"], "left_anti")
+    return components(_star(roots).unionByName(_verified(rest, bodies, similarity)), "lines-cc")
 
 
 def line_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """``(k1, k2, root, owner)`` for every distinct line that is not the only one of its group."""
     lines = _lines(docs)
-    rows = lines.select("doc", "k1", "k2", F.posexplode(_shingles(F.col("body"))).alias("nth", "s"))
-    rows = rows.select("doc", "k1", "k2", "nth", F.xxhash64("s").alias("h"))
     mins = [F.min(F.col("h").bitwiseXOR(F.lit(_mask(i)))).alias(f"m{i}") for i in range(HASHES)]
-    sigs = rows.groupBy("k1", "k2").agg(
+    sigs = _rows(lines).groupBy("k1", "k2").agg(
         F.min("doc").alias("owner"), F.sum(F.when(F.col("nth") == 0, 1).otherwise(0)).alias("n"), *mins)
     bands = F.array(*[F.xxhash64(F.lit(i), *[f"m{j}" for j in band]) for i, band in enumerate(BANDS)])
-    sketch = F.array(*[F.shiftright(f"m{i}", 48).cast("short") for i in range(HASHES)])     # 16 bits of each
-    sigs = materialize(sigs.select("k1", "k2", "owner", "n", bands.alias("bands"), sketch.alias("sketch")), "lines-signatures")
+    sigs = materialize(sigs.select("k1", "k2", "owner", "n", bands.alias("bands"), *_sketch()), "lines-signatures")
 
     members = sigs.select("k1", F.explode("bands").alias("band"))
-    groups = members.groupBy("band").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.count(F.lit(1)).alias("size"))
-    groups = materialize(groups.where("a < b"), "lines-bands")
-    larger = materialize(groups.where("size > 2").select("band", "size"), "lines-larger")
-    larger = materialize(join_by_frequency(members, larger, "band", "size").select("band", "size", "k1"), "lines-members")
+    groups = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    groups = materialize(groups.where("size > 1"), "lines-bands")
+    shared = materialize(join_by_frequency(members, groups, "band", "size").select("band", "size", "k1"), "lines-members")
+    shared = materialize(shared.join(sigs.select("k1", *WORDS), "k1"), "lines-sketches")
     nth = F.row_number().over(Window.partitionBy("band").orderBy("k1"))
-    centres = materialize(larger.withColumn("nth", nth).where(F.col("nth") <= CENTRES).select(
-        "band", "size", F.col("k1").alias("centre")), "lines-centres")
+    centres = materialize(shared.withColumn("nth", nth).where(F.col("nth") <= CENTRES).drop("nth"), "lines-centres")
+    # every member meets the centres of its group
     parts = F.ceil(F.col("size") / SPLIT).cast("long")
-    met = larger.withColumn("part", F.pmod(F.xxhash64("k1"), parts)).join(
-        centres.select("band", "centre", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part")), ["band", "part"])
-    stars = groups.where("size = 2").select("a", "b").unionByName(met.where("centre < k1").select(
-        F.col("centre").alias("a"), F.col("k1").alias("b"))).distinct()
-    stars = materialize(_close(materialize(stars, "lines-stars"), sigs), "lines-close")
-    bodies = _bodies(stars, lines)
-    found = _verified(stars, bodies, similarity)
-    roots = components(found, "lines-cc")
-
-    # what the stars left apart: all members of the groups that are in more than one component
-    held = materialize(larger.join(roots, F.col("k1") == F.col("node"), "left").select(
-        "band", "k1", F.coalesce("root", "k1").alias("root")), "lines-held")
-    mixed = held.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
-    mixed = materialize(mixed.where("low < high").select("band", "size"), "lines-mixed")
-    held = join_by_frequency(held, mixed, "band", "size").drop("size")
-    # the centres have met every member already
-    rest = held.join(centres, (held["band"] == centres["band"]) & (held["k1"] == centres["centre"]), "left_anti")
-    found = found.unionByName(_compared(materialize(rest, "lines-apart"), sigs, lines, similarity))
-    roots = components(found, "lines-cc")
+    x = centres.select("band", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "k1", *WORDS).alias("x")
+    y = shared.select("band", F.pmod(F.xxhash64("k1"), parts).alias("part"), "k1", *WORDS).alias("y")
+    stars = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.part") == F.col("y.part"))
+                   & (F.col("x.k1") < F.col("y.k1")) & (_agreeing("x", "y") >= AGREE))
+    stars = materialize(stars.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b")).distinct(), "lines-close")
+    roots = components(_verified(stars, _bodies(stars, lines), similarity), "lines-cc")
+
+    # what the stars left apart: all members of the groups that are in more than one component; the centres have met all
+    rest = _apart(_rooted(shared.where(f"size > {CENTRES}").select("band", "k1"), roots))
+    rest = rest.join(centres.select("band", "k1"), ["band", "k1"], "left_anti").join(sigs.select("k1", *WORDS), "k1")
+    roots = _compared(materialize(rest, "lines-others"), roots, lines, similarity)
 
     keys = sigs.join(roots, F.col("k1") == F.col("node"), "left").select(
         "k1", "k2", "owner", "n", F.coalesce("root", "k1").alias("root"))

@@ -2,6 +2,7 @@ import random
 
 import xxhash
 from llm_cases import EDGE
+from pyspark.sql import DataFrame
 
 from ledgerloom.llm import line_dedup
 
@@ -157,3 +158,37 @@ def test_lines_that_are_near_no_centre_still_meet(documents, monkeypatch):
     rows += [(100 + i, rows[i][1] + "y") for i in range(60)]
     got = {x.doc_id: x.n_dropped for x in line_dedup.dedup_lines(documents(rows)).collect()}
     assert got == {i: int(i >= 100) for i, _ in rows}
+
+
+def test_no_python_runs_on_the_executors(documents, monkeypatch):
+    """Lines that stand in one band's group, near no centre, are compared by DataFrame operations, too."""
+    def refused(*_, **__):
+        raise AssertionError("Python on the executors")
+
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(DataFrame, name, refused)
+    monkeypatch.setattr(line_dedup, "CENTRES", 1)
+    monkeypatch.setattr(line_dedup, "BANDS", [()])
+    a, b = "some words that stand in two lines", "and others that stand in two more lines"
+    rows = [(1, "unlike all"), (2, a), (3, b), (4, a + "!"), (5, b + "!")]
+    got = {x.doc_id: x.n_dropped for x in line_dedup.dedup_lines(documents(rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 1, 5: 1}
+
+
+def test_hashes_of_all_scripts(spark):
+    """One hash for each place of five characters, of one to four bytes each."""
+    bodies = ["abc", "abcde", "abcdefg", "añoßé€uro", "\u65b0\u805e", "x\U0001f600y\U0001f601z\U0001f602\u0e01", "\U0001f600" * 7, "ß"]
+    lines = spark.createDataFrame(list(enumerate(bodies)), "doc long, body string").selectExpr("doc", "body", "doc AS k1", "doc AS k2")
+    got = sorted((r.doc, r.h % (1 << 64)) for r in line_dedup._rows(lines).collect())
+    assert got == sorted((i, xxhash.xxh64_intdigest(x[k:k + 5].encode(), 42)) for i, x in enumerate(bodies) for k in range(max(1, len(x) - 4)))
+
+
+def test_agreement_of_packed_sketches(spark):
+    r = random.Random(5)
+    top = (1 << 14) - 1
+    sides = [[r.choice([0, 1, top, r.randrange(top)]) for _ in range(20)] for _ in range(60)]
+    names = ", ".join(f"m{i} long" for i in range(20))
+    frame = spark.createDataFrame([[n, *[(r.getrandbits(49) << 14 | m) - (1 << 62) for m in side]] for n, side in enumerate(sides)],
+                                  f"n long, {names}").select("n", *line_dedup._sketch())
+    both = frame.alias("x").join(frame.alias("y")).select("x.n", "y.n", line_dedup._agreeing("x", "y"))
+    assert all(k == sum(a == b for a, b in zip(sides[n], sides[m])) for n, m, k in map(tuple, both.collect()))
